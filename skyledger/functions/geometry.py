@@ -116,29 +116,31 @@ def _trim_zeros(fixed: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0++$", "$1"), r"\.$", "")
 
 
-def _simple_wkt(geometry: Column, digits: int | None) -> Column:
-    """WKT of one GeoJSON object without members of its own; NULL when it is not a valid geometry."""
+def _simple_wkt(kind: Column, coords: Column, digits: int | None) -> Column:
+    """WKT of a geometry without members of its own, from its type and coordinates text; NULL when it is not valid."""
     vertex = rf"\[({_NUM}),({_NUM})(?:,[^\[\]]*+)?+\]"
 
     def body(g):
+        flat = F.translate(g["marked"], "<>", "")
         pairs = (
-            F.when(g["kind"] == "Point", F.concat(F.lit("["), F.regexp_replace(g["coords"], vertex, "$1 $2"), F.lit("]")))
-            .when(g["kind"] == "MultiPoint", F.regexp_replace(g["coords"], vertex, "[$1 $2]"))
-            .otherwise(F.regexp_replace(g["coords"], vertex, "$1 $2"))
+            F.when(g["kind"] == "Point", F.concat(F.lit("["), flat, F.lit("]")))
+            .when(g["kind"] == "MultiPoint", F.translate(g["marked"], "<>", "[]"))
+            .otherwise(flat)
         )
         text = F.replace(F.translate(pairs, "[]", "()"), F.lit(","), F.lit(", "))
         return _replace_each(text, _NUM, lambda n: _short_number(n, digits)) if digits else _plain_number(text)
 
     def convert(g):
-        ok = _matches_outline(g["kind"], _outline(g["coords"], vertex), allow_empty_members=False)
-        text = F.when(g["coords"] == "[]", F.lit("EMPTY")).otherwise(body(g))
+        ok = _matches_outline(g["kind"], _outline(g["marked"], r"<[^<>]*+>"), allow_empty_members=False)
+        text = F.when(g["marked"] == "[]", F.lit("EMPTY")).otherwise(body(g))
         return F.when(ok, F.concat(_lookup(g["kind"], KEYWORDS), F.lit(" "), text))
 
-    coords = F.regexp_replace(F.get_json_object(geometry, "$.coordinates"), r"\s+", "")
-    return let(F.struct(F.get_json_object(geometry, "$.type").alias("kind"), coords.alias("coords")), convert)
+    # vertices in angle brackets, x and y only
+    marked = F.regexp_replace(F.regexp_replace(coords, r"\s++", ""), vertex, "<$1 $2>")
+    return let(F.struct(kind.alias("kind"), marked.alias("marked")), convert)
 
 
-def _collection_wkt(geometry: Column) -> Column:
+def _collection_wkt(members: Column) -> Column:
     """WKT of a GeometryCollection whose members are already WKT strings; NULL when a member is not."""
 
     def join(members):
@@ -148,25 +150,47 @@ def _collection_wkt(geometry: Column) -> Column:
         )
         return F.when(valid, text)
 
-    members = F.from_json(F.get_json_object(geometry, "$.geometries"), "array<string>")
-    return F.when(F.get_json_object(geometry, "$.type") == "GeometryCollection", let(members, join))
+    return let(F.from_json(members, "array<string>"), join)
 
 
-def wkt_of_geojson(geometry: Column, digits: int | None = None) -> Column:
-    """WKT text of a GeoJSON geometry, x and y only; NULL when the geometry is invalid."""
+def _wkt_of_parts(g: Column, digits: int | None) -> Column:
+    return F.when(g["type"] == "GeometryCollection", _collection_wkt(g["geometries"])).otherwise(
+        _simple_wkt(g["type"], g["coordinates"], digits)
+    )
+
+
+def _nested_wkt(members: Column, digits: int | None) -> Column:
+    """WKT of a GeometryCollection from the text of its ``geometries``, rewritten from the innermost objects outwards."""
     innermost = r"\{[^{}]*+\}"
 
     def inside_out(text, _):
         def convert(obj):
-            wkt = F.coalesce(_simple_wkt(obj, digits), _collection_wkt(obj))
+            wkt = let(F.from_json(obj, GEOJSON_PARTS), lambda g: _wkt_of_parts(g, digits))
             return F.coalesce(F.concat(F.lit('"'), wkt, F.lit('"')), F.lit("null"))
 
         return _replace_each(text, innermost, convert)
 
-    levels = F.sequence(F.lit(1), F.size(F.regexp_extract_all(geometry, F.lit(r"(\{)"), F.lit(0))))
-    nested = F.regexp_extract(F.aggregate(levels, geometry, inside_out), r'^\s*"([^"]++)"\s*$', 1)
-    is_nested = F.get_json_object(geometry, "$.type") == "GeometryCollection"
-    return F.when(is_nested, F.nullif(nested, F.lit(""))).otherwise(_simple_wkt(geometry, digits))
+    def rewrite(text):
+        levels = F.sequence(F.lit(0), F.size(F.regexp_extract_all(text, F.lit(r"(\{)"), F.lit(0))))
+        return _collection_wkt(F.aggregate(levels, text, inside_out))
+
+    return let(members, rewrite)
+
+
+# What a GeoJSON geometry is read as, in one pass.
+GEOJSON_PARTS = "type STRING, coordinates STRING, geometries STRING"
+
+
+def wkt_of_parts(parts: Column, digits: int | None = None) -> Column:
+    """WKT text of a geometry read as GEOJSON_PARTS, x and y only; NULL when it is invalid."""
+    nested = F.when(parts["geometries"].startswith("["), _nested_wkt(parts["geometries"], digits))
+    simple = _simple_wkt(parts["type"], parts["coordinates"], digits)
+    return F.when(parts["type"] == "GeometryCollection", nested).otherwise(simple)
+
+
+def wkt_of_geojson(geometry: Column, digits: int | None = None) -> Column:
+    """WKT text of a GeoJSON geometry, x and y only; NULL when the geometry is invalid."""
+    return let(F.from_json(geometry, GEOJSON_PARTS), lambda g: wkt_of_parts(g, digits))
 
 
 def geojson_to_wkt(df, col: str, digits: int | None = None, strict: bool = True):

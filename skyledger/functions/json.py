@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import no_strings
-from skyledger.types import ASSET
+from skyledger.functions.columns import let, no_strings
+from skyledger.types import ASSET, BBOX
 
 
 def member(v: Column, name: str) -> Column:
@@ -23,11 +23,6 @@ def member_text(v: Column, name: str) -> Column:
     return text_of(member(v, name))
 
 
-def number_of(v: Column) -> Column:
-    """A JSON number, integer or real, as a double; NULL for every other JSON value."""
-    return F.when(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.try_variant_get(v, "$", "double"))
-
-
 def is_object(v: Column) -> Column:
     return F.schema_of_variant(v).startswith("OBJECT")
 
@@ -40,14 +35,23 @@ def json_text(json: Column, path: str) -> Column:
 # -- arrays and maps of variants, as one pass over a feature delivers them ---------------------------------------------
 
 
-def bbox_from_variants(numbers: Column) -> Column:
-    """array(4+) -> struct(minx, miny, maxx, maxy); six numbers carry heights at positions 2 and 5."""
-    n = F.transform(numbers, number_of)
-    upper = F.when(F.size(n) == 6, 4).otherwise(3)
-    corners = F.array(F.get(n, F.lit(0)), F.get(n, F.lit(1)), F.get(n, upper - 1), F.get(n, upper))
-    names = ["minx", "miny", "maxx", "maxy"]
-    box = F.struct(*[F.get(corners, F.lit(i)).alias(name) for i, name in enumerate(names)])
-    return F.when((F.size(n) >= 4) & ~F.exists(corners, lambda c: c.isNull()), box)
+def bbox_struct(json: Column) -> Column:
+    """Array text of four or more numbers -> struct(minx, miny, maxx, maxy); six numbers carry heights at positions 2 and 5.
+    NULL when one of the corners is no number."""
+
+    def corners(parts):
+        upper = F.when(F.size(parts) == 6, 4).otherwise(3)
+        at = [F.lit(0), F.lit(1), upper - 1, upper]
+        return F.struct(*[_number(F.get(parts, i)).alias(n) for i, n in zip(at, BBOX.names)])
+
+    parts = F.when(json.startswith("["), F.split(F.regexp_replace(json, r"[\s\[\]]++", ""), ","))
+    whole = let(parts, corners)
+    flat = ~json.rlike(r"\[[^\[\]]*+\[")
+    return F.when(flat & F.coalesce(*[F.when(whole[n].isNull(), False) for n in BBOX.names], F.lit(True)), whole)
+
+
+def _number(text: Column) -> Column:
+    return F.when(text.rlike(r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"), text.cast("double"))
 
 
 def strings_from_variants(values: Column) -> Column:
@@ -74,10 +78,6 @@ def assets_from_variants(assets: Column) -> Column:
 # -- the same on JSON text ---------------------------------------------------------------------------------------------
 
 
-def bbox_struct(json: Column) -> Column:
-    return bbox_from_variants(F.from_json(json, "array<variant>"))
-
-
 def string_list(json: Column) -> Column:
     return strings_from_variants(F.from_json(json, "array<variant>"))
 

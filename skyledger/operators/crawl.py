@@ -173,7 +173,8 @@ def attach(features: DataFrame, targets: DataFrame, on_error: str = "fail") -> D
     joined = targets.drop("ancestors").join(features, "doc_uri")
     is_item = F.col("_is_item")
     if on_error == "fail":
-        failed = F.raise_error(F.concat(F.col("problem"), F.lit(" in the document '"), F.col("doc_uri"), F.lit("'")))
+        # naming the parent keeps the test above the join, where documents that are not reached are gone
+        failed = F.raise_error(F.format_string("%s in the document '%s', linked from '%s'", "problem", "doc_uri", "parent_uri"))
         is_item = F.when(F.col("problem").isNotNull(), failed.cast("boolean")).otherwise(is_item)
     joined = joined.where(is_item)
     is_first = F.col("feature_pos").isNull() | (F.col("feature_pos") == F.col("first_feature_pos"))

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.functions.geometry import wkt_of_geojson
-from skyledger.functions.json import assets_from_variants, bbox_from_variants, links_from_variants, strings_from_variants, text_of
+from skyledger.functions.geometry import GEOJSON_PARTS, wkt_of_parts
+from skyledger.functions.json import assets_from_variants, bbox_struct, links_from_variants, strings_from_variants, text_of
 from skyledger.operators.crawl import inherited
 from skyledger.types import FIXED_COLUMNS, LINK
 
@@ -17,8 +17,8 @@ REQUIRED = ["id", "geometry", "bbox", "stac_extensions", "links", "assets", "pro
 _MEMBERS = {
     "id": "VARIANT",
     "collection": "VARIANT",
-    "geometry": "STRING",
-    "bbox": "ARRAY<VARIANT>",
+    "geometry": f"STRUCT<{GEOJSON_PARTS}>",
+    "bbox": "STRING",
     "stac_extensions": "ARRAY<VARIANT>",
     "links": "ARRAY<VARIANT>",
     "assets": "MAP<STRING,VARIANT>",
@@ -62,27 +62,23 @@ def parse_features(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return out
 
 
-def missing_fields() -> Column:
-    """Names of the required members that a parsed feature lacks."""
+def _missing_names() -> list[Column]:
+    """Per required member its name where a parsed feature lacks it, else NULL."""
 
     def gone(name: str) -> Column:
         value = F.col(f"_f.{name}")
         if name == "id":
             value = text_of(value)
-        if name == "geometry":
-            value = _geometry_text()
+        if name == "bbox":
+            value = F.when(value.startswith("["), value)
         return F.when(value.isNull(), F.lit(name))
 
-    return F.array_compact(F.array(*[gone(n) for n in REQUIRED]))
-
-
-def _geometry_text() -> Column:
-    return F.when(F.col("_f.geometry").startswith("{"), F.col("_f.geometry"))
+    return [gone(n) for n in REQUIRED]
 
 
 def require_fields(items_raw: DataFrame, strict: bool = True) -> DataFrame:
     """``strict``: raise for a feature that lacks a required member. Else: the reject report (doc_uri, feature, missing)."""
-    parsed = parse_features(items_raw, T.StructType([])).withColumn("missing", missing_fields())
+    parsed = parse_features(items_raw, T.StructType([])).withColumn("missing", F.array_compact(F.array(*_missing_names())))
     if not strict:
         return parsed.where(F.size("missing") > 0).select("doc_uri", "feature", "missing")
     fault = F.format_string("Missing '%s' field", F.get("missing", F.lit(0)))
@@ -90,7 +86,8 @@ def require_fields(items_raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def _raise(rows: DataFrame) -> DataFrame:
-    text = F.concat("_fault", F.lit(" in the feature '"), F.col("doc_uri"), F.lit("'"))
+    # the page number comes from the closure: the test stays above its join and spares documents that are not reached
+    text = F.format_string("%s in the feature '%s' of page %s", "_fault", "doc_uri", F.col("page_pos").cast("string"))
     return rows.where(F.when(F.col("_fault").isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
 
 
@@ -106,22 +103,23 @@ def promote(schema: T.StructType) -> list[Column]:
 def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None = None) -> DataFrame:
     """Add the columns of the item table to features, under neutral names and without raising: ``_own`` (collection), ``_c<name>``
     for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item."""
-    parsed = parse_features(rows, schema)
-    missing = F.get(missing_fields(), F.lit(0))
-    shaped = parsed.withColumn("_cgeometry", wkt_of_geojson(_geometry_text(), wkt_digits)).select(
+    parsed = parse_features(rows, schema).withColumn("_cgeometry", wkt_of_parts(F.col("_f.geometry"), wkt_digits))
+    fault = F.coalesce(
+        F.concat(F.lit("Missing '"), F.coalesce(*_missing_names()), F.lit("' field")),
+        F.when(F.col("_cgeometry").isNull(), F.concat(F.lit("Invalid GeoJSON geometry "), F.to_json("_f.geometry"))),
+    )
+    return parsed.select(
         *rows.columns,
         text_of(F.col("_f.collection")).alias("_own"),
         text_of(F.col("_f.id")).alias("_cid"),
         "_cgeometry",
-        bbox_from_variants(F.col("_f.bbox")).alias("_cbbox"),
+        bbox_struct(F.col("_f.bbox")).alias("_cbbox"),
         strings_from_variants(F.col("_f.stac_extensions")).alias("_cstac_extensions"),
         links_from_variants(F.col("_f.links")).alias("_clinks"),
         assets_from_variants(F.col("_f.assets")).alias("_cassets"),
         *[c.alias(f"_p{i}") for i, c in enumerate(promote(schema))],
-        F.when(missing.isNotNull(), F.format_string("Missing '%s' field", missing))
-        .when(F.col("_cgeometry").isNull(), F.concat(F.lit("Invalid GeoJSON geometry "), _geometry_text())).alias("_fault"),
+        F.when(F.col("feature").isNotNull(), fault).alias("_fault"),
     )
-    return shaped
 
 
 def finish_items(shaped: DataFrame, schema: T.StructType, strict: bool = True, keep=()) -> DataFrame:

@@ -12,37 +12,51 @@ from skyledger.workspace import Workspace
 def follow_chain(heads: DataFrame, edges: DataFrame, work: Workspace) -> DataFrame:
     """Every node on the chains that begin at ``heads`` (node, ...payload), with its position ``pos`` counted from 0.
 
-    ``edges`` (src, dst) holds at most one successor per node. Pointer doubling: after round k the positions below 2^k are known
-    and each jump spans 2^k nodes, so a chain of n nodes takes log2(n) rounds of two joins on a unique key, however long it is.
-    A chain that runs into a circle is cut where it would repeat itself.
+    ``edges`` (src, dst) holds at most one successor per node. Pointer jumping: each round knows four times as many positions as
+    the one before and makes its strides four times as long, so a chain of n nodes takes log4(n) rounds of joins on a unique key,
+    however long it is. A chain that runs into a circle is cut where it would repeat itself.
     """
     payload = [c for c in heads.columns if c != "node"]
-    known, n = work.materialize(heads.withColumn("pos", F.lit(0).cast("bigint")), "chain-known-0")
-    if not n["n_rows"]:
-        return known
-    jumps, m = work.materialize(edges, "chain-jumps-0")
-    paths, n_edges, k = [known], m["n_rows"], 0
-    schema = known.schema
-    while True:
-        everything = paths[0]
-        for p in paths[1:]:
-            everything = everything.unionByName(p)
-        reached = everything.join(jumps, everything["node"] == jumps["src"]).select(
-            F.col("dst").alias("node"), *payload, (F.col("pos") + (1 << k)).alias("pos")
-        ).select(schema.names)
-        added, n = work.materialize(reached, f"chain-known-{k + 1}")
-        if not n["n_rows"]:
-            return everything
-        paths.append(added)
-        k += 1
-        if (1 << k) > n_edges + 1:
-            # longer than all edges together: there is a circle
-            whole = everything.unionByName(added)
-            return whole.groupBy(*[c for c in schema.names if c != "pos"]).agg(F.min("pos").alias("pos")).select(schema.names)
-        ahead = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
-        jumps, _ = work.materialize(
-            jumps.join(ahead, F.col("dst") == F.col("mid")).select("src", F.col("far").alias("dst")), f"chain-jumps-{k}"
+    known = heads.select("node", *payload, F.lit(0).cast("bigint").alias("pos"))
+    path, n = work.write(known, "chain-known-0")
+    schema, paths, step, n_edges = known.schema, [path], 1, None
+    while n["n_rows"]:
+        if n_edges is None:
+            one = edges.select("src", F.array("dst").alias("ahead"))
+            jumps, m = work.materialize(_stretch(one, 1), "chain-jumps-1")
+            n_edges = m["n_rows"]
+        else:
+            jumps, _ = work.materialize(_stretch(jumps, 4), f"chain-jumps-{step}")
+        so_far = work.read(schema, *paths)
+        reached = so_far.join(jumps, F.col("node") == F.col("src")).select(
+            *payload, "pos", F.posexplode("ahead").alias("_i", "_dst")
         )
+        reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"))
+        path, n = work.write(reached, f"chain-known-{step * 4}")
+        paths.append(path)
+        step *= 4
+        if n["n_rows"] and step > n_edges + 1:
+            # longer than all edges together: there is a circle
+            walked = work.read(schema, *paths)
+            return walked.groupBy("node", *payload).agg(F.min("pos").alias("pos"))
+    return work.read(schema, *paths)
+
+
+def _stretch(jumps: DataFrame, by: int) -> DataFrame:
+    """Jumps (src, ahead) of one, two and three strides, as far as the chain goes. ``by`` 1 takes the stride from ``ahead`` alone,
+    4 makes four old strides the new one."""
+
+    def follow(rows: DataFrame, at, hop: DataFrame) -> DataFrame:
+        hop = hop.select(F.col("src").alias("_mid"), F.col("to").alias("_far"))
+        return rows.join(hop, at == F.col("_mid"), "left").drop("_mid")
+
+    single = jumps.select("src", F.get("ahead", F.lit(0)).alias("to"))
+    if by == 4:
+        third = jumps.select("src", F.get("ahead", F.lit(2)).alias("third"))
+        single = follow(third, F.col("third"), single).where("_far IS NOT NULL").select("src", F.col("_far").alias("to"))
+    two = follow(single.withColumnRenamed("to", "a"), F.col("a"), single).withColumnRenamed("_far", "b")
+    three = follow(two, F.col("b"), single).withColumnRenamed("_far", "c")
+    return three.select("src", F.array_compact(F.array("a", "b", "c")).alias("ahead"))
 
 
 def follow_pages(documents: DataFrame, first_uris) -> DataFrame:

@@ -198,7 +198,7 @@ def render_requests(searches: DataFrame) -> DataFrame:
 # -- many searches -----------------------------------------------------------------------------------------------------
 
 # Cell sizes in degrees, finest first; the last one has one cell for the whole globe.
-CELL_SIZES = [1.0, 8.0, 64.0, 512.0]
+CELL_SIZES = [1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0, 512.0]
 
 
 def _level(box: Column) -> Column:
@@ -296,10 +296,10 @@ def _meets_search(first: Column, last: Column) -> list[Column]:
     box = F.col("bbox")
     foot = F.col("geometry")
     cheap = [
-        listed("q_collections", F.col("collection")), listed("q_ids", F.col("id")),
-        given(F.col("q_range"), _in_range(first, last, F.col("q_range"))),
         given(F.col("q_box"), F.coalesce(bbox_overlaps(box, F.col("q_box")), F.lit(False))),
         F.col("q_wkt").isNull() | F.coalesce(bbox_overlaps(box, F.col("q_extent")), F.lit(False)),
+        given(F.col("q_range"), _in_range(first, last, F.col("q_range"))),
+        listed("q_collections", F.col("collection")), listed("q_ids", F.col("id")),
     ]
     shapes = [
         foot.isNull() | F.col(s).isNull() | geom_intersects(shape_of_wkt(foot), F.col(s)) for s in ("q_box_shape", "q_wkt_shape")
@@ -326,14 +326,17 @@ def search_batch(items: DataFrame, searches: DataFrame) -> DataFrame:
     # An item meets searches of its own grid or a finer one on its own grid, coarser ones on theirs.
     used = F.array(*[F.lit(i) for i in range(n_levels) if counts[f"level_{i}"]] or [F.lit(-1)])
     i_levels = F.array_union(F.array("i_level"), F.filter(used, lambda l: l > F.col("i_level")))
-    spread = items.withColumn("i_eff", _effective(F.col("bbox"))).withColumn("i_level", _level(F.col("i_eff")))
+    # what the test needs of an item is made ready once, before the item meets searches
+    first, last = _item_times(items.columns)
+    spread = items.withColumns({"i_eff": _effective(F.col("bbox")), "i_first": first, "i_last": last})
+    spread = spread.withColumn("i_level", _level(F.col("i_eff")))
     spread = _with_cells(spread, "i", i_levels)
     keys = ["_level", "_cx", "_cy"]
     if counts["n_rows"] <= SEARCHES_TO_BROADCAST and (counts["weight"] or 0) <= CRITERIA_TO_BROADCAST:
         # counted above; each search has at most four cells on each grid
         pairs = spread.join(F.broadcast(q), keys)
     else:
-        # the grids have some 65,000 cells in all, so this table is bounded
+        # the grids have some 90,000 cells in all, so this table is bounded
         crowd = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         crowd, _ = work.materialize(crowd.select(*keys, F.ceil(F.col("n") / ITEMS_PER_SALT).cast("int").alias("_salts")), "crowd")
         crowd = F.broadcast(crowd)
@@ -347,6 +350,6 @@ def search_batch(items: DataFrame, searches: DataFrame) -> DataFrame:
         (F.col("_level") == F.greatest("i_level", "q_level"))
         & (F.col("_cx") == _cell_index(corner_x, -180.0, size)) & (F.col("_cy") == _cell_index(corner_y, -90.0, size))
     )
-    for condition in _meets_search(*_item_times(items.columns)):
+    for condition in _meets_search(F.col("i_first"), F.col("i_last")):
         pairs = pairs.where(condition)
     return pairs.select("search_id", *[F.col(f"`{c}`") for c in items.columns])

@@ -236,7 +236,7 @@ def explode_features(spark, sf_dir):
 
 
 @query("t8_cycle_guard", f"""
-    WITH {_PLACED} SELECT DISTINCT base || '/idx/l1-' || {_INDEX} || '.json' AS doc_uri, 'mem:/a/r' || n_regionkey || '/catalog.json' AS target_uri FROM placed""")
+    WITH {_PLACED} SELECT DISTINCT base || '/idx/l1-' || {_INDEX} || '.json' AS doc_uri, '{TREE}' AS target_uri FROM placed""")
 def cycle_guard(spark, sf_dir):
     return sky.cycles(sets.tree(spark, sf_dir, back_links=True), TREE).select("doc_uri", "target_uri")
 
