@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import let
+from skyledger.functions.columns import let, once
 
 # GeoJSON type names and their WKT keywords.
 KEYWORDS = {
@@ -195,12 +195,16 @@ def wkt_of_geojson(geometry: Column, digits: int | None = None) -> Column:
 
 def geojson_to_wkt(df, col: str, digits: int | None = None, strict: bool = True):
     """Replace the GeoJSON column ``col`` by WKT. An invalid geometry raises, or gives NULL when ``strict`` is off."""
-    wkt = wkt_of_geojson(F.col(col), digits)
-    if strict:
-        wkt = F.when(F.col(col).isNull(), F.lit(None).cast("string")).otherwise(
-            F.coalesce(wkt, F.raise_error(F.concat(F.lit("Invalid GeoJSON geometry: "), F.col(col))))
-        )
-    return df.withColumn(col, wkt)
+    return _converted(df, col, wkt_of_geojson(F.col(col), digits), "Invalid GeoJSON geometry: " if strict else None)
+
+
+def _converted(df, col: str, value: Column, complaint: str | None):
+    done = once(df, value, "_converted")
+    result = F.col("_converted")
+    if complaint:
+        given = F.col(col).isNotNull()
+        result = F.when(result.isNull() & given, F.raise_error(F.concat(F.lit(complaint), F.col(col))).cast("string")).otherwise(result)
+    return done.select(*[result.alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
 
 
 # -- WKT -> GeoJSON ----------------------------------------------------------------------------------------------------
@@ -292,12 +296,7 @@ def geojson_of_wkt(wkt: Column) -> Column:
 
 def wkt_to_geojson(df, col: str, strict: bool = True):
     """Replace the WKT column ``col`` by GeoJSON. Text that is no geometry raises, or gives NULL when ``strict`` is off."""
-    geojson = geojson_of_wkt(F.col(col))
-    if strict:
-        geojson = F.when(F.col(col).isNull(), F.lit(None).cast("string")).otherwise(
-            F.coalesce(geojson, F.raise_error(F.concat(F.lit("Failed to parse geometry: "), F.col(col))))
-        )
-    return df.withColumn(col, geojson)
+    return _converted(df, col, geojson_of_wkt(F.col(col)), "Failed to parse geometry: " if strict else None)
 
 
 # -- envelopes ---------------------------------------------------------------------------------------------------------
@@ -451,9 +450,8 @@ def geom_intersects(a: Column, b: Column) -> Column:
 
 def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float, float, float, float] | None]:
     """A search geometry parsed once, as a literal shape and its extent. Raises ValueError for text that is no geometry."""
-    row = spark.range(1).select(
-        wkt.alias("wkt"), geojson_of_wkt(wkt).isNotNull().alias("ok"), F.to_json(shape_of_wkt(wkt)).alias("s")
-    ).first()
+    given = spark.range(1).select(wkt.alias("wkt"))
+    row = given.select("wkt", geojson_of_wkt(F.col("wkt")).isNotNull().alias("ok"), F.to_json(shape_of_wkt(F.col("wkt"))).alias("s")).first()
     if not row["ok"]:
         raise ValueError(f"Failed to parse geometry: {row['wkt']}")
     shape = json.loads(row["s"])

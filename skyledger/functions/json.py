@@ -39,19 +39,17 @@ def bbox_struct(json: Column) -> Column:
     """Array text of four or more numbers -> struct(minx, miny, maxx, maxy); six numbers carry heights at positions 2 and 5.
     NULL when one of the corners is no number."""
 
-    def corners(parts):
-        upper = F.when(F.size(parts) == 6, 4).otherwise(3)
+    def corners(n):
+        upper = F.when((F.size(n) == 6) & F.get(n, F.lit(4)).isNotNull() & F.get(n, F.lit(5)).isNotNull(), 4).otherwise(3)
         at = [F.lit(0), F.lit(1), upper - 1, upper]
-        return F.struct(*[_number(F.get(parts, i)).alias(n) for i, n in zip(at, BBOX.names)])
+        return let(F.array(*[F.get(n, i) for i in at]), lambda c: F.when(~F.exists(c, lambda x: x.isNull()), box(c)))
 
-    parts = F.when(json.startswith("["), F.split(F.regexp_replace(json, r"[\s\[\]]++", ""), ","))
-    whole = let(parts, corners)
-    flat = ~json.rlike(r"\[[^\[\]]*+\[")
-    return F.when(flat & F.coalesce(*[F.when(whole[n].isNull(), False) for n in BBOX.names], F.lit(True)), whole)
+    def box(c):
+        return F.struct(*[F.get(c, F.lit(i)).alias(name) for i, name in enumerate(BBOX.names)])
 
-
-def _number(text: Column) -> Column:
-    return F.when(text.rlike(r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"), text.cast("double"))
+    inner = F.substr(json, F.lit(2), F.length(json) - 2)
+    numbers = F.transform(F.split(inner, ","), lambda t: t.try_cast("double"))
+    return F.when(json.startswith("["), let(numbers, corners))
 
 
 def strings_from_variants(values: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.functions.columns import once
 from skyledger.functions.geometry import GEOJSON_PARTS, wkt_of_parts
 from skyledger.functions.json import assets_from_variants, bbox_struct, links_from_variants, strings_from_variants, text_of
 from skyledger.operators.crawl import inherited
@@ -56,9 +57,9 @@ def parse_features(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Add ``_f``, all members of ``feature`` with the properties typed: one pass over the text, whatever the number of columns."""
     first, *more = _layers(schema)
     members = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in _MEMBERS.items()))
-    out = rows.withColumn("_f", F.from_json("feature", members.add("properties", first)))
+    out = once(rows, F.from_json("feature", members.add("properties", first)), "_f")
     for i, layer in enumerate(more, 1):
-        out = out.withColumn(f"_f{i}", F.from_json("feature", T.StructType().add("properties", layer)))
+        out = once(out, F.from_json("feature", T.StructType().add("properties", layer)), f"_f{i}")
     return out
 
 
@@ -103,17 +104,19 @@ def promote(schema: T.StructType) -> list[Column]:
 def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None = None) -> DataFrame:
     """Add the columns of the item table to features, under neutral names and without raising: ``_own`` (collection), ``_c<name>``
     for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item."""
-    parsed = parse_features(rows, schema).withColumn("_cgeometry", wkt_of_parts(F.col("_f.geometry"), wkt_digits))
+    parsed = parse_features(rows, schema)
+    wkt = wkt_of_parts(F.col("_f.geometry"), wkt_digits)
+    parsed = once(parsed, F.struct(wkt.alias("wkt"), bbox_struct(F.col("_f.bbox")).alias("bbox")), "_g")
     fault = F.coalesce(
         F.concat(F.lit("Missing '"), F.coalesce(*_missing_names()), F.lit("' field")),
-        F.when(F.col("_cgeometry").isNull(), F.concat(F.lit("Invalid GeoJSON geometry "), F.to_json("_f.geometry"))),
+        F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("Invalid GeoJSON geometry "), F.to_json("_f.geometry"))),
     )
     return parsed.select(
         *rows.columns,
         text_of(F.col("_f.collection")).alias("_own"),
         text_of(F.col("_f.id")).alias("_cid"),
-        "_cgeometry",
-        bbox_struct(F.col("_f.bbox")).alias("_cbbox"),
+        F.col("_g.wkt").alias("_cgeometry"),
+        F.col("_g.bbox").alias("_cbbox"),
         strings_from_variants(F.col("_f.stac_extensions")).alias("_cstac_extensions"),
         links_from_variants(F.col("_f.links")).alias("_clinks"),
         assets_from_variants(F.col("_f.assets")).alias("_cassets"),

@@ -19,27 +19,28 @@ def follow_chain(heads: DataFrame, edges: DataFrame, work: Workspace) -> DataFra
     payload = [c for c in heads.columns if c != "node"]
     known = heads.select("node", *payload, F.lit(0).cast("bigint").alias("pos"))
     path, n = work.write(known, "chain-known-0")
-    schema, paths, step, n_edges = known.schema, [path], 1, None
-    while n["n_rows"]:
-        if n_edges is None:
-            one = edges.select("src", F.array("dst").alias("ahead"))
-            jumps, m = work.materialize(_stretch(one, 1), "chain-jumps-1")
-            n_edges = m["n_rows"]
-        else:
+    schema, paths, step = known.schema, [path], 1
+    if not n["n_rows"]:
+        return work.read(schema, path)
+    single = edges.select("src", F.array("dst").alias("ahead"))
+    jumps, m = work.materialize(_stretch(single, 1), "chain-jumps-1")
+    n_edges = m["n_rows"]
+    while n["n_rows"] and step <= n_edges + 1:
+        if step > 1:
             jumps, _ = work.materialize(_stretch(jumps, 4), f"chain-jumps-{step}")
         so_far = work.read(schema, *paths)
         reached = so_far.join(jumps, F.col("node") == F.col("src")).select(
             *payload, "pos", F.posexplode("ahead").alias("_i", "_dst")
         )
         reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"))
-        path, n = work.write(reached, f"chain-known-{step * 4}")
+        path, n = work.write(reached, f"chain-known-{step * 4}", last=F.max("pos"))
         paths.append(path)
         step *= 4
-        if n["n_rows"] and step > n_edges + 1:
-            # longer than all edges together: there is a circle
-            walked = work.read(schema, *paths)
-            return walked.groupBy("node", *payload).agg(F.min("pos").alias("pos"))
-    return work.read(schema, *paths)
+    walked = work.read(schema, *paths)
+    if n["n_rows"] and n.get("last", 0) > n_edges:
+        # a walk longer than all edges together runs in a circle
+        return walked.groupBy("node", *payload).agg(F.min("pos").alias("pos"))
+    return walked
 
 
 def _stretch(jumps: DataFrame, by: int) -> DataFrame:

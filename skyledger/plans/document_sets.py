@@ -28,7 +28,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = SETS[name](spark, sf_dir)
     if key not in _landed:
         # spread by key: the tables are small files, and a document is worth far more work than the row it comes from
-        _landed[key], _ = Workspace(spark).write(df.repartition(df.columns[0]), name)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _landed[key], _ = Workspace(spark).write(df.repartition(n, df.columns[0]), name)
     return spark.read.schema(df.schema).parquet(_landed[key])
 
 
