@@ -99,7 +99,7 @@ def _box_literal(box: tuple[float, float, float, float]) -> Column:
     return F.struct(*[F.lit(v).alias(n) for n, v in zip(("minx", "miny", "maxx", "maxy"), box)])
 
 
-def _box_prefilter(box: tuple[float, float, float, float]) -> Column:
+def _box_prefilter(box: tuple[float, float, float, float], names: list[str]) -> Column:
     """Overlap with a known box; the parts on single fields reach the scan of a stored table."""
     minx, miny, maxx, maxy = box
     b = F.col("bbox")
@@ -108,7 +108,8 @@ def _box_prefilter(box: tuple[float, float, float, float]) -> Column:
     along_y = (b["miny"] <= F.lit(maxy)) & (b["maxy"] >= F.lit(miny))
     inside = (b["minx"] <= F.lit(maxx)) & (b["maxx"] >= F.lit(minx))
     crossing = (b["minx"] > b["maxx"]) & ((b["minx"] <= F.lit(maxx)) | (b["maxx"] >= F.lit(minx)))
-    return along_y & (inside | crossing)
+    exact = along_y & (inside | crossing)
+    return (inside | F.col("crosses_antimeridian")) & exact if "crosses_antimeridian" in names else exact
 
 
 def _footprint_meets(shape: Column) -> Column:
@@ -121,7 +122,7 @@ def _geometry_conditions(items: DataFrame, wkt: Column) -> tuple[Column, Column]
     shape, extent = shape_literal(items.sparkSession, wkt)
     if extent is None:
         return F.lit(False), F.lit(False)
-    return _box_prefilter(extent), _footprint_meets(shape)
+    return _box_prefilter(extent, items.columns), _footprint_meets(shape)
 
 
 # -- one search --------------------------------------------------------------------------------------------------------
@@ -151,7 +152,7 @@ def search(
     exact = []
     if bbox is not None:
         box = parse_envelope(bbox)
-        conditions.append(_box_prefilter(box))
+        conditions.append(_box_prefilter(box, items.columns))
         exact.append(_geometry_conditions(items, envelope_wkt(_box_literal(box)))[1])
     if intersects is not None:
         near, meets = _geometry_conditions(items, F.lit(intersects))

@@ -33,10 +33,12 @@ def read(
 def store_items(items: DataFrame, path: str, n_files: int | None = None) -> None:
     """Write the item table so that searches skip most of it: ranges of collection, place and time.
 
-    Place is a cell of eight degrees. A collection that holds most items is cut by place and time into many ranges.
+    Place is a cell of eight degrees. A collection that holds most items is cut by place and time into many ranges. The extra
+    column ``crosses_antimeridian`` lets a search skip by longitude too, as the two ends of such a box say nothing on their own.
     """
     cell = F.floor((F.col("bbox.minx") + 180) / 8) * 64 + F.floor((F.col("bbox.miny") + 90) / 8)
     order = ["collection", "_cell"] + (["datetime"] if "datetime" in items.columns else []) + ["id"]
-    placed = items.withColumn("_cell", F.coalesce(cell, F.lit(-1)))
+    crosses = F.coalesce(F.col("bbox.minx") > F.col("bbox.maxx"), F.lit(False))
+    placed = items.withColumns({"crosses_antimeridian": crosses, "_cell": F.coalesce(cell, F.lit(-1))})
     ranged = placed.repartitionByRange(n_files, *order) if n_files else placed.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).drop("_cell").write.parquet(path)
