@@ -37,19 +37,24 @@ def _opened(targets: DataFrame, containers: DataFrame) -> DataFrame:
     return opened.withColumns({"catalog": catalog, "collection": collection})
 
 
-def _children(opened: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(children, links back to an ancestor) of opened targets."""
-    first_item = F.try_element_at(F.filter("links", lambda l: l["rel"] == "item"), F.lit(1))["pos"]
-    rows = opened.withColumn("first_item", first_item).withColumn("l", F.explode("links"))
-    rows = rows.withColumn("way", F.concat("ancestors", F.array("doc_uri")))
-    back = F.array_contains("way", F.col("l.dst"))
-    children = rows.where(~back).select(
+def _followed(opened: DataFrame) -> tuple[DataFrame, Column]:
+    """The links of opened targets, and whether one leads back to an ancestor."""
+    rows = opened.select(
+        "*", F.concat("ancestors", F.array("doc_uri")).alias("way"),
+        F.try_element_at(F.filter("links", lambda l: l["rel"] == "item"), F.lit(1))["pos"].alias("first_item"),
+        F.explode("links").alias("l"),
+    )
+    return rows, F.array_contains("way", F.col("l.dst"))
+
+
+def _children(opened: DataFrame) -> DataFrame:
+    rows, back = _followed(opened)
+    return rows.where(~back).select(
         F.col("l.dst").alias("doc_uri"), "catalog", "collection", "page_pos",
         F.concat("dfs_path", F.array(F.col("l.pos") + LINKS_AFTER_FEATURES)).alias("dfs_path"),
         (F.col("sampled") & ((F.col("l.rel") != "item") | (F.col("l.pos") == F.col("first_item")))).alias("sampled"),
         F.col("way").alias("ancestors"), F.col("doc_uri").alias("parent_uri"),
     )
-    return children, rows.where(back).select("doc_uri", F.col("l.dst").alias("target_uri"), "dfs_path")
 
 
 class Closure:
@@ -75,7 +80,7 @@ class Closure:
             while n["n_rows"]:
                 paths.append(path)
                 unwalked.append(path)
-                children, _ = _children(_opened(work.read(schema, path), self.containers))
+                children = _children(_opened(work.read(schema, path), self.containers))
                 path, n = work.write(children, f"level-{len(paths)}")
             if not (paged and unwalked):
                 break
@@ -85,7 +90,7 @@ class Closure:
                 # later pages bring features and links of their own; their next links have just been walked
                 paths.append(path)
                 unwalked = []
-                children, _ = _children(_opened(work.read(schema, path), self.containers))
+                children = _children(_opened(work.read(schema, path), self.containers))
                 path, n = work.write(children, f"level-{len(paths)}")
         self.targets = work.read(schema, *paths)
         lost = self.missing().first() if on_missing == "fail" else None
@@ -109,7 +114,8 @@ class Closure:
 
     def back_links(self) -> DataFrame:
         """Links that lead back to an ancestor and were not followed."""
-        return _children(_opened(self.targets, self.containers))[1]
+        rows, back = _followed(_opened(self.targets, self.containers))
+        return rows.where(back).select("doc_uri", F.col("l.dst").alias("target_uri"), "dfs_path")
 
     def missing(self) -> DataFrame:
         """Reached addresses without a document."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +27,19 @@ def follow_chain(heads: DataFrame, edges: DataFrame, work: Workspace) -> DataFra
     single = edges.select("src", F.array("dst").alias("ahead"))
     jumps, m = work.materialize(_stretch(single, 1), "chain-jumps-1")
     n_edges = m["n_rows"]
-    while n["n_rows"] and step <= n_edges + 1:
-        if step > 1:
-            jumps, _ = work.materialize(_stretch(jumps, 4), f"chain-jumps-{step}")
-        so_far = work.read(schema, *paths)
-        reached = so_far.join(jumps, F.col("node") == F.col("src")).select(
-            *payload, "pos", F.posexplode("ahead").alias("_i", "_dst")
-        )
-        reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"))
-        path, n = work.write(reached, f"chain-known-{step * 4}", last=F.max("pos"))
-        paths.append(path)
-        step *= 4
+    with ThreadPoolExecutor(1) as aside:
+        while n["n_rows"] and step <= n_edges + 1:
+            # the next strides come from these strides alone, so they are made while these are walked
+            longer = aside.submit(work.materialize, _stretch(jumps, 4), f"chain-jumps-{step * 4}") if step * 4 <= n_edges + 1 else None
+            so_far = work.read(schema, *paths)
+            reached = so_far.join(jumps, F.col("node") == F.col("src")).select(
+                *payload, "pos", F.posexplode("ahead").alias("_i", "_dst")
+            )
+            reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"))
+            path, n = work.write(reached, f"chain-known-{step * 4}", last=F.max("pos"))
+            paths.append(path)
+            step *= 4
+            jumps = longer.result()[0] if longer else jumps
     walked = work.read(schema, *paths)
     if n["n_rows"] and n.get("last", 0) > n_edges:
         # a walk longer than all edges together runs in a circle
