@@ -29,40 +29,38 @@ def _roots(documents: DataFrame, root_uris) -> DataFrame:
     return documents.sparkSession.createDataFrame(rows, TARGET)
 
 
-def _opened(targets: DataFrame, containers: DataFrame) -> DataFrame:
-    """Targets that are containers, with the ids their children inherit."""
-    opened = targets.join(containers, "doc_uri")
+def _opened(targets: DataFrame, containers: DataFrame, links: str) -> DataFrame:
+    """Targets that are containers, with one column of the container table and the ids their children inherit."""
+    opened = targets.join(containers.select("doc_uri", "kind", "own_id", links), "doc_uri")
     catalog = F.when(F.col("kind") == "Catalog", F.coalesce("own_id", "catalog")).otherwise(F.col("catalog"))
     collection = F.when(F.col("kind") == "Collection", F.coalesce("own_id", "collection")).otherwise(F.col("collection"))
     return opened.withColumns({"catalog": catalog, "collection": collection})
 
 
-def _followed(opened: DataFrame) -> tuple[DataFrame, Column]:
+def _followed(opened: DataFrame, links: str) -> tuple[DataFrame, Column]:
     """The links of opened targets, and whether one leads back to an ancestor."""
-    rows = opened.select(
-        "*", F.concat("ancestors", F.array("doc_uri")).alias("way"),
-        F.try_element_at(F.filter("links", lambda l: l["rel"] == "item"), F.lit(1))["pos"].alias("first_item"),
-        F.explode("links").alias("l"),
-    )
+    first_item = F.get(links, F.lit(0))["pos"]
+    rows = opened.select("*", F.concat("ancestors", F.array("doc_uri")).alias("way"), first_item.alias("first"), F.explode(links).alias("l"))
     return rows, F.array_contains("way", F.col("l.dst"))
 
 
-def _children(opened: DataFrame) -> DataFrame:
-    rows, back = _followed(opened)
+def _children(opened: DataFrame, links: str) -> DataFrame:
+    rows, back = _followed(opened, links)
     return rows.where(~back).select(
         F.col("l.dst").alias("doc_uri"), "catalog", "collection", "page_pos",
         F.concat("dfs_path", F.array(F.col("l.pos") + LINKS_AFTER_FEATURES)).alias("dfs_path"),
-        (F.col("sampled") & ((F.col("l.rel") != "item") | (F.col("l.pos") == F.col("first_item")))).alias("sampled"),
+        (F.col("sampled") & ((F.col("l.rel") != "item") | (F.col("l.pos") == F.col("first")))).alias("sampled"),
         F.col("way").alias("ancestors"), F.col("doc_uri").alias("parent_uri"),
     )
 
 
 class Closure:
-    """All documents reached from the roots, found level by level; page chains are walked by doubling.
+    """All documents reached from the roots: catalogs and collections level by level, then the items they link, then the chains of
+    next pages by pointer jumping, until nothing new is found.
 
-    Only the narrow container table takes part in the loop. Each level joins the links found one level higher with it, so every
-    link is joined once in all, and each level is written before the next begins. A document reached on two ways is reached
-    twice, as a tree walk would; a link back to one of its own ancestors is not followed.
+    Only the narrow container table takes part in the walk, and of it only the links in question: the item links are read and
+    joined once, after the walk through the catalogs. Each step is written before the next begins. A document reached on two ways
+    is reached twice, as a tree walk would; a link back to one of its own ancestors is not followed.
     """
 
     def __init__(self, documents: DataFrame, root_uris, follow_next: bool = True, on_missing: str = "drop"):
@@ -70,33 +68,54 @@ class Closure:
             raise ValueError("on_missing must be 'fail' or 'drop'")
         self.documents = documents
         self.work = work = Workspace(documents.sparkSession)
-        is_paged = F.count_if(F.col("next_uri").isNotNull())
-        self.containers, counts = work.materialize(container_nodes(documents), "containers", n_paged=is_paged)
-        paged = follow_next and counts["n_paged"] > 0
-        schema = documents.sparkSession.createDataFrame([], TARGET).schema
-        paths, unwalked = [], []
-        path, n = work.write(_roots(documents, root_uris), "level-0")
-        while n["n_rows"]:
-            while n["n_rows"]:
-                paths.append(path)
-                unwalked.append(path)
-                children = _children(_opened(work.read(schema, path), self.containers))
-                path, n = work.write(children, f"level-{len(paths)}")
-            if not (paged and unwalked):
-                break
-            heads = _opened(work.read(schema, *unwalked), self.containers).where("next_uri IS NOT NULL")
-            path, n = work.write(self._next_pages(heads), f"level-{len(paths)}-pages")
-            if n["n_rows"]:
-                # later pages bring features and links of their own; their next links have just been walked
-                paths.append(path)
-                unwalked = []
-                children = _children(_opened(work.read(schema, path), self.containers))
-                path, n = work.write(children, f"level-{len(paths)}")
-        self.targets = work.read(schema, *paths)
+        self.schema = documents.sparkSession.createDataFrame([], TARGET).schema
+        self.containers, counts = work.materialize(
+            container_nodes(documents), "containers", n_paged=F.count_if(F.col("next_uri").isNotNull()),
+            n_children=F.count_if(F.size("child_links") > 0), n_items=F.count_if(F.size("item_links") > 0),
+        )
+        path, _ = work.write(_roots(documents, root_uris), "level-0")
+        paths, unopened = [path], [(path, "roots")]
+        while unopened:
+            path, origin = unopened.pop(0)
+            found = self._descend(path) if counts["n_children"] else []
+            paths += found
+            tree = [path, *found]
+            if counts["n_items"]:
+                path, n = self._step(_children(self._open(tree, "item_links"), "item_links"))
+                if n:
+                    paths.append(path)
+                    # a link called item may lead to a container all the same
+                    odd, n = self._step(work.read(self.schema, path).join(self.containers.select("doc_uri"), "doc_uri", "left_semi"))
+                    unopened += [(odd, "items")] if n else []
+            # the next links of later pages are part of the chain that led to them
+            heads = tree[1:] if origin == "pages" else tree
+            if follow_next and counts["n_paged"] and heads:
+                path, n = self._step(self._next_pages(self._open(heads, "next_uri").where("next_uri IS NOT NULL")))
+                if n:
+                    paths.append(path)
+                    unopened.append((path, "pages"))
+        self.targets = work.read(self.schema, *paths)
         lost = self.missing().first() if on_missing == "fail" else None
         if lost is not None:
             raise FileNotFoundError(f"Failed to open the document '{lost['doc_uri']}', linked from '{lost['parent_uri']}'")
 
+    def _step(self, df: DataFrame) -> tuple[str, int]:
+        self.n_steps = getattr(self, "n_steps", 0) + 1
+        path, n = self.work.write(df.select(self.schema.names), f"step-{self.n_steps}")
+        return path, n["n_rows"]
+
+    def _open(self, paths: list[str], links: str) -> DataFrame:
+        return _opened(self.work.read(self.schema, *paths), self.containers, links)
+
+    def _descend(self, path: str) -> list[str]:
+        """Tables of what child links lead to from here, one per level."""
+        found = []
+        while True:
+            path, n = self._step(_children(self._open([path], "child_links"), "child_links"))
+            if not n:
+                return found
+            found.append(path)
+
     def _next_pages(self, heads: DataFrame) -> DataFrame:
         starts = heads.select(
             F.col("doc_uri").alias("node"), "catalog", "collection", "page_pos", "dfs_path", "ancestors",
@@ -114,8 +133,11 @@ class Closure:
 
     def back_links(self) -> DataFrame:
         """Links that lead back to an ancestor and were not followed."""
-        rows, back = _followed(_opened(self.targets, self.containers))
-        return rows.where(back).select("doc_uri", F.col("l.dst").alias("target_uri"), "dfs_path")
+        parts = []
+        for links in ("child_links", "item_links"):
+            rows, back = _followed(_opened(self.targets, self.containers, links), links)
+            parts.append(rows.where(back).select("doc_uri", F.col("l.dst").alias("target_uri"), "dfs_path"))
+        return parts[0].unionByName(parts[1])
 
     def missing(self) -> DataFrame:
         """Reached addresses without a document."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import let
+from skyledger.functions.columns import let, once
 from skyledger.functions.json import member_text, text_of
 from skyledger.functions.uri import resolve_href
 from skyledger.types import CHILD_RELS, CONTAINER_KINDS
@@ -46,17 +46,21 @@ def _child_links(doc_uri: Column, links: Column) -> Column:
 
 
 def container_nodes(documents: DataFrame) -> DataFrame:
-    """The documents whose links are followed: (doc_uri, kind, own_id, links, next_uri). A narrow table next to the documents."""
+    """The documents whose links are followed: (doc_uri, kind, own_id, child_links, item_links, next_uri).
+
+    A narrow table next to the documents. Item links, which are most of all links, are a column of their own, so that the walk
+    through catalogs and collections does not read them.
+    """
     # Most documents are items: a test of the raw text spares parsing them. A type spelt with escapes passes it too.
     spelt = [F.contains("body", F.lit(t)) for t in ('Catalog"', 'Collection"', "\\u")]
     documents = documents.where(spelt[0] | spelt[1] | spelt[2])
     head = documents.select("doc_uri", F.from_json("body", "type VARIANT, id VARIANT, links ARRAY<VARIANT>").alias("d"))
     nodes = head.select("doc_uri", text_of(F.col("d.type")).alias("kind"), text_of(F.col("d.id")).alias("own_id"), F.col("d.links").alias("links"))
     nodes = nodes.where(F.col("kind").isin(CONTAINER_KINDS))
-    nodes = nodes.withColumn("links", _child_links(F.col("doc_uri"), F.col("links")))
+    nodes = once(nodes, _child_links(F.col("doc_uri"), F.col("links")), "l")
     # of several next links the last one counts
-    next_uri = F.try_element_at(F.filter("links", lambda l: l["rel"] == "next"), F.lit(-1))["dst"]
+    next_uri = F.try_element_at(F.filter("l", lambda l: l["rel"] == "next"), F.lit(-1))["dst"]
     return nodes.select(
-        "doc_uri", "kind", "own_id", F.filter("links", lambda l: l["rel"] != "next").alias("links"),
-        next_uri.alias("next_uri"),
+        "doc_uri", "kind", "own_id", F.filter("l", lambda l: l["rel"].isin("child", "items")).alias("child_links"),
+        F.filter("l", lambda l: l["rel"] == "item").alias("item_links"), next_uri.alias("next_uri"),
     )

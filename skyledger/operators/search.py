@@ -338,10 +338,12 @@ def search_batch(items: DataFrame, searches: DataFrame) -> DataFrame:
         pairs = spread.join(F.broadcast(q), keys)
     else:
         # the grids have some 90,000 cells in all, so this table is bounded
+        # written once: it is counted and then joined, and a row keeps its serial number, and so its share, whatever is run again
+        spread, _ = work.materialize(spread.withColumn("_serial", F.monotonically_increasing_id()), "spread")
         crowd = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         crowd, _ = work.materialize(crowd.select(*keys, F.ceil(F.col("n") / ITEMS_PER_SALT).cast("int").alias("_salts")), "crowd")
         crowd = F.broadcast(crowd)
-        salted = spread.join(crowd, keys).withColumn("_salt", F.pmod(F.xxhash64("collection", "id", F.monotonically_increasing_id()), F.col("_salts")).cast("int"))
+        salted = spread.join(crowd, keys).withColumn("_salt", F.pmod(F.xxhash64("_serial"), F.col("_salts")).cast("int"))
         copies = q.join(crowd, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
         pairs = salted.drop("_salts").join(copies.drop("_salts"), [*keys, "_salt"])
     size = _size_of(F.col("_level"))
