@@ -7,7 +7,7 @@ from skyledger.operators.links import explode_links
 from skyledger.operators.pages import follow_pages, matched_audit
 from skyledger.operators.schema import infer_schema, merge_schema, property_names, property_types
 from skyledger.operators.search import number_pages, render_requests, search, search_batch
-from skyledger.plans.read import read, store_items
+from skyledger.plans.read import read, read_catalog, store_items
 from skyledger.sources.documents import read_documents, validate, with_kind
 from skyledger.sources.responses import freshest_response, read_responses, response_documents
 from skyledger.types import ASSET, BBOX, LINK
@@ -15,7 +15,7 @@ from skyledger.types import ASSET, BBOX, LINK
 __all__ = [
     "ASSET", "BBOX", "LINK", "crawl", "crawl_order", "cycles", "explode_features", "explode_links", "follow_pages",
     "freshest_response", "geojson_to_wkt", "infer_schema", "inherit_ids", "items", "make_envelope", "matched_audit",
-    "merge_schema", "missing_targets", "number_pages", "property_names", "property_types", "reach", "read", "read_documents",
+    "merge_schema", "missing_targets", "number_pages", "property_names", "property_types", "reach", "read", "read_catalog", "read_documents",
     "read_responses", "render_requests", "require_fields", "response_documents", "search", "search_batch", "store_items",
     "validate", "with_kind", "wkt_to_geojson",
 ]

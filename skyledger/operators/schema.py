@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +61,6 @@ def property_names(items_raw: DataFrame) -> DataFrame:
 
 def _numbered(columns: DataFrame) -> DataFrame:
     # one row per column of the table
-    from pyspark.sql import Window
-
     return columns.withColumn("ordinal", F.row_number().over(Window.orderBy("place", "name")) - 1)
 
 

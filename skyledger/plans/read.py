@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.crawl import Closure, attach, features_of
 from skyledger.operators.items import finish_items, pick_columns, shape_features
 from skyledger.operators.schema import infer_schema, property_fields
+from skyledger.sources.documents import read_documents
 
 
 def read(
@@ -30,6 +31,24 @@ def read(
     return finish_items(shaped, schema, strict, keep)
 
 
+def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The item table of the catalog whose root document is the JSON file ``path``; its documents lie in the folder below.
+
+    An address that is no JSON file is an endpoint: land its responses and pass ``response_documents`` to ``read``.
+    """
+    if not path:
+        raise ValueError("the address of the root document is empty")
+    if not path.lower().endswith((".json", ".geojson")):
+        raise ValueError(f"'{path}' is an endpoint, land its responses first")
+    folder, _, name = path.rpartition("/")
+    documents = read_documents(spark, folder or ".")
+    # Spark names files by their full address; of files with this name the root is the one nearest to the folder
+    root = documents.where(F.col("doc_uri").endswith(f"/{name}")).select("doc_uri").orderBy(F.length("doc_uri")).first()
+    if root is None:
+        raise FileNotFoundError(f"Failed to open the document '{path}'")
+    return read(documents, root["doc_uri"], **options)
+
+
 def store_items(items: DataFrame, path: str, n_files: int | None = None) -> None:
     """Write the item table so that searches skip most of it: ranges of collection, place and time.
 

@@ -155,8 +155,13 @@ def test_read_documents(spark, tmp_path):
     import json
     (tmp_path / "sub" / "i.geojson").write_text(json.dumps(feature("i"), indent=2))
     (tmp_path / "notes.txt").write_text("x")
-    docs = sky.read_documents(spark, str(tmp_path))
-    root = docs.where("doc_uri LIKE '%/catalog.json'").first()["doc_uri"]
-    items = sky.read(docs, root)
+    (tmp_path / "sub" / "catalog.json").write_text('{"type": "Catalog"}')
+    assert sky.read_documents(spark, str(tmp_path)).count() == 3
+    items = sky.read_catalog(spark, f"{tmp_path}/catalog.json")
     items.createOrReplaceTempView("catalog_items")
     assert [tuple(r) for r in spark.sql("SELECT catalog, id, bbox.minx FROM catalog_items WHERE bbox.minx > 1").collect()] == [("c", "i", 1.5)]
+    with pytest.raises(FileNotFoundError):
+        sky.read_catalog(spark, f"{tmp_path}/other.json")
+    for bad in ("", "https://host/search?limit=10"):
+        with pytest.raises(ValueError):
+            sky.read_catalog(spark, bad)
