@@ -40,7 +40,8 @@ def instant(text: Column) -> Column:
 
 
 def _last_moment(text: Column) -> Column:
-    whole_day = instant(text) + F.expr("INTERVAL '1' DAY") - F.expr("INTERVAL '0.000001' SECOND")
+    # a day of 24 hours, whatever the clocks of the session's time zone do
+    whole_day = F.timestamp_micros(F.unix_micros(instant(text)) + 86_399_999_999)
     return F.when(text.rlike(_DATE), whole_day).otherwise(instant(text))
 
 
@@ -81,7 +82,7 @@ def _datetime_condition(names: list[str], text: str) -> Column:
         return exact
     # A coarse bound on the text itself, one day wider than any offset can shift it: it reaches the scan of a stored table.
     ends = (text.split("/") * 2)[:2]
-    at = F.col("datetime")
+    at = F.col("datetime").cast("string")
     coarse = []
     if ends[0] not in ("", ".."):
         coarse.append(at >= F.date_format(F.date_sub(F.lit(ends[0][:10]).cast("date"), 2), "yyyy-MM-dd"))

@@ -15,8 +15,15 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet", schema=
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def response_documents(responses: DataFrame, on_error: str = "fail") -> DataFrame:
-    """Responses as documents. A status other than 200 raises, is dropped, or is listed (``report``)."""
+def response_documents(responses: DataFrame, on_error: str = "fail", latest: bool = False) -> DataFrame:
+    """Responses as documents. A status other than 200 raises, is dropped, or is listed (``report``).
+
+    ``latest`` keeps the last response of each address, as a reader of the live catalog would see it; following links needs one
+    document per address. An address that was fetched very often is reduced before the shuffle.
+    """
+    if latest:
+        row = F.max_by(F.struct("status", "body"), "fetched_at").alias("r")
+        responses = responses.groupBy("url").agg(row).select("url", "r.status", "r.body")
     bad = F.coalesce(F.col("status") != 200, F.lit(True))
     if on_error == "report":
         return responses.where(bad).select("url", "status")

@@ -25,8 +25,7 @@ def ordered(columns, rows):
 
 
 @pytest.mark.parametrize("name", [
-    "s1_scan_documents", "s4_freshest_response", "t3_crawl", "t5_page_order", "i1_property_names", "i4_merge_schema", "p1_project_items",
-    "g1_geojson_to_wkt", "q7_search_all", "q8_render_requests", "q9_search_batch", "l2_offset_rows", "a1_count_items",
+    "s4_freshest_response", "t5_page_order", "i4_merge_schema", "p7_promote_properties", "g1_geojson_to_wkt", "q8_render_requests", "q9_search_batch",
 ])
 def test_query_agrees_with_sql(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)

@@ -185,6 +185,8 @@ def test_response_documents(spark):
     df = spark.createDataFrame([("u", "GET", {}, None, "", 200, dt.datetime(2024, 1, 1), "{}"), ("v", "GET", {}, None, "", 404, dt.datetime(2024, 1, 1), None)], RESPONSE)
     assert [tuple(r) for r in sky.response_documents(df, "drop").collect()] == [("u", "{}")]
     assert [tuple(r) for r in sky.response_documents(df, "report").collect()] == [("v", 404)]
+    again = df.unionByName(spark.createDataFrame([("u", "GET", {}, None, "", 200, dt.datetime(2024, 1, 2), "{2}"), ("v", "GET", {}, None, "", 200, dt.datetime(2024, 1, 2), "{3}")], RESPONSE))
+    assert sorted(tuple(r) for r in sky.response_documents(again, latest=True).collect()) == [("u", "{2}"), ("v", "{3}")]
     with pytest.raises(Exception, match="Failed to fetch the document 'v'"):
         sky.response_documents(df).collect()
 
