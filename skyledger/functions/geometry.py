@@ -195,7 +195,7 @@ def wkt_of_geojson(geometry: Column, digits: int | None = None) -> Column:
 
 def geojson_to_wkt(df, col: str, digits: int | None = None, strict: bool = True):
     """Replace the GeoJSON column ``col`` by WKT. An invalid geometry raises, or gives NULL when ``strict`` is off."""
-    return _converted(df, col, wkt_of_geojson(F.col(col), digits), "Invalid GeoJSON geometry: " if strict else None)
+    return _converted(df, col, wkt_of_geojson(F.col(col), digits), "not a GeoJSON geometry: " if strict else None)
 
 
 def _converted(df, col: str, value: Column, complaint: str | None):
@@ -296,7 +296,7 @@ def geojson_of_wkt(wkt: Column) -> Column:
 
 def wkt_to_geojson(df, col: str, strict: bool = True):
     """Replace the WKT column ``col`` by GeoJSON. Text that is no geometry raises, or gives NULL when ``strict`` is off."""
-    return _converted(df, col, geojson_of_wkt(F.col(col)), "Failed to parse geometry: " if strict else None)
+    return _converted(df, col, geojson_of_wkt(F.col(col)), "not a WKT geometry: " if strict else None)
 
 
 # -- envelopes ---------------------------------------------------------------------------------------------------------
@@ -453,7 +453,7 @@ def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float
     given = spark.range(1).select(wkt.alias("wkt"))
     row = given.select("wkt", geojson_of_wkt(F.col("wkt")).isNotNull().alias("ok"), F.to_json(shape_of_wkt(F.col("wkt"))).alias("s")).first()
     if not row["ok"]:
-        raise ValueError(f"Failed to parse geometry: {row['wkt']}")
+        raise ValueError(f"not a WKT geometry: {row['wkt']}")
     shape = json.loads(row["s"])
 
     def segment(s):
@@ -471,7 +471,7 @@ def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float
 def parse_envelope(bbox) -> tuple[float, float, float, float]:
     """Four numbers of a search box; minx > maxx stays, it crosses the antimeridian."""
     if len(bbox) != 4:
-        raise ValueError("The 'bbox' parameter must be a list of 4 numbers: [minx, miny, maxx, maxy].")
+        raise ValueError("bbox needs four numbers: minx, miny, maxx, maxy")
     minx, miny, maxx, maxy = (float(n) for n in bbox)
     return minx, min(miny, maxy), maxx, max(miny, maxy)
 

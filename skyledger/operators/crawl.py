@@ -97,7 +97,7 @@ class Closure:
         self.targets = work.read(self.schema, *paths)
         lost = self.missing().first() if on_missing == "fail" else None
         if lost is not None:
-            raise FileNotFoundError(f"Failed to open the document '{lost['doc_uri']}', linked from '{lost['parent_uri']}'")
+            raise FileNotFoundError(f"no document '{lost['doc_uri']}', linked from '{lost['parent_uri']}'")
 
     def _step(self, df: DataFrame) -> tuple[str, int]:
         self.n_steps = getattr(self, "n_steps", 0) + 1

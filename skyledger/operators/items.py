@@ -82,7 +82,7 @@ def require_fields(items_raw: DataFrame, strict: bool = True) -> DataFrame:
     parsed = parse_features(items_raw, T.StructType([])).withColumn("missing", F.array_compact(F.array(*_missing_names())))
     if not strict:
         return parsed.where(F.size("missing") > 0).select("doc_uri", "feature", "missing")
-    fault = F.format_string("Missing '%s' field", F.get("missing", F.lit(0)))
+    fault = F.format_string("member '%s' is missing", F.get("missing", F.lit(0)))
     return _raise(parsed.withColumn("_fault", F.when(F.size("missing") > 0, fault))).select(*items_raw.columns)
 
 
@@ -108,8 +108,8 @@ def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None
     wkt = wkt_of_parts(F.col("_f.geometry"), wkt_digits)
     parsed = once(parsed, F.struct(wkt.alias("wkt"), bbox_struct(F.col("_f.bbox")).alias("bbox")), "_g")
     fault = F.coalesce(
-        F.concat(F.lit("Missing '"), F.coalesce(*_missing_names()), F.lit("' field")),
-        F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("Invalid GeoJSON geometry "), F.to_json("_f.geometry"))),
+        F.concat(F.lit("member '"), F.coalesce(*_missing_names()), F.lit("' is missing")),
+        F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("not a GeoJSON geometry "), F.to_json("_f.geometry"))),
     )
     return parsed.select(
         *rows.columns,

@@ -55,7 +55,7 @@ def check_datetime(text: str) -> str:
     parts = text.split("/")
     valid = all(p in ("", "..") or re.match(_DATE, p) or re.match(_TIME, p) for p in parts)
     if not valid or len(parts) > 2 or (len(parts) == 1 and parts[0] in ("", "..")):
-        raise ValueError(f"The 'datetime' parameter must be an instant or an interval: {text!r}")
+        raise ValueError(f"datetime is neither an instant nor an interval: {text!r}")
     return text
 
 
@@ -186,9 +186,9 @@ def render_requests(searches: DataFrame) -> DataFrame:
     b = F.col("bbox")
     order = [b[0], F.least(b[1], b[3]), b[2], F.greatest(b[1], b[3])]
     numbers = F.concat_ws(", ", *[F.format_string("%.10f", n) for n in order])
-    wrong = F.raise_error(F.lit("The 'bbox' parameter must be a list of 4 numbers: [minx, miny, maxx, maxy]."))
+    wrong = F.raise_error(F.lit("bbox needs four numbers: minx, miny, maxx, maxy"))
     bbox = F.when(F.size("bbox") == 4, F.concat(F.lit('"bbox": ['), numbers, F.lit("]"))).when(b.isNotNull(), wrong)
-    geometry = F.coalesce(geojson_of_wkt(F.col("intersects")), F.raise_error(F.concat(F.lit("Failed to parse geometry: "), F.col("intersects"))))
+    geometry = F.coalesce(geojson_of_wkt(F.col("intersects")), F.raise_error(F.concat(F.lit("not a WKT geometry: "), F.col("intersects"))))
     intersects = F.when(F.col("intersects").isNotNull(), F.concat(F.lit('"intersects": '), geometry))
     criteria = F.concat_ws(", ", strings("collections"), strings("ids"), datetime, bbox, intersects)
     limit = F.when(F.col("max_items") > 0, F.concat(F.lit('"limit": '), F.col("max_items").cast("string")))
@@ -253,7 +253,7 @@ def _search_table(searches: DataFrame) -> DataFrame:
         return F.col(name).cast(ddl) if name in names else F.lit(None).cast(ddl)
 
     bbox, wkt, text = column("bbox", "array<double>"), column("intersects", "string"), column("datetime", "string")
-    wrong = F.raise_error(F.lit("The 'bbox' parameter must be a list of 4 numbers: [minx, miny, maxx, maxy]."))
+    wrong = F.raise_error(F.lit("bbox needs four numbers: minx, miny, maxx, maxy"))
     box = F.when(F.size(bbox) == 4, F.struct(
         F.get(bbox, F.lit(0)).alias("minx"), F.least(F.get(bbox, F.lit(1)), F.get(bbox, F.lit(3))).alias("miny"),
         F.get(bbox, F.lit(2)).alias("maxx"), F.greatest(F.get(bbox, F.lit(1)), F.get(bbox, F.lit(3))).alias("maxy"),

@@ -45,7 +45,7 @@ def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
     # Spark names files by their full address; of files with this name the root is the one nearest to the folder
     root = documents.where(F.col("doc_uri").endswith(f"/{name}")).select("doc_uri").orderBy(F.length("doc_uri")).first()
     if root is None:
-        raise FileNotFoundError(f"Failed to open the document '{path}'")
+        raise FileNotFoundError(f"no document '{path}'")
     return read(documents, root["doc_uri"], **options)
 
 

@@ -28,7 +28,7 @@ def response_documents(responses: DataFrame, on_error: str = "fail", latest: boo
     if on_error == "report":
         return responses.where(bad).select("url", "status")
     if on_error == "fail":
-        text = F.format_string("Failed to fetch the document '%s': (%s)", "url", F.col("status").cast("string"))
+        text = F.format_string("response for '%s' has status %s", "url", F.col("status").cast("string"))
         responses = responses.where(F.when(bad, F.raise_error(text).cast("boolean")).otherwise(True))
     elif on_error != "drop":
         raise ValueError("on_error must be 'fail', 'drop' or 'report'")
