@@ -144,8 +144,8 @@ def search(
     for name, values in (("collection", collections), ("id", ids)):
         values = list(dict.fromkeys(values or []))
         if len(values) > LIST_IN_PLAN:
-            wanted = items.sparkSession.createDataFrame([(v,) for v in values], f"{name} string")
-            result = result.join(wanted, name, "left_semi")
+            wanted = items.sparkSession.createDataFrame([(v,) for v in values], "_wanted string")
+            result = result.join(wanted, F.col(name) == F.col("_wanted"), "left_semi")
         elif values:
             conditions.append(F.col(name).isin(values))
     if datetime:

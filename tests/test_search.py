@@ -136,7 +136,8 @@ def test_search_arguments(spark, placed):
     assert "page_no" not in sky.search(items, max_items=5).columns
     assert "page_no" not in sky.search(items, collections=["a"], max_items=-5).columns
     many = [f"i{n}" for n in range(0, 400, 2)] + [f"x{n}" for n in range(2000)]
-    assert sky.search(items, ids=many).count() == 200
+    found = sky.search(items, ids=many)
+    assert found.count() == 200 and found.columns == items.columns
 
 
 def test_pages_and_offsets_with_ties(spark):
