@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from skyledger import search, store_items
 from skyledger.plans import queries as q
 from skyledger.plans.document_sets import landed
-from skyledger.workspace import Workspace
+from skyledger.workspace import Workspace, remove_all
 
 HEADLINE = [
     "t3_crawl", "t4_follow_pages", "t5_page_order", "i1_property_names", "i4_infer_and_read", "p1_project_items",
@@ -65,6 +65,7 @@ def main():
         timed("stored_search_all", lambda: drain(search(
             stored, collections=["click", "error"], datetime="2024-01-03/2024-01-24", bbox=[-90, -45, 90, 45])))
         timed("stored_search_batch", lambda: drain(q.sky.search_batch(stored, landed(spark, sf_dir, "searches")).select("search_id", "id")))
+    remove_all(spark)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/"))}))
     spark.stop()

@@ -3,31 +3,43 @@
 Closures (link levels, page chains) need their lineage cut. Each step is written once as Parquet below the shared folder that
 the session names in ``spark.checkpoint.dir``. A written table survives the loss of executors, keeps its column pruning, and
 gives Catalyst a real size, so a join against it is broadcast only when that size is below the session's threshold.
+
+A lazily read result needs its tables. ``remove_all`` removes those of a session once its results are written.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_ROOTS: dict[str, str] = {}
+#: used by a local master only, and only where the session names no folder
+LOCAL_FOLDER = "/tmp/checkpoints"
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only for a local master that names none."""
+    """Folder named by ``spark.checkpoint.dir``. A local master that names none gets a fixed one, any other must name it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="skyledger-")
-    return _LOCAL_ROOTS[app]
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = LOCAL_FOLDER
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def remove(spark: SparkSession, root: str) -> None:
+    """Remove a folder of intermediate tables."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_all(spark: SparkSession) -> None:
+    """Remove every intermediate table that this session has written. Results that were not written elsewhere are lost."""
+    for root in _MADE.pop(spark.sparkContext.applicationId, []):
+        remove(spark, root)
 
 
 class Workspace:
@@ -36,6 +48,7 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/skyledger-{uuid.uuid4().hex}"
+        _MADE.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def write(self, df: DataFrame, name: str, **counters) -> tuple[str, dict[str, int]]:
         """Write ``df`` and return its path with row counters, all in one job."""
