@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.language import op7_language
+from skyledger.llm.mixing import OP6_SQL, op6_mixing
 from skyledger.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
     "op9_token_files": op9_token_files,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
