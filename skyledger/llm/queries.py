@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.decontamination import op5_decontamination
 from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
@@ -13,6 +14,7 @@ from skyledger.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op9_token_files": op9_token_files,
