@@ -26,7 +26,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = LOCAL_FOLDER
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

@@ -11,14 +11,13 @@ from skyledger.workspace import remove_all  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[4]").appName("tests").config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     remove_all(session)
     session.stop()
