@@ -10,9 +10,11 @@ from skyledger.llm.decontamination import op5_decontamination
 from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
+from skyledger.llm.syncmers import op2_syncmers
 from skyledger.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_syncmers": op2_syncmers,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
