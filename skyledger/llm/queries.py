@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.decontamination import op5_decontamination
+from skyledger.llm.html_text import op10_html_text
 from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
@@ -22,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op9_token_files": op9_token_files,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
