@@ -12,10 +12,12 @@ from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
 from skyledger.llm.suffix_tree import op4_suffix_tree
+from skyledger.llm.surrogates import op1_surrogates
 from skyledger.llm.syncmers import op2_syncmers
 from skyledger.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
     "op2_syncmers": op2_syncmers,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_suffix_tree": op4_suffix_tree,
