@@ -11,6 +11,7 @@ from skyledger.llm.html_text import op10_html_text
 from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
+from skyledger.llm.secret_scan import op8_secret_scan
 from skyledger.llm.suffix_tree import op4_suffix_tree
 from skyledger.llm.surrogates import op1_surrogates
 from skyledger.llm.syncmers import op2_syncmers
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
+    "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
 }
