@@ -139,7 +139,9 @@ def train(findings: DataFrame, words: DataFrame) -> Scanner:
     rows, _ = work.materialize(rows.select(F.col("label").cast("double").alias("label"), *FEATURES, place.alias("_place")), "described")
     forest = RandomForestClassifier(labelCol="label", featuresCol="_features", probabilityCol="_probability", numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxMemoryInMB=64)
     described = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows.coalesce(1).sortWithinPartitions("_place"))  # TRAINED_ON rows of each label
-    scanner.forest = forest.fit(described.select("label", "_features"))
+    # the stored forest, without the summary of its training that the fitted one would take to every task
+    forest.fit(described.select("label", "_features")).write().save(f"{work.root}/forest")
+    scanner.forest = RandomForestClassificationModel.load(f"{work.root}/forest")
     return scanner
 
 
