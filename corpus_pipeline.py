@@ -1,24 +1,63 @@
-"""A training corpus from raw documents in stages, each written and read again."""
+"""A training corpus from raw documents in five stages, each written and read again.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyledger.llm.decontamination import decontaminate
+from skyledger.llm.jaccard import deduplicate
+from skyledger.llm.language import UNKNOWN, identify, learn_profiles
+from skyledger.llm.mixing import mix
 from skyledger.llm.token_files import read_token_files, token_digests, write_token_files
 from skyledger.workspace import Workspace
 
+#: a text that is less like every language than this is in none of them
+LEAST_SCORE = 0.2
+#: id after each document in the token files
+END_ID = 2
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language by rank-order profiles from all documents with a language. Documents in no known one go; the others carry the language found."""
+    found = identify(docs, learn_profiles(docs), into="_language")
+    kept = found.where((F.col("_language.language") != UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE))
+    return kept.select(*[F.col("_language.language").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a similarity of 0.8."""
+    return deduplicate(docs, n=5, threshold=0.8)
+
+
+def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at weights 3, 1, 2 in turn and 150 % of all words, no source above twice its size."""
+    return mix(docs, weights=(3, 1, 2), share=1.5, most=2.0)
+
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents; returns each document's place and digest as read from them."""
     import public_tokenizers
 
     folder = Workspace(spark).root + "/tokens"
-    manifest = write_token_files(docs, folder if "://" in folder else f"file://{folder}", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    manifest = write_token_files(docs, folder if "://" in folder else f"file://{folder}", public_tokenizers.path("word_bpe_49k.json"), end_id=END_ID)
     return token_digests(read_token_files(spark, manifest))
 
 
 STAGES = [
-    ("write tokens", write_tokens),
+    ("language", keep_languages),
+    ("copies", drop_copies),
+    ("benchmarks", drop_benchmarks),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
 ]
 
 
@@ -26,12 +65,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     work = Workspace(spark)
-    for k, (_, stage) in enumerate(STAGES):
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs, _ = work.materialize(docs, f"stage-{k}")
+            docs, _ = work.materialize(docs, f"{k}-{name}")
     return docs
 
 
-#: the stages are models and files, which SQL cannot express; tests/llm/test_pipeline.py holds them against plain versions
+#: models, similarity joins and token files are beyond SQL; tests/llm/test_pipeline.py holds the stages against plain versions
 ORACLE_SQL = None

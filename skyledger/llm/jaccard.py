@@ -1,7 +1,8 @@
 """Join of documents whose word n-gram sets are alike (operator 3).
 
-Rare-first prefix filtering. All n-grams have one order, rarest first. Two sets that reach the Jaccard threshold share an n-gram among the first
-few of each, so only those are joined. Length, positional and suffix filters drop pairs, and each pair left is verified once on whole sets.
+Rare-first prefix filtering. All n-grams have one order, rarest first. Two sets that reach the Jaccard threshold share n-grams among the first
+few of each, so only those are joined. With some more of them a pair must share several, which chance seldom brings about (adaptive prefixes).
+Length, positional and suffix filters drop pairs, and each pair left is verified once on whole sets.
 
 * Documents with equal sets are one class; the join works on classes.
 * Rarity is estimated over all documents in a count table of fixed size (COUNTERS cells that n-grams share), then by hash. The order decides how
@@ -17,7 +18,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import connected_components
@@ -28,6 +29,8 @@ from skyledger.workspace import Workspace
 COUNTERS = 1 << 22
 #: cells of it that travel as one row
 BLOCK = 1 << 14
+#: one n-gram more in the prefixes, and in common, for each so many of a set
+SPARE = 32
 #: ranges of the n-gram space that the suffix filter compares
 RANGES = 16
 #: classes a task remembers to have sent
@@ -57,13 +60,19 @@ def class_of(grams_: np.ndarray) -> np.uint64:
     return mix(np.array([total], np.uint64) + mix(np.array([twist ^ np.uint64(len(grams_))], np.uint64)))[0]
 
 
+def in_common(size: int, threshold: Fraction) -> int:
+    """How many n-grams of their prefixes two sets that are alike must share, by the smaller one's size. Prefixes are longer by that much."""
+    return min(1 + size // SPARE, math.ceil(threshold * size))
+
+
 def prefix_size(size: int, threshold: Fraction) -> int:
-    """How many of its rarest n-grams a set must offer to meet every set that is alike."""
-    return size - math.ceil(threshold * size) + 1
+    """How many of its rarest n-grams a set must offer: those it may lack, and those it must have in common."""
+    return size - math.ceil(threshold * size) + in_common(size, threshold)
 
 
-def _sets(docs: DataFrame, n: int, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
+def _row_key(id_column: str, text_column: str) -> list[Column]:
+    """What tells rows apart that are not equal: the id and a hash of the text."""
+    return [F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.xxhash64(F.col(f"`{text_column}`").cast("string")).alias("text_hash")]
 
 
 def rarity(texts: DataFrame, n: int) -> np.ndarray:
@@ -106,7 +115,8 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, threshold: float, id_column: str, text_column: str):
         self.spark, self.n = docs.sparkSession, n
         self.threshold = Fraction(str(threshold))
-        self.texts = _sets(docs, n, id_column, text_column)
+        doc_id, text_hash = _row_key(id_column, text_column)
+        self.texts = docs.select(doc_id, F.col(f"`{text_column}`").cast("string").alias("text"), text_hash)
         self.work = Workspace(self.spark)
         self._members()
 
@@ -120,7 +130,7 @@ class Join:
                 for part in slices(batch):
                     sets = list(sets_of(part.column(1), n))
                     ids = [int(class_of(s).view(np.int64)) if len(s) else None for s in sets]
-                    yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "cls": pa.array(ids, pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64())})
+                    yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "text_hash": part.column(2), "cls": pa.array(ids, pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64())})
 
         def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: set[int] = set()
@@ -143,16 +153,20 @@ class Join:
                     if out:
                         yield _rows(out, ["gram", "cls", "size", "place"])
 
-        self.docs, _ = self.work.materialize(self.texts.mapInArrow(classes, "doc_id bigint, cls bigint, size bigint"), "classes")
+        self.docs, _ = self.work.materialize(self.texts.mapInArrow(classes, "doc_id bigint, text_hash bigint, cls bigint, size bigint"), "classes")
         prefix = self.texts.mapInArrow(prefixes, "gram bigint, cls bigint, size int, place int").repartition("gram")
         prefix = prefix.groupBy("gram", "cls").agg(F.first("size").alias("size"), F.first("place").alias("place"))
         by_gram = Window.partitionBy("gram").orderBy("size", "cls")
-        chain = [F.lag(c).over(by_gram).alias(f"{c}_before") for c in ("cls", "size", "place")]
-        pivot = F.first(F.struct("cls", "size", "place")).over(by_gram.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("pivot")
+        chain = [F.lag(c).over(by_gram).alias(f"{c}_before") for c in ("cls", "size")]
+        pivot = F.first(F.struct("cls", "size")).over(by_gram.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("pivot")
         after = F.lead("cls").over(by_gram).alias("_after")
         shared = prefix.select("*", pivot, *chain, after).where("cls_before IS NOT NULL OR _after IS NOT NULL").drop("_after")
         self.shared, _ = self.work.materialize(shared, "shared")
-        bits = self.spark.sparkContext.broadcast(key_filter(self.shared, "cls"))
+
+    def _sets_of(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(cls, grams, ranges) of the classes in pairs, from one more pass over the texts that passes over all others."""
+        n = self.n
+        bits = self.spark.sparkContext.broadcast(key_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls"))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: set[int] = set()
@@ -173,7 +187,7 @@ class Join:
                     })
 
         several = self.texts.mapInArrow(sets, "cls bigint, grams array<bigint>, ranges array<bigint>").dropDuplicates(["cls"])
-        self.sets, _ = self.work.materialize(several, "sets")
+        return self.work.materialize(several, name)[0]
 
     def _may_be_alike(self, a: str, b: str):
         """Length filter."""
@@ -187,8 +201,10 @@ class Join:
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of the pairs (a, b, size_a, size_b), those that are links, with their overlap. Whole sets; the suffix filter first."""
-        left = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a"), F.col("ranges").alias("ranges_a"))
-        right = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b"), F.col("ranges").alias("ranges_b"))
+        pairs, _ = self.work.materialize(pairs, f"{name}-pairs")
+        sets = self._sets_of(pairs, f"{name}-sets")
+        left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a"), F.col("ranges").alias("ranges_a"))
+        right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b"), F.col("ranges").alias("ranges_b"))
         both = pairs.join(left, "a").join(right, "b")
         least = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda s, x: s + x)
         both = both.where(self._enough(least, "size_a", "size_b"))
@@ -196,21 +212,28 @@ class Join:
         links = both.withColumn("overlap", overlap).where(self._enough(F.col("overlap"), "size_a", "size_b"))
         return self.work.materialize(links.select("a", "b", "size_a", "size_b", "overlap"), name)[0]
 
+    def _common(self, size) -> Column:
+        """``in_common`` as a column."""
+        p, q = self.threshold.numerator, self.threshold.denominator
+        return F.least(F.floor(size / SPARE) + 1, F.ceil(size * F.lit(p) / F.lit(q)))
+
     def _near(self) -> DataFrame:
-        """For each shared n-gram, its classes against the first and against the one before: at most two pairs for each row."""
+        """For each shared n-gram, its classes against the first and against the one before: at most two pairs for each row.
+
+        Those that meet as often as two alike sets must are likely links. This need not find all, the rest comes after.
+        """
         rows = []
-        for other in ({c: F.col(f"pivot.{c}") for c in ("cls", "size", "place")}, {c: F.col(f"{c}_before") for c in ("cls", "size", "place")}):
-            one = self.shared.select(other["cls"].alias("x"), other["size"].alias("size_x"), other["place"].alias("place_x"), F.col("cls").alias("y"), F.col("size").alias("size_y"), F.col("place").alias("place_y"))
+        for other in ({c: F.col(f"pivot.{c}") for c in ("cls", "size")}, {c: F.col(f"{c}_before") for c in ("cls", "size")}):
+            one = self.shared.select(other["cls"].alias("x"), other["size"].alias("size_x"), F.col("cls").alias("y"), F.col("size").alias("size_y"))
             rows.append(one.where("x IS NOT NULL AND x != y"))
         pairs = rows[0].unionByName(rows[1]).where(self._may_be_alike("size_x", "size_y"))
-        # overlap among n-grams up to the shared one, plus what either has left
-        most = F.least("place_x", "place_y") + F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
-        pairs = pairs.where(self._enough(most, "size_x", "size_y"))
         first = F.col("x") < F.col("y")
-        return pairs.select(
+        pairs = pairs.select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
             F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
-        ).distinct()
+        )
+        met = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"))
+        return met.where(F.col("n") >= self._common(F.least("size_a", "size_b"))).drop("n")
 
     def candidates(self, labels: DataFrame | None = None) -> DataFrame:
         """Pairs of classes that share an n-gram of both prefixes and pass the length and positional filters, each once.
@@ -228,7 +251,11 @@ class Join:
         p, q = self.threshold.numerator, self.threshold.denominator
         one = groups.select("gram", F.col("label").alias("la"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
         two = groups.select("gram", F.col("label").alias("lb"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        meet = one.join(two, "gram").where((F.col("la") < F.col("lb")) & (F.col("high_a") * q >= F.col("low_b") * p) & (F.col("high_b") * q >= F.col("low_a") * p)).select("gram", "la", "lb")
+        meet = one.join(two, "gram").where((F.col("la") < F.col("lb")) & (F.col("high_a") * q >= F.col("low_b") * p) & (F.col("high_b") * q >= F.col("low_a") * p))
+        meet, _ = self.work.materialize(meet.select("gram", "la", "lb", F.least("low_a", "low_b").alias("low")), "meet")
+        # two groups that share too few n-grams have no alike members
+        often = meet.groupBy("la", "lb").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("low")).where(F.col("n") >= self._common(F.col("low"))).select("la", "lb")
+        meet = meet.select("gram", "la", "lb").join(often, ["la", "lb"], "left_semi")
         left = rows.select("gram", F.col("label").alias("la"), F.col("cls").alias("x"), F.col("size").alias("size_x"), F.col("place").alias("place_x"))
         right = rows.select("gram", F.col("label").alias("lb"), F.col("cls").alias("y"), F.col("size").alias("size_y"), F.col("place").alias("place_y"))
         pairs = meet.join(left, ["gram", "la"]).join(right, ["gram", "lb"]).where(self._may_be_alike("size_x", "size_y"))
@@ -241,9 +268,26 @@ class Join:
         met = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
         # all that is shared up to the last shared n-gram of the prefixes has been counted; beyond it, no more than either has left
         most = F.col("n") + F.least(F.col("size_a") - F.col("last_a") - 1, F.col("size_b") - F.col("last_b") - 1)
+        met = met.where(F.col("n") >= self._common(F.least("size_a", "size_b")))
         return met.where(self._enough(most, "size_a", "size_b")).select("a", "b", "size_a", "size_b")
 
 
+    def roots(self) -> DataFrame:
+        """(cls, root) of every class: the class itself or the one that stands for all it is linked with.
+
+        A group of alike classes isn't paired all with all: each n-gram's classes are first compared with one of them and with their neighbour, which joins most of a
+        group; then every pair that is left between different groups is compared, so no link between groups is lost.
+        """
+        near = self.verify(self._near(), "near")
+        labels, _ = self.work.materialize(connected_components(near, "a", "b"), "labels")
+        rest = self.verify(self.candidates(labels), "rest")
+        # the stars so far and the links between them
+        links = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest.select("a", "b"))
+        stars = connected_components(links, "a", "b").withColumnRenamed("node", "cls")
+        classes = self.docs.where("cls IS NOT NULL").select("cls").distinct()
+        return self.work.materialize(classes.join(stars, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root")), "roots")[0]
+
+
 def jaccard_pairs(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """All links between different sets, and the membership of documents.
 
@@ -260,25 +304,37 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_c
     Words are runs without blanks, A-Z as a-z; a set holds the distinct runs of n words, or the whole text where it has fewer. A text that is null or without
     words has an empty set, links with nothing and is its own component. Rows with equal sets are linked whatever their ids are; a null id
     counts as greater than all others, and a component without any id has a null one. Other columns are not read.
-
-    A group of alike documents isn't paired all with all: each n-gram's classes are first compared with one of them and with their neighbour, which joins most of a
-    group; then every pair left between different groups is compared, so no link between groups is lost.
     """
     join = Join(docs, n, threshold, id_column, text_column)
-    near = join.verify(join._near(), "near")
-    labels, _ = join.work.materialize(connected_components(near, "a", "b"), "labels")
-    rest = join.verify(join.candidates(labels), "rest")
-    # the stars so far and the links between them
-    links = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest.select("a", "b"))
-    roots = connected_components(links, "a", "b")
-    firsts = join.docs.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first"))
-    firsts = firsts.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    firsts = join.docs.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first")).join(join.roots(), "cls")
     firsts, _ = join.work.materialize(firsts, "firsts")
     component = firsts.join(firsts.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("cls", "component_id")
     sole = join.docs.where("cls IS NULL").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return join.docs.where("cls IS NOT NULL").join(component, "cls").select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(sole)
 
 
+def deduplicate(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component (see ``jaccard_components``), with all its columns: that of the smallest id, a null id last; of equal ids the one whose text has the least hash.
+
+    Of rows with equal id and text, any one stays. Texts that are null or without words are no copies of anything and all stay.
+    """
+    join = Join(docs, n, threshold, id_column, text_column)
+    members = join.docs.where("cls IS NOT NULL").groupBy("doc_id", "text_hash", "cls").agg(F.count(F.lit(1)).alias("copies")).join(join.roots(), "cls")
+    members, _ = join.work.materialize(members, "members")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    kept = members.groupBy("root").agg(F.min(order).alias("_kept"))
+    members = members.join(kept, "root").withColumn("stays", order == F.col("_kept"))
+    gone, _ = join.work.materialize(members.where("NOT stays OR copies > 1").select("doc_id", "text_hash", "stays"), "gone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_row_key(id_column, text_column))
+
+    def same(keys: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_hash"] == keys["text_hash"])
+
+    repeated = gone.where("stays")
+    once = rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return rows.join(gone, same(gone), "left_anti").unionByName(once).select("_doc.*")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by 4-word shingles at 85 %."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=4, threshold=0.85)

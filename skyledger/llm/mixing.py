@@ -31,7 +31,8 @@ def source_targets(sizes: DataFrame, share: float, most: float) -> DataFrame:
     """
     limit, weight = F.col("source_size") * F.lit(most), F.col("weight").cast("double")
     ahead = Window.orderBy(F.col("_limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    first = sizes.where("weight > 0").withColumn("_limit", limit).withColumn("weight", weight).withColumn("_total", F.sum("source_size").over(Window.partitionBy()) * F.lit(share))
+    total = F.sum("source_size").over(Window.partitionBy()) * F.lit(share)
+    first = sizes.withColumn("_total", total).where("weight > 0").withColumn("_limit", limit).withColumn("weight", weight)
     ranked = (
         first.withColumn("_rank", F.row_number().over(ahead))
         .withColumn("_taken", F.sum("_limit").over(ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_limit"))

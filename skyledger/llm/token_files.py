@@ -5,8 +5,8 @@ A file holds the ids of a range of documents as unsigned 32-bit little-endian in
     independent Zstandard frames | skippable frame with the documents' ids and sizes | skippable frame with the seek table
 
 The seek table is that of Zstandard's public seekable format: compressed size, plain size and the low half of XXH64 of the plain bytes for
-each frame, then a footer. A document of up to FRAME_IDS ids lies in one frame, a longer one has frames of its own, so a reader finds a document's frames from the
-end of the file, decompresses only those, and checks each. The frame of the document index counts with a plain size of 0.
+each frame, then a footer. A document of up to FRAME_IDS ids lies in one frame, a longer one has frames of its own, so a reader finds a document's
+frames from the end of the file, decompresses only those, and checks each. The frame of the document index counts with a plain size of 0.
 """
 
 from __future__ import annotations
@@ -128,23 +128,21 @@ class Encoder:
 class FileWriter:
     """Writes one file: documents in order, each with its id (or None) and token ids."""
 
-    def __init__(self, sink, level: int = LEVEL):
-        self.sink, self.zstd = sink, zstandard.ZstdCompressor(level=level, write_checksum=True)
+    def __init__(self, sink, frame_ids: int = FRAME_IDS, level: int = LEVEL):
+        self.sink, self.frame_ids, self.zstd = sink, frame_ids, zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.entries, self.docs, self.sizes = [], [], []
         self.pending, self.n_pending = [], 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.docs.append(doc_id)
         self.sizes.append(len(ids))
-        if self.n_pending + len(ids) > FRAME_IDS:
-            self._flush()
-        for k in range(0, len(ids) - FRAME_IDS, FRAME_IDS) if len(ids) > FRAME_IDS else ():
-            self._frame(ids[k : k + FRAME_IDS])
-        rest = ids[(len(ids) - 1) // FRAME_IDS * FRAME_IDS :] if len(ids) > FRAME_IDS else ids
-        self.pending.append(rest)
-        self.n_pending += len(rest)
-        if len(ids) > FRAME_IDS:
+        if self.n_pending + len(ids) > self.frame_ids:
             self._flush()
+        for at in range(0, len(ids), self.frame_ids):
+            self.pending.append(ids[at : at + self.frame_ids])
+            self.n_pending += len(self.pending[-1])
+            if len(ids) > self.frame_ids:
+                self._flush()
 
     def _flush(self) -> None:
         if self.n_pending:
@@ -211,7 +209,7 @@ class FileReader:
 # --- on Spark --------------------------------------------------------------------------------------------------------------
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = None, id_column: str = "doc_id", text_column: str = "text", frame_ids: int = FRAME_IDS) -> DataFrame:
     """Write the documents as token files in ascending order of their id and return the manifest (shard, path, n_docs, n_ids).
 
     ``folder`` is an address that the executors can write, ``tokenizer`` the path of a tokenizer file. ``end_id`` ends each document.
@@ -237,7 +235,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                     store.create_dir(base)
                     own = f"{base}/.writing-{shard:06d}-{os.getpid()}-{os.urandom(6).hex()}"
                     sink = store.open_output_stream(own)
-                    writer = FileWriter(sink)
+                    writer = FileWriter(sink, frame_ids)
                 ids, sizes = Encoder.load(tokenizer).encode(part.column(1).fill_null(""))
                 for doc, own_ids in zip(part.column(0).to_pylist(), np.split(ids, np.cumsum(sizes)[:-1])):
                     own_ids = np.concatenate([own_ids, end])
