@@ -148,8 +148,8 @@ def build(page: str) -> Node:
         elif value == "p" and not open_tags.get("p"):
             push("p", {})
             pop()
-        elif open_tags.get(value) and value != "html":
-            close({value}, () if value in ("table", "body", "head") else SCOPE - {value})
+        elif open_tags.get(value) and value not in ("html", "body"):  # what comes after the body belongs to it
+            close({value}, () if value in ("table", "head") else SCOPE - {value})
     return root
 
 
