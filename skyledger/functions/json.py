@@ -2,13 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.columns import let, no_strings
 from skyledger.types import ASSET, BBOX
 
 
+def lenient(rows: DataFrame) -> DataFrame:
+    """Read JSON objects that repeat a key: the last value counts, as in every typed column. Without this setting of the session Spark gives
+    NULL for the whole value that holds such an object."""
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return rows
+
+
+def last_of_each(values: Column) -> Column:
+    """A map without repeated keys, which JSON may have and Spark's parser keeps: the last entry of a key stays."""
+
+    def once_each(m):
+        keys = F.map_keys(m)
+        kept = F.filter(F.map_entries(m), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), m).otherwise(F.map_from_entries(kept))
+
+    return let(values, once_each)
+
+
+def repeats_keys(json: Column) -> Column:
+    """Whether the object of this JSON text repeats one of its keys."""
+    return let(F.map_keys(F.from_json(json, "map<string,string>")), lambda keys: F.coalesce(F.size(F.array_distinct(keys)) < F.size(keys), F.lit(False)))
+
+
 def member(v: Column, name: str) -> Column:
     """Member of a variant object as a variant; NULL when absent or when ``v`` is no object."""
     return F.try_variant_get(v, f"$['{name}']", "variant")
@@ -70,7 +93,7 @@ def assets_from_variants(assets: Column) -> Column:
         fields = [F.coalesce(member_text(v, n), F.lit("")).alias(n) for n in ASSET.names[:4]]
         return F.struct(*fields, F.coalesce(roles, no_strings()).alias("roles"))
 
-    return F.transform_values(F.map_filter(assets, lambda _, v: member_text(v, "href").isNotNull()), asset)
+    return F.transform_values(F.map_filter(last_of_each(assets), lambda _, v: member_text(v, "href").isNotNull()), asset)
 
 
 # -- the same on JSON text ---------------------------------------------------------------------------------------------

@@ -16,7 +16,10 @@ def is_static(uri: Column) -> Column:
 
 
 def resolve_href(base: Column, href: Column) -> Column:
-    """Join a relative ``href`` to the folder of the document it stands in; absolute paths and schemes stay as they are."""
+    """Join a relative ``href`` to the folder of the document it stands in; absolute paths and schemes stay as they are.
+
+    An absolute path on a local file is a local file.
+    """
 
     def join(p):
         plain, tail = p["plain"], p["tail"]
@@ -29,7 +32,9 @@ def resolve_href(base: Column, href: Column) -> Column:
         F.regexp_replace(F.regexp_extract(href, r"^[^?#]*", 0), r"^(\./)+", "").alias("plain"),
         F.regexp_extract(href, r"[?#].*$", 0).alias("tail"),
     )
-    return F.when(href.rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|/)"), href).otherwise(let(parts, join))
+    local = F.startswith(base, F.lit("file:")) & F.startswith(href, F.lit("/"))
+    absolute = F.when(local, F.regexp_replace(href, "^/+", "file:///")).otherwise(href)
+    return F.when(href.rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|/)"), absolute).otherwise(let(parts, join))
 
 
 def _fold_dots(path: Column, relative: Column) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.json import text_of
+from skyledger.functions.json import lenient, text_of
 from skyledger.operators.links import container_nodes
-from skyledger.operators.pages import follow_chain
+from skyledger.operators.pages import follow_chain, one_document_each
 from skyledger.sources.documents import document_problem
 from skyledger.workspace import Workspace
 
@@ -29,11 +29,17 @@ def _roots(documents: DataFrame, root_uris) -> DataFrame:
     return documents.sparkSession.createDataFrame(rows, TARGET)
 
 
+def passed_on() -> tuple[Column, Column]:
+    """Catalog and collection that a document's children inherit, from what it inherits, its kind and its id."""
+    catalog = F.when(F.col("kind") == "Catalog", F.coalesce("own_id", "catalog")).otherwise(F.col("catalog"))
+    collection = F.when(F.col("kind") == "Collection", F.coalesce("own_id", "collection")).otherwise(F.col("collection"))
+    return catalog, collection
+
+
 def _opened(targets: DataFrame, containers: DataFrame, links: str) -> DataFrame:
     """Targets that are containers, with one column of the container table and the ids their children inherit."""
     opened = targets.join(containers.select("doc_uri", "kind", "own_id", links), "doc_uri")
-    catalog = F.when(F.col("kind") == "Catalog", F.coalesce("own_id", "catalog")).otherwise(F.col("catalog"))
-    collection = F.when(F.col("kind") == "Collection", F.coalesce("own_id", "collection")).otherwise(F.col("collection"))
+    catalog, collection = passed_on()
     return opened.withColumns({"catalog": catalog, "collection": collection})
 
 
@@ -59,8 +65,9 @@ class Closure:
     next pages by pointer jumping, until nothing new is found.
 
     Only the narrow container table takes part in the walk, and of it only the links in question: the item links are read and
-    joined once, after the walk through the catalogs. Each step is written before the next begins. A document reached on two ways
-    is reached twice, as a tree walk would; a link back to one of its own ancestors is not followed.
+    joined once, after the walk through the catalogs. Each step is written before the next begins. A document that child links reach
+    on several ways counts once for each pair of ids that it passes on, so each catalog of a mesh is opened once; an item counts once
+    for each link to it. A link back to one of its own ancestors is not followed.
     """
 
     def __init__(self, documents: DataFrame, root_uris, follow_next: bool = True, on_missing: str = "drop"):
@@ -73,7 +80,9 @@ class Closure:
             container_nodes(documents), "containers", n_paged=F.count_if(F.col("next_uri").isNotNull()),
             n_children=F.count_if(F.size("child_links") > 0), n_items=F.count_if(F.size("item_links") > 0),
         )
+        one_document_each(self.containers, "doc_uri")
         path, _ = work.write(_roots(documents, root_uris), "level-0")
+        self.opened: list[str] = []
         paths, unopened = [path], [(path, "roots")]
         while unopened:
             path, origin = unopened.pop(0)
@@ -110,11 +119,30 @@ class Closure:
     def _descend(self, path: str) -> list[str]:
         """Tables of what child links lead to from here, one per level."""
         found = []
+        self.opened.append(path)
         while True:
-            path, n = self._step(_children(self._open([path], "child_links"), "child_links"))
+            path, n = self._step(self._first_time(_children(self._open([path], "child_links"), "child_links")))
             if not n:
                 return found
             found.append(path)
+            self.opened.append(path)
+
+    def _passed_on(self, rows: DataFrame) -> DataFrame:
+        """Add the address and the ids that a document passes on, with NULL told from ''."""
+        nodes = self.containers.select(F.col("doc_uri").alias("_doc_uri"), "kind", "own_id")
+        known = rows.join(nodes, F.col("doc_uri") == F.col("_doc_uri"), "left").drop("_doc_uri")
+        catalog, collection = passed_on()
+        ids = [F.struct(c.isNull(), F.coalesce(c, F.lit(""))) for c in (catalog, collection)]
+        return known.select(*self.schema.names, F.struct("doc_uri", *ids).alias("_state"))
+
+    def _first_time(self, rows: DataFrame) -> DataFrame:
+        """Of what child links lead to, what was not reached before passing on the same ids; of several ways in one level the first in document order."""
+        first = self._passed_on(rows).groupBy("_state").agg(
+            F.min_by(F.struct(*self.schema.names), F.struct("page_pos", "dfs_path")).alias("t"), F.max("sampled").alias("_sampled")
+        )
+        seen = self._passed_on(self.work.read(self.schema, *self.opened)).select("_state").distinct()
+        fresh = first.join(seen, "_state", "left_anti")
+        return fresh.select(*[F.col("_sampled").alias(c) if c == "sampled" else F.col(f"t.{c}").alias(c) for c in self.schema.names])
 
     def _next_pages(self, heads: DataFrame) -> DataFrame:
         starts = heads.select(
@@ -165,7 +193,7 @@ def explode_features(documents: DataFrame) -> DataFrame:
 
 def features_of(documents: DataFrame) -> DataFrame:
     """At least one row per document; ``feature`` is NULL where a document holds none. ``problem`` says why it cannot be read."""
-    parsed = documents.select("doc_uri", "body", F.from_json("body", "type VARIANT, features ARRAY<STRING>").alias("d"))
+    parsed = lenient(documents).select("doc_uri", "body", F.from_json("body", "type VARIANT, features ARRAY<STRING>").alias("d"))
     kind = text_of(F.col("d.type"))
     parts = F.when(kind == "Feature", F.array("body")).when(kind == "FeatureCollection", F.col("d.features"))
     first = F.array_position(F.transform("d.features", lambda f: f.startswith("{")), True) - 1
@@ -223,7 +251,7 @@ def crawl_order(items: DataFrame) -> DataFrame:
 def inherit_ids(items_raw: DataFrame) -> DataFrame:
     """Resolve the ids of each item: its own ``collection`` wins over the inherited one; '' when there is none."""
     own = text_of(F.from_json("feature", "collection VARIANT")["collection"])
-    return items_raw.withColumns(inherited(own))
+    return lenient(items_raw).withColumns(inherited(own))
 
 
 def inherited(own: Column) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from skyledger.functions.columns import once
 from skyledger.functions.geometry import GEOJSON_PARTS, wkt_of_parts
-from skyledger.functions.json import assets_from_variants, bbox_struct, links_from_variants, strings_from_variants, text_of
+from skyledger.functions.json import assets_from_variants, bbox_struct, lenient, links_from_variants, strings_from_variants, text_of
 from skyledger.operators.crawl import inherited
 from skyledger.types import FIXED_COLUMNS, LINK
 
@@ -57,7 +57,7 @@ def parse_features(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Add ``_f``, all members of ``feature`` with the properties typed: one pass over the text, whatever the number of columns."""
     first, *more = _layers(schema)
     members = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in _MEMBERS.items()))
-    out = once(rows, F.from_json("feature", members.add("properties", first)), "_f")
+    out = once(lenient(rows), F.from_json("feature", members.add("properties", first)), "_f")
     for i, layer in enumerate(more, 1):
         out = once(out, F.from_json("feature", T.StructType().add("properties", layer)), f"_f{i}")
     return out
@@ -101,16 +101,17 @@ def promote(schema: T.StructType) -> list[Column]:
     return columns
 
 
-def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None = None) -> DataFrame:
+def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None = None, geometry: bool = True) -> DataFrame:
     """Add the columns of the item table to features, under neutral names and without raising: ``_own`` (collection), ``_c<name>``
-    for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item."""
+    for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item.
+
+    Without ``geometry`` the footprint is not converted: it must be there, but is NULL in the result and may be invalid."""
     parsed = parse_features(rows, schema)
-    wkt = wkt_of_parts(F.col("_f.geometry"), wkt_digits)
+    wkt = wkt_of_parts(F.col("_f.geometry"), wkt_digits) if geometry else F.lit(None).cast("string")
     parsed = once(parsed, F.struct(wkt.alias("wkt"), bbox_struct(F.col("_f.bbox")).alias("bbox")), "_g")
-    fault = F.coalesce(
-        F.concat(F.lit("member '"), F.coalesce(*_missing_names()), F.lit("' is missing")),
-        F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("not a GeoJSON geometry "), F.to_json("_f.geometry"))),
-    )
+    fault = F.concat(F.lit("member '"), F.coalesce(*_missing_names()), F.lit("' is missing"))
+    if geometry:
+        fault = F.coalesce(fault, F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("not a GeoJSON geometry "), F.to_json("_f.geometry"))))
     return parsed.select(
         *rows.columns,
         text_of(F.col("_f.collection")).alias("_own"),
@@ -125,7 +126,15 @@ def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None
     )
 
 
-def finish_items(shaped: DataFrame, schema: T.StructType, strict: bool = True, keep=()) -> DataFrame:
+def pick_fixed(fixed) -> list[str]:
+    """These of the fixed columns, in the order of the table; all by default."""
+    unknown = set(fixed or ()) - set(FIXED_COLUMNS)
+    if unknown:
+        raise ValueError(f"no fixed columns: {sorted(unknown)}")
+    return [c for c in FIXED_COLUMNS if fixed is None or c in fixed]
+
+
+def finish_items(shaped: DataFrame, schema: T.StructType, strict: bool = True, keep=(), fixed=None) -> DataFrame:
     """The item table of shaped features that know their inherited ids."""
     if strict:
         shaped = _raise(shaped)
@@ -139,7 +148,7 @@ def finish_items(shaped: DataFrame, schema: T.StructType, strict: bool = True, k
         F.col(f"_p{i}").alias(name, metadata=field.metadata)
         for i, (field, name) in enumerate(zip(schema.fields, output_names(schema)))
     ]
-    return shaped.select(*[columns[n].alias(n) for n in FIXED_COLUMNS], *properties, *keep)
+    return shaped.select(*[columns[n].alias(n) for n in pick_fixed(fixed)], *properties, *keep)
 
 
 def pick_columns(schema: T.StructType, columns) -> T.StructType:
@@ -151,13 +160,15 @@ def pick_columns(schema: T.StructType, columns) -> T.StructType:
 
 
 def items(
-    items_raw: DataFrame, schema: T.StructType, strict: bool = True, wkt_digits: int | None = None, columns=None, keep=(),
+    items_raw: DataFrame, schema: T.StructType, strict: bool = True, wkt_digits: int | None = None, columns=None, keep=(), fixed=None,
 ) -> DataFrame:
     """The item table: catalog, collection, id, geometry, bbox, stac_extensions, links, assets, then one column per property.
 
-    ``columns`` names the property columns to parse (all by default); ``keep`` names columns of ``items_raw`` to carry along.
+    ``columns`` names the property columns to parse, ``fixed`` the fixed columns to give (all by default); ``keep`` names columns of
+    ``items_raw`` to carry along. Where ``fixed`` leaves out the geometry, footprints are not converted and not checked beyond their presence.
     A property that is not in the schema is dropped, one that a feature lacks is NULL. ``strict`` raises for features that lack
     a required member or whose geometry is invalid; otherwise what is absent becomes NULL or an empty list.
     """
     schema = pick_columns(schema, columns)
-    return finish_items(shape_features(items_raw, schema, wkt_digits), schema, strict, keep)
+    geometry = "geometry" in pick_fixed(fixed)
+    return finish_items(shape_features(items_raw, schema, wkt_digits, geometry), schema, strict, keep, fixed)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.columns import let, once
-from skyledger.functions.json import member_text, text_of
+from skyledger.functions.json import lenient, member_text, text_of
 from skyledger.functions.uri import resolve_href
 from skyledger.types import CHILD_RELS, CONTAINER_KINDS
 
@@ -17,7 +17,7 @@ def explode_links(documents: DataFrame) -> DataFrame:
     A link that is no object, or whose href or rel is missing or empty, gives no row.
     """
     link = "href VARIANT, rel VARIANT, method VARIANT, merge VARIANT, headers MAP<STRING,VARIANT>, body VARIANT"
-    rows = documents.select("doc_uri", F.posexplode(F.from_json("body", "links ARRAY<STRING>")["links"]).alias("pos", "text"))
+    rows = lenient(documents).select("doc_uri", F.posexplode(F.from_json("body", "links ARRAY<STRING>")["links"]).alias("pos", "text"))
     rows = rows.where(F.col("text").startswith("{")).withColumn("l", F.from_json("text", link))
     headers = F.map_filter(F.transform_values("l.headers", lambda _, v: text_of(v)), lambda _, v: v.isNotNull())
     is_body = F.schema_of_variant("l.body").startswith("OBJECT")
@@ -53,7 +53,7 @@ def container_nodes(documents: DataFrame) -> DataFrame:
     """
     # Most documents are items: a test of the raw text spares parsing them. A type spelt with escapes passes it too.
     spelt = [F.contains("body", F.lit(t)) for t in ('Catalog"', 'Collection"', "\\u")]
-    documents = documents.where(spelt[0] | spelt[1] | spelt[2])
+    documents = lenient(documents).where(spelt[0] | spelt[1] | spelt[2])
     head = documents.select("doc_uri", F.from_json("body", "type VARIANT, id VARIANT, links ARRAY<VARIANT>").alias("d"))
     nodes = head.select("doc_uri", text_of(F.col("d.type")).alias("kind"), text_of(F.col("d.id")).alias("own_id"), F.col("d.links").alias("links"))
     nodes = nodes.where(F.col("kind").isin(CONTAINER_KINDS))

@@ -11,20 +11,20 @@ from skyledger.workspace import Workspace
 def number_rows(rows: DataFrame, order_by, name: str = "row_no") -> DataFrame:
     """Add the position of each row in the order, from 0.
 
-    A row's number is its rank in its range of the order plus the sizes of the ranges before it, so no task sees all rows. Rows
-    that tie are told apart by a serial number, so a third of all rows under one key still spreads over many ranges. Only the key
-    and the serial number are sorted; the rows themselves are written once and joined with their numbers.
+    A row's number is its place in its range of the order plus the sizes of the ranges before it, so no task sees all rows. Rows
+    that tie are told apart by a serial number, so a third of all rows under one key still spreads over many ranges. The rows are
+    shuffled and written once, by range; only the sizes of the ranges are joined to them.
     """
     work = Workspace(rows.sparkSession)
-    serial, _ = work.materialize(rows.withColumn("_serial", F.monotonically_increasing_id()), "rows")
-    ranged = serial.select(*order_by, "_serial").repartitionByRange(*order_by, "_serial").withColumn("_range", F.spark_partition_id())
-    ranged, _ = work.materialize(ranged, "ranges")
+    ranged = rows.withColumn("_serial", F.monotonically_increasing_id()).repartitionByRange(*order_by, "_serial").sortWithinPartitions(*order_by, "_serial")
+    # the lower bits of the id count the rows of a partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed, _ = work.materialize(ranged.select("*", F.spark_partition_id().alias("_range"), place.alias("_place")).drop("_serial"), "ranges")
     # one row per range
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by, "_serial"))
-    numbers = ranged.withColumn("_rank", rank).join(before, "_range").select("_serial", (F.col("_rank") + F.col("_before") - 1).alias(name))
-    return serial.join(numbers, "_serial").select(*[F.col(f"`{c}`") for c in rows.columns], name)
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before, _ = work.materialize(sizes.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_before")), "sizes")
+    numbered = placed.join(before, "_range").withColumn(name, F.col("_before") + F.col("_place"))
+    return numbered.select(*[F.col(f"`{c}`") for c in rows.columns], name)
 
 
 def number_pages(rows: DataFrame, page_size: int, order_by=("id",)) -> DataFrame:

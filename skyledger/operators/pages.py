@@ -16,14 +16,15 @@ def follow_chain(heads: DataFrame, edges: DataFrame, work: Workspace) -> DataFra
 
     ``edges`` (src, dst) holds at most one successor per node. Pointer jumping: each round knows four times as many positions as
     the one before and makes its strides four times as long, so a chain of n nodes takes log4(n) rounds of joins on a unique key,
-    however long it is. A chain that runs into a circle is cut where it would repeat itself.
+    however long it is. A chain that runs into a circle is cut where it would repeat itself; at most some four times the nodes on it are written for that.
     """
     payload = [c for c in heads.columns if c != "node"]
-    known = heads.select("node", *payload, F.lit(0).cast("bigint").alias("pos"))
+    whose = F.xxhash64(*payload) if payload else F.lit(0).cast("bigint")
+    known = heads.select("node", *payload, F.lit(0).cast("bigint").alias("pos"), whose.alias("_head"))
     path, n = work.write(known, "chain-known-0")
     schema, paths, step = known.schema, [path], 1
     if not n["n_rows"]:
-        return work.read(schema, path)
+        return work.read(schema, path).drop("_head")
     single = edges.select("src", F.array("dst").alias("ahead"))
     jumps, m = work.materialize(_stretch(single, 1), "chain-jumps-1")
     n_edges = m["n_rows"]
@@ -33,18 +34,17 @@ def follow_chain(heads: DataFrame, edges: DataFrame, work: Workspace) -> DataFra
             longer = aside.submit(work.materialize, _stretch(jumps, 4), f"chain-jumps-{step * 4}") if step * 4 <= n_edges + 1 else None
             so_far = work.read(schema, *paths)
             reached = so_far.join(jumps, F.col("node") == F.col("src")).select(
-                *payload, "pos", F.posexplode("ahead").alias("_i", "_dst")
+                *payload, "pos", "_head", F.posexplode("ahead").alias("_i", "_dst")
             )
-            reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"))
-            path, n = work.write(reached, f"chain-known-{step * 4}", last=F.max("pos"))
+            reached = reached.select(F.col("_dst").alias("node"), *payload, (F.col("pos") + (F.col("_i") + 1) * step).alias("pos"), "_head")
+            # a walk that meets what it has passed runs in a circle: it ends there, however many other edges there are
+            reached = reached.join(so_far.select("node", "_head"), ["node", "_head"], "left_anti")
+            reached = reached.groupBy("node", "_head").agg(F.min("pos").alias("pos"), *[F.first(c).alias(c) for c in payload]).select(*schema.names)
+            path, n = work.write(reached, f"chain-known-{step * 4}")
             paths.append(path)
             step *= 4
             jumps = longer.result()[0] if longer else jumps
-    walked = work.read(schema, *paths)
-    if n["n_rows"] and n.get("last", 0) > n_edges:
-        # a walk longer than all edges together runs in a circle
-        return walked.groupBy("node", *payload).agg(F.min("pos").alias("pos"))
-    return walked
+    return work.read(schema, *paths).drop("_head")
 
 
 def _stretch(jumps: DataFrame, by: int) -> DataFrame:
@@ -64,13 +64,21 @@ def _stretch(jumps: DataFrame, by: int) -> DataFrame:
     return three.select("src", F.array_compact(F.array("a", "b", "c")).alias("ahead"))
 
 
+def one_document_each(rows: DataFrame, address: str) -> None:
+    """Raise where two documents have one address; following links would multiply what lies behind them."""
+    twice = rows.groupBy(address).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"{twice['n']} documents have the address '{twice[address]}'; keep the latest of them (response_documents(..., latest=True))")
+
+
 def follow_pages(documents: DataFrame, first_uris) -> DataFrame:
     """Pages (first_uri, page_pos, doc_uri, body) of the chains of ``next`` links that begin at the given address or addresses."""
     spark = documents.sparkSession
     work = Workspace(spark)
     firsts = [first_uris] if isinstance(first_uris, str) else list(first_uris)
     heads = spark.createDataFrame([(u, u) for u in dict.fromkeys(firsts)], "node string, first_uri string")
-    edges = container_nodes(documents).where("next_uri IS NOT NULL").select(F.col("doc_uri").alias("src"), F.col("next_uri").alias("dst"))
+    edges, _ = work.materialize(container_nodes(documents).where("next_uri IS NOT NULL").select(F.col("doc_uri").alias("src"), F.col("next_uri").alias("dst")), "edges")
+    one_document_each(edges, "src")
     chain = follow_chain(heads, edges, work).select("first_uri", F.col("pos").alias("page_pos"), F.col("node").alias("doc_uri"))
     return chain.join(documents, "doc_uri").select("first_uri", "page_pos", "doc_uri", "body")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.crawl import inherited
-from skyledger.functions.json import text_of
+from skyledger.functions.json import last_of_each, lenient, text_of
 
 # Spark types of the property classes; anything else is JSON text.
 TYPES = {
@@ -36,7 +36,7 @@ def property_type(v: Column) -> Column:
 
 def property_fields(feature: Column) -> Column:
     """array<struct<name, type>> of a feature's properties in text order; NULL when they are no object."""
-    entries = F.map_entries(F.from_json(feature, "properties MAP<STRING,VARIANT>")["properties"])
+    entries = F.map_entries(last_of_each(F.from_json(feature, "properties MAP<STRING,VARIANT>")["properties"]))
     return F.transform(entries, lambda e: F.struct(e["key"].alias("name"), property_type(e["value"]).alias("type")))
 
 
@@ -47,7 +47,7 @@ def _seen(items_raw: DataFrame) -> DataFrame:
     sorted and shuffled is one small row per feature and task, not one per property.
     """
     fields = property_fields(F.col("feature")) if "fields" not in items_raw.columns else F.col("fields")
-    lists = items_raw.select(fields.alias("fields"), F.struct("page_pos", "dfs_path").alias("place"))
+    lists = lenient(items_raw).select(fields.alias("fields"), F.struct("page_pos", "dfs_path").alias("place"))
     lists = lists.groupBy("fields").agg(F.min("place").alias("place"))
     rows = lists.select("place", F.posexplode("fields").alias("pos", "f"))
     return rows.select("f.name", "f.type", F.struct("place.page_pos", "place.dfs_path", "pos").alias("place"))
@@ -66,7 +66,7 @@ def _numbered(columns: DataFrame) -> DataFrame:
 
 def property_types(items_raw: DataFrame) -> DataFrame:
     """(name, type, n): how many features hold each property with each class of value."""
-    fields = items_raw.select(property_fields(F.col("feature")).alias("fields")).groupBy("fields").agg(F.count(F.lit(1)).alias("n"))
+    fields = lenient(items_raw).select(property_fields(F.col("feature")).alias("fields")).groupBy("fields").agg(F.count(F.lit(1)).alias("n"))
     rows = fields.select(F.explode("fields").alias("f"), "n")
     return rows.groupBy(F.col("f.name").alias("name"), F.col("f.type").alias("type")).agg(F.sum("n").alias("n"))
 
@@ -83,7 +83,7 @@ def sample_items(items_raw: DataFrame) -> DataFrame:
     """The items a sampling reader looks at: the first item link of each document, the first object of each page, and of these
     the first per item type (catalog and collection)."""
     own = text_of(F.from_json("feature", "collection VARIANT")["collection"])
-    typed = items_raw.where("sampled").withColumns(inherited(own))
+    typed = lenient(items_raw).where("sampled").withColumns(inherited(own))
     row = F.struct(*items_raw.columns)
     first = typed.groupBy("catalog", "collection").agg(F.min_by(row, F.struct("page_pos", "dfs_path")).alias("r"))
     return first.select(*[F.col(f"r.{c}").alias(c) if c not in ("catalog", "collection") else F.col(c) for c in items_raw.columns])

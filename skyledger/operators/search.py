@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import no_strings
+from skyledger.functions.columns import once
 from skyledger.functions.geometry import (
     bbox_overlaps, envelope_wkt, geojson_of_wkt, geom_intersects, parse_envelope, shape_literal, shape_of_wkt,
 )
-from skyledger.operators.order import number_pages
+from skyledger.operators.order import number_pages, number_rows
 from skyledger.workspace import Workspace
 
-# Lists up to this length become a predicate; longer ones a semi join.
-LIST_IN_PLAN = 1000
-# Searches up to this many, with lists and geometries up to this many characters in all, are sent to every task of a batch
-# search; more are shuffled with the items.
-SEARCHES_TO_BROADCAST = 20_000
-CRITERIA_TO_BROADCAST = 4_000_000
-# Rows of one grid cell that one task of a batch search takes.
-ITEMS_PER_SALT = 500_000
-
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _TIME = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?$"
 
@@ -51,9 +43,19 @@ def datetime_range(text: Column) -> Column:
     return F.struct(instant(start).alias("lo"), _last_moment(end).alias("hi"))
 
 
+def _is_instant(text: str) -> bool:
+    """Whether this is a date or a time that exists."""
+    if not re.match(_DATE, text) and not re.match(_TIME, text):
+        return False
+    try:
+        return bool(dt.datetime.fromisoformat(text.upper().replace(" ", "T")))
+    except ValueError:
+        return False
+
+
 def check_datetime(text: str) -> str:
     parts = text.split("/")
-    valid = all(p in ("", "..") or re.match(_DATE, p) or re.match(_TIME, p) for p in parts)
+    valid = all(p in ("", "..") or _is_instant(p) for p in parts)
     if not valid or len(parts) > 2 or (len(parts) == 1 and parts[0] in ("", "..")):
         raise ValueError(f"datetime is neither an instant nor an interval: {text!r}")
     return text
@@ -142,12 +144,8 @@ def search(
     conditions = []
     result = items
     for name, values in (("collection", collections), ("id", ids)):
-        values = list(dict.fromkeys(values or []))
-        if len(values) > LIST_IN_PLAN:
-            wanted = items.sparkSession.createDataFrame([(v,) for v in values], "_wanted string")
-            result = result.join(wanted, F.col(name) == F.col("_wanted"), "left_semi")
-        elif values:
-            conditions.append(F.col(name).isin(values))
+        if values:
+            conditions.append(F.col(name).isin(list(dict.fromkeys(values))))
     if datetime:
         conditions.append(_datetime_condition(items.columns, datetime))
     exact = []
@@ -252,20 +250,31 @@ def _search_table(searches: DataFrame) -> DataFrame:
     def column(name, ddl):
         return F.col(name).cast(ddl) if name in names else F.lit(None).cast(ddl)
 
+    def fault(what: str, value: Column, ddl: str) -> Column:
+        return F.raise_error(F.format_string(f"search %s: {what}: %s", F.col("search_id").cast("string"), value.cast("string"))).cast(ddl)
+
     bbox, wkt, text = column("bbox", "array<double>"), column("intersects", "string"), column("datetime", "string")
-    wrong = F.raise_error(F.lit("bbox needs four numbers: minx, miny, maxx, maxy"))
+    box_type = "struct<minx:double,miny:double,maxx:double,maxy:double>"
     box = F.when(F.size(bbox) == 4, F.struct(
         F.get(bbox, F.lit(0)).alias("minx"), F.least(F.get(bbox, F.lit(1)), F.get(bbox, F.lit(3))).alias("miny"),
         F.get(bbox, F.lit(2)).alias("maxx"), F.greatest(F.get(bbox, F.lit(1)), F.get(bbox, F.lit(3))).alias("maxy"),
-    )).when(bbox.isNotNull(), wrong.cast("struct<minx:double,miny:double,maxx:double,maxy:double>"))
+    )).when(bbox.isNotNull(), fault("bbox needs four numbers: minx, miny, maxx, maxy", F.to_json(bbox), box_type))
     parsed = searches.select(
         "search_id", column("collections", "array<string>").alias("q_collections"), column("ids", "array<string>").alias("q_ids"),
-        F.when(text != "", text).alias("q_datetime"), box.alias("q_box"), wkt.alias("q_wkt"),
+        F.when(text != "", text).alias("q_datetime"), box.alias("q_box"), wkt.alias("q_wkt"), column("max_items", "bigint").alias("q_page"),
     )
     parsed = parsed.withColumns({
         "q_box_shape": F.when(F.col("q_box").isNotNull(), shape_of_wkt(envelope_wkt(F.col("q_box")))),
         "q_wkt_shape": F.when(F.col("q_wkt").isNotNull(), shape_of_wkt(F.col("q_wkt"))),
-        "q_range": F.when(F.col("q_datetime").isNotNull(), datetime_range(F.col("q_datetime"))),
+    })
+    # an end that is given must be read; an open one is '' or '..'
+    ends = F.split("q_datetime", "/")
+    good = (F.size(ends) <= 2) & ~F.exists(ends, lambda e: ~e.isin("", "..") & instant(e).isNull()) & ((F.size(ends) == 2) | ~F.get(ends, F.lit(0)).isin("", ".."))
+    span = F.when(good, datetime_range(F.col("q_datetime"))).otherwise(fault("datetime is neither an instant nor an interval", F.col("q_datetime"), "struct<lo:timestamp,hi:timestamp>"))
+    shape_type = parsed.schema["q_wkt_shape"].dataType.simpleString()
+    parsed = parsed.withColumns({
+        "q_wkt_shape": F.when(F.col("q_wkt").isNotNull() & geojson_of_wkt(F.col("q_wkt")).isNull(), fault("not a WKT geometry", F.col("q_wkt"), shape_type)).otherwise(F.col("q_wkt_shape")),
+        "q_range": F.when(F.col("q_datetime").isNotNull(), span),
     })
     segments = F.col("q_wkt_shape.segments")
 
@@ -280,80 +289,94 @@ def _search_table(searches: DataFrame) -> DataFrame:
     return parsed.withColumn("q_eff", _effective(F.coalesce("q_box", "q_extent")))
 
 
-def _weight() -> Column:
-    """Characters in the criteria of one search that may be of any length."""
-    lists = F.concat(*[F.coalesce(F.col(c), no_strings()) for c in ("q_collections", "q_ids")])
-    return F.length(F.array_join(lists, ",")) + F.coalesce(F.length("q_wkt"), F.lit(0))
-
-
-def _meets_search(first: Column, last: Column) -> list[Column]:
-    """The exact test of an item against a search, cheap parts first."""
+def _cheap_tests() -> list[Column]:
+    """The test of an item against a search without footprints."""
 
     def given(criterion, test):
-        return criterion.isNull() | test
+        return criterion.isNull() | F.coalesce(test, F.lit(False))
 
     def listed(name, value):
         return F.coalesce(F.size(name) <= 0, F.lit(True)) | F.array_contains(name, value)
 
     box = F.col("bbox")
-    foot = F.col("geometry")
-    cheap = [
-        given(F.col("q_box"), F.coalesce(bbox_overlaps(box, F.col("q_box")), F.lit(False))),
-        F.col("q_wkt").isNull() | F.coalesce(bbox_overlaps(box, F.col("q_extent")), F.lit(False)),
-        given(F.col("q_range"), _in_range(first, last, F.col("q_range"))),
-        listed("q_collections", F.col("collection")), listed("q_ids", F.col("id")),
-    ]
-    shapes = [
-        foot.isNull() | F.col(s).isNull() | geom_intersects(shape_of_wkt(foot), F.col(s)) for s in ("q_box_shape", "q_wkt_shape")
+    return [
+        given(F.col("q_box"), bbox_overlaps(box, F.col("q_box"))), F.col("q_wkt").isNull() | F.coalesce(bbox_overlaps(box, F.col("q_extent")), F.lit(False)),
+        given(F.col("q_range"), _in_range(F.col("i_first"), F.col("i_last"), F.col("q_range"))), listed("q_collections", F.col("collection")),
     ]
-    return cheap + shapes
+
+
+def _meet_in_cells(spread: DataFrame, q: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of items and searches that meet in a grid cell (and agree in the other keys), each once."""
+    pairs = spread.join(q, ["_level", "_cx", "_cy", *keys])
+    size = _size_of(F.col("_level"))
+    corner_x = F.greatest(F.col("i_eff.minx"), F.col("q_eff.minx"))
+    corner_y = F.greatest(F.col("i_eff.miny"), F.col("q_eff.miny"))
+    return pairs.where(
+        (F.col("_level") == F.greatest("i_level", "q_level"))
+        & (F.col("_cx") == _cell_index(corner_x, -180.0, size)) & (F.col("_cy") == _cell_index(corner_y, -90.0, size))
+    )
 
 
 def search_batch(items: DataFrame, searches: DataFrame) -> DataFrame:
     """Every search against every item: (search_id, item columns...), one row per match.
 
-    Both sides are spread over grid cells and joined on the cell. A box lives on the grid whose cells are as large as itself, so
+    A search goes the way of its most telling criterion. Ids are joined on the id. Without ids both sides are spread over grid cells and
+    joined on the cell, and on the collection where the search names any. A box lives on the grid whose cells are as large as itself, so
     it touches at most four cells there and on each coarser grid; a pair meets on the coarser of its two grids, in the one cell
     that holds the lower left corner of the common area, so no pair is found twice and nothing needs to be made distinct.
-    Few searches are sent to all tasks after counting them. Many are shuffled, and each cell is split by the number of items it
-    holds, so a crowded cell is shared by many tasks.
+    Searches are a written table, so Spark knows what it may broadcast; otherwise it splits crowded cells itself. Their shapes stay
+    behind and meet only the pairs that passed all other tests.
+
+    With a column ``max_items`` the result has ``page_no``: a search's matches in order of id, so many to a page, for searches with a page
+    size above 0 and another criterion, else NULL. A datetime, box or geometry that cannot be read raises and names its search.
     """
     work = Workspace(items.sparkSession)
+    has_ids, has_collections = F.coalesce(F.size("q_ids") > 0, F.lit(False)), F.coalesce(F.size("q_collections") > 0, F.lit(False))
+    way = F.when(has_ids, "ids").when(has_collections, "collections").otherwise("cells")
+    criterion = has_ids | has_collections | F.col("q_datetime").isNotNull() | F.col("q_box").isNotNull() | F.col("q_wkt").isNotNull()
+    table = _search_table(searches).withColumns({"q_level": _level(F.col("q_eff")), "q_way": way, "q_no": F.monotonically_increasing_id()})
+    table = table.withColumn("q_page", F.when((F.col("q_page") > 0) & criterion, F.col("q_page")))
     table, counts = work.materialize(
-        _search_table(searches).withColumn("q_level", _level(F.col("q_eff"))), "searches", weight=F.sum(_weight()),
-        **{f"level_{i}": F.count_if(F.col("q_level") == i) for i in range(len(CELL_SIZES))},
+        table, "searches", pages=F.count("q_page"), **{f"way_{w}": F.count_if(F.col("q_way") == w) for w in ("ids", "collections", "cells")},
+        **{f"level_{i}": F.count_if((F.col("q_level") == i) & (F.col("q_way") != "ids")) for i in range(len(CELL_SIZES))},
     )
+    q = table.select("q_no", "q_way", "q_ids", "q_collections", "q_box", "q_wkt", "q_extent", "q_range", "q_eff", "q_level").withColumn("q_wkt", F.when(F.col("q_wkt").isNotNull(), ""))
     n_levels = len(CELL_SIZES)
-    q = _with_cells(table, "q", F.sequence(F.col("q_level"), F.lit(n_levels - 1)))
-    # An item meets searches of its own grid or a finer one on its own grid, coarser ones on theirs.
-    used = F.array(*[F.lit(i) for i in range(n_levels) if counts[f"level_{i}"]] or [F.lit(-1)])
-    i_levels = F.array_union(F.array("i_level"), F.filter(used, lambda l: l > F.col("i_level")))
     # what the test needs of an item is made ready once, before the item meets searches
     first, last = _item_times(items.columns)
-    spread = items.withColumns({"i_eff": _effective(F.col("bbox")), "i_first": first, "i_last": last})
-    spread = spread.withColumn("i_level", _level(F.col("i_eff")))
-    spread = _with_cells(spread, "i", i_levels)
-    keys = ["_level", "_cx", "_cy"]
-    if counts["n_rows"] <= SEARCHES_TO_BROADCAST and (counts["weight"] or 0) <= CRITERIA_TO_BROADCAST:
-        # counted above; each search has at most four cells on each grid
-        pairs = spread.join(F.broadcast(q), keys)
-    else:
-        # the grids have some 90,000 cells in all, so this table is bounded
-        # written once: it is counted and then joined, and a row keeps its serial number, and so its share, whatever is run again
-        spread, _ = work.materialize(spread.withColumn("_serial", F.monotonically_increasing_id()), "spread")
-        crowd = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        crowd, _ = work.materialize(crowd.select(*keys, F.ceil(F.col("n") / ITEMS_PER_SALT).cast("int").alias("_salts")), "crowd")
-        crowd = F.broadcast(crowd)
-        salted = spread.join(crowd, keys).withColumn("_salt", F.pmod(F.xxhash64("_serial"), F.col("_salts")).cast("int"))
-        copies = q.join(crowd, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-        pairs = salted.drop("_salts").join(copies.drop("_salts"), [*keys, "_salt"])
-    size = _size_of(F.col("_level"))
-    corner_x = F.greatest(F.col("i_eff.minx"), F.col("q_eff.minx"))
-    corner_y = F.greatest(F.col("i_eff.miny"), F.col("q_eff.miny"))
-    pairs = pairs.where(
-        (F.col("_level") == F.greatest("i_level", "q_level"))
-        & (F.col("_cx") == _cell_index(corner_x, -180.0, size)) & (F.col("_cy") == _cell_index(corner_y, -90.0, size))
-    )
-    for condition in _meets_search(F.col("i_first"), F.col("i_last")):
-        pairs = pairs.where(condition)
-    return pairs.select("search_id", *[F.col(f"`{c}`") for c in items.columns])
+    known = items.withColumns({"i_first": first, "i_last": last})
+    ways = []
+    if counts["way_ids"] or not counts["n_rows"]:
+        wanted = q.where("q_way = 'ids'").withColumn("id", F.explode(F.array_distinct("q_ids")))
+        ways.append(known.join(wanted, "id"))
+    if counts["way_collections"] or counts["way_cells"]:
+        # An item meets searches of its own grid or a finer one on its own grid, coarser ones on theirs.
+        used = F.array(*[F.lit(i) for i in range(n_levels) if counts[f"level_{i}"]])
+        placed = known.withColumn("i_eff", _effective(F.col("bbox")))
+        placed = placed.withColumn("i_level", _level(F.col("i_eff")))
+        spread = _with_cells(placed, "i", F.array_union(F.array("i_level"), F.filter(used, lambda l: l > F.col("i_level"))))
+        cells = _with_cells(q, "q", F.sequence(F.col("q_level"), F.lit(n_levels - 1)))
+        if counts["way_collections"]:
+            named = cells.where("q_way = 'collections'").withColumn("collection", F.explode(F.array_distinct("q_collections")))
+            ways.append(_meet_in_cells(spread, named, ["collection"]))
+        if counts["way_cells"]:
+            ways.append(_meet_in_cells(spread, cells.where("q_way = 'cells'"), []))
+    found = []
+    for pairs in ways:
+        for test in _cheap_tests():
+            pairs = pairs.where(test)
+        found.append(pairs.select("q_no", *[F.col(f"`{c}`") for c in items.columns]))
+    pairs = reduce(DataFrame.unionByName, found)
+    shapes = table.select("q_no", "search_id", "q_page", "q_box_shape", "q_wkt_shape")
+    pairs = once(pairs.join(shapes, "q_no"), F.when(F.col("q_box_shape").isNotNull() | F.col("q_wkt_shape").isNotNull(), shape_of_wkt(F.col("geometry"))), "_i_shape")
+    for shape in ("q_box_shape", "q_wkt_shape"):
+        pairs = pairs.where(F.col("geometry").isNull() | F.col(shape).isNull() | geom_intersects(F.col("_i_shape"), F.col(shape)))
+    columns = [F.col(f"`{c}`") for c in items.columns]
+    if "max_items" not in searches.columns:
+        return pairs.select("search_id", *columns)
+    if not counts["pages"]:
+        return pairs.select("search_id", *columns, F.lit(None).cast("bigint").alias("page_no"))
+    numbered = number_rows(pairs.select("q_no", "search_id", "q_page", *columns), ["q_no", "id"], "_row_no")
+    starts = numbered.groupBy("q_no").agg(F.min("_row_no").alias("_first"))
+    page = F.floor((F.col("_row_no") - F.col("_first")) / F.col("q_page")).cast("bigint")
+    return numbered.join(starts, "q_no").select("search_id", *columns, page.alias("page_no"))

@@ -15,7 +15,7 @@ FAN = 4096
 PAGE = 100
 RESPONSE_TTL = 3600
 
-_landed: dict[tuple, str] = {}
+_landed: dict[tuple, tuple] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,12 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of SETS as a written table."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    df = SETS[name](spark, sf_dir)
     if key not in _landed:
+        df = SETS[name](spark, sf_dir)
         # spread by key: the tables are small files, and a document is worth far more work than the row it comes from
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        _landed[key], _ = Workspace(spark).write(df.repartition(n, df.columns[0]), name)
-    return spark.read.schema(df.schema).parquet(_landed[key])
+        path, _ = Workspace(spark).write(df.repartition(n, df.columns[0]), name)
+        _landed[key] = (path, df.schema)
+    path, schema = _landed[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 # -- pieces of JSON ----------------------------------------------------------------------------------------------------
@@ -342,4 +344,55 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SETS = {"tree": tree, "pages": pages, "geometries": geometries, "defects": defects, "searches": searches, "responses": responses}
+# -- set G: repeated keys ----------------------------------------------------------------------------------------------
+
+
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A root catalog with a collection for each nation and an item for each customer; links, properties, nested values and assets repeat keys, of which the last counts."""
+    customer = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    properties = text('"g:twice":"first","g:twice":', num(k), ',"g:nested":{"k":1,"k":', num(k), '},"g:plain":', quoted(F.col("c_mktsegment")))
+    assets = text('{"a":{"href":"old"},"a":{"href":"x","href":"a-', num(k), '"},"b":{"href":"b"}}')
+    links = F.lit('[{"rel":"self","rel":"self","href":"x"}]')
+    items = customer.select(
+        text("mem:/g/items/", num(k), ".json").alias("doc_uri"),
+        feature(text("g-", num(k)), properties, rectangle(k), array_text(*corners(k)), F.lit(None).cast("string"), links=links, assets=assets).alias("body"),
+    )
+    wrong = text('{"rel":"item","href":"nowhere.json","href":', quoted(text("items/", num(k), ".json")), "}")
+    rows = customer.withColumn("link", wrong)
+    nations = rows.groupBy("c_nationkey").agg(_listed(rows, "c_custkey").alias("links")).select(
+        text("mem:/g/n", num(F.col("c_nationkey")), ".json").alias("doc_uri"), container("Collection", text("n", num(F.col("c_nationkey"))), F.col("links")).alias("body")
+    )
+    heads = customer.select("c_nationkey").distinct().withColumn("link", link("child", text("n", num(F.col("c_nationkey")), ".json")))
+    root = heads.agg(_listed(heads, "c_nationkey").alias("links")).select(F.lit("mem:/g/catalog.json").alias("doc_uri"), container("Catalog", F.lit("repeats"), F.col("links")).alias("body"))
+    return _union([root, nations, items])
+
+
+# -- set H: a mesh of catalogs and a circle of pages ---------------------------------------------------------------------
+
+
+def mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog for each nation that links to the catalogs of all nations and to an item for each supplier; and a page for each nation, the last followed by the first."""
+    nation, supplier = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    k = F.col("n_nationkey")
+    every = nation.withColumn("link", link("child", text("c", num(k), ".json")))
+    every = every.agg(_listed(every, "n_nationkey").alias("all"), F.count(F.lit(1)).alias("n"))  # one row
+    rows = supplier.withColumn("link", link("item", text("items/", num(F.col("s_suppkey")), ".json")))
+    listed = rows.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(_listed(rows, "s_suppkey").alias("own"))
+    nations = nation.join(listed, "n_nationkey", "left").crossJoin(F.broadcast(every))
+    catalogs = nations.select(text("mem:/h/c", num(k), ".json").alias("doc_uri"), container("Catalog", F.col("n_name"), F.concat_ws(",", "all", "own")).alias("body"))
+    pages = nations.select(
+        text("mem:/h/page-", num(k), ".json").alias("doc_uri"),
+        text('{"type":"FeatureCollection","features":[],"links":[', link("next", text("page-", num((k + 1) % F.col("n")), ".json")), "]}").alias("body"),
+    )
+    s = F.col("s_suppkey")
+    items = supplier.select(
+        text("mem:/h/items/", num(s), ".json").alias("doc_uri"),
+        feature(text("h-", num(s)), F.lit('"datetime":"2024-01-01T00:00:00Z"'), rectangle(s), array_text(*corners(s)), F.lit(None).cast("string")).alias("body"),
+    )
+    return _union([catalogs, pages, items])
+
+
+SETS = {
+    "tree": tree, "pages": pages, "geometries": geometries, "defects": defects, "searches": searches, "responses": responses, "repeats": repeats, "mesh": mesh,
+}

@@ -21,7 +21,7 @@ from skyledger.workspace import Workspace
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-TREE, STREAM, DEFECTS = "mem:/a/catalog.json", "mem:/b/collection.json", "mem:/d/catalog.json"
+TREE, STREAM, DEFECTS, REPEATS = "mem:/a/catalog.json", "mem:/b/collection.json", "mem:/d/catalog.json", "mem:/g/catalog.json"
 
 ORDER_SCHEMA = T.StructType([
     T.StructField("datetime", T.StringType()), T.StructField("o:totalprice", T.DoubleType()), T.StructField("o:cust", T.LongType()),
@@ -192,6 +192,26 @@ def crawl(spark, sf_dir):
     return _tree_raw(spark, sf_dir).select("catalog", "collection", "doc_uri")
 
 
+@query("t3_repeated_keys", """
+    SELECT 'repeats' AS catalog, 'n' || c_nationkey AS collection, 'mem:/g/items/' || c_custkey || '.json' AS doc_uri FROM customer""")
+def repeated_link_keys(spark, sf_dir):
+    return sky.crawl(landed(spark, sf_dir, "repeats"), REPEATS).select("catalog", "collection", "doc_uri")
+
+
+@query("t8_mesh", """
+    SELECT n_name AS catalog, 'mem:/h/items/' || s_suppkey || '.json' AS doc_uri FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def mesh(spark, sf_dir):
+    return sky.crawl(landed(spark, sf_dir, "mesh"), "mem:/h/c0.json").select("catalog", "doc_uri")
+
+
+@query("t4_circles", """
+    WITH n AS (SELECT count(*) AS n FROM nation), h AS (SELECT * FROM (VALUES (0), (7)) v(head))
+    SELECT 'mem:/h/page-' || head || '.json' AS first_uri, 'mem:/h/page-' || n_nationkey || '.json' AS doc_uri, CAST((n_nationkey - head + n) % n AS BIGINT) AS page_pos FROM nation, h, n""")
+def page_circles(spark, sf_dir):
+    pages = sky.follow_pages(landed(spark, sf_dir, "mesh"), ["mem:/h/page-0.json", "mem:/h/page-7.json"])
+    return pages.select("first_uri", "doc_uri", "page_pos")
+
+
 @query("t3_missing_targets", f"""
     WITH {_PLACED} SELECT base || '/items/' || o_orderkey || '.json' AS doc_uri, base || '/idx/l1-' || {_INDEX} || '.json' AS parent_uri
     FROM placed WHERE o_orderstatus = 'P'""")
@@ -263,6 +283,22 @@ def property_types(spark, sf_dir):
     return sky.property_types(_tree_raw(spark, sf_dir))
 
 
+@query("i2_repeated_keys", """
+    SELECT name, type, count(*) AS n FROM customer, (VALUES ('g:twice', 'bigint'), ('g:nested', 'json'), ('g:plain', 'string')) v(name, type) GROUP BY name, type""")
+def repeated_property_keys(spark, sf_dir):
+    return sky.property_types(sky.crawl(landed(spark, sf_dir, "repeats"), REPEATS))
+
+
+@query("p6_repeated_keys", """
+    SELECT 'g-' || c_custkey AS id, c_custkey AS twice, CAST(c_custkey AS VARCHAR) AS nested, c_mktsegment AS plain, 'a-' || c_custkey AS a, 'b' AS b, 2 AS n FROM customer""")
+def repeated_asset_keys(spark, sf_dir):
+    items = sky.read(landed(spark, sf_dir, "repeats"), REPEATS)
+    return items.select(
+        "id", F.col("`g:twice`").alias("twice"), F.from_json("`g:nested`", "k STRING")["k"].alias("nested"), F.col("`g:plain`").alias("plain"),
+        F.col("assets")["a"]["href"].alias("a"), F.col("assets")["b"]["href"].alias("b"), F.size("assets").alias("n"),
+    )
+
+
 @query("i3_first_item_sample", f"""
     WITH {_PLACED}, f AS (SELECT *, row_number() OVER (PARTITION BY base, {_INDEX} ORDER BY o_orderkey) AS nth FROM placed),
     t AS (SELECT *, row_number() OVER (PARTITION BY r_name, collection ORDER BY place) AS of_type FROM f WHERE nth = 1)
@@ -399,7 +435,7 @@ def json_passthrough(spark, sf_dir):
 
 @query("p9_column_pruning", f"WITH {_PLACED} SELECT id, o_orderstatus AS status FROM placed")
 def column_pruning(spark, sf_dir):
-    return _tree_items(spark, sf_dir, columns=["o:status"]).select("id", F.col("`o:status`").alias("status"))
+    return _tree_items(spark, sf_dir, columns=["o:status"], fixed=["id"]).select("id", F.col("`o:status`").alias("status"))
 
 
 @query("p10_struct_cast", f"WITH {_EVENTS} SELECT id, minx, miny, maxx, maxy FROM ev")
@@ -563,7 +599,49 @@ def render_requests(spark, sf_dir):
       AND ts >= make_timestamp(2024, 1, day, 0, 0, 0) AND ts < make_timestamp(2024, 1, day, 0, 0, 0) + INTERVAL 11 DAY
       AND minx <= qx + 20 AND maxx >= qx AND miny <= qy + 10 AND maxy >= qy""")
 def search_batch(spark, sf_dir):
-    return sky.search_batch(_event_items(spark, sf_dir), landed(spark, sf_dir, "searches")).select("search_id", "id")
+    return sky.search_batch(_event_items(spark, sf_dir), landed(spark, sf_dir, "searches").drop("max_items")).select("search_id", "id")
+
+
+@query("q9_batch_ids", """
+    SELECT DISTINCT s_suppkey AS search_id, 'ev-' || event_id AS id FROM supplier JOIN events ON event_id = s_suppkey * 7 OR event_id = s_suppkey * 11""")
+def batch_ids(spark, sf_dir):
+    k = F.col("s_suppkey")
+    ids = F.array(F.concat(F.lit("ev-"), k * 7), F.concat(F.lit("ev-"), k * 11), F.lit("ev-none"))
+    searches = table(spark, sf_dir, "supplier").select(k.alias("search_id"), ids.alias("ids"))
+    return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), searches).select("search_id", "id")
+
+
+def _type_searches(spark, sf_dir):
+    types, k = F.array(*[F.lit(t) for t in sets.EVENT_TYPES]), F.col("r_regionkey")
+    wanted = F.array(F.get(types, k), F.get(types, (k + 1) % 5))
+    return table(spark, sf_dir, "region").where("r_regionkey < 5").select(k.alias("search_id"), wanted.alias("collections"), (F.lit(100) + k).alias("max_items"))
+
+
+_TYPED = f"""t AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{t}')" for i, t in enumerate(sets.EVENT_TYPES))}) v(no, type)),
+    wanted AS (SELECT r_regionkey AS search_id, 'ev-' || event_id AS id, 100 + r_regionkey AS page FROM region JOIN t ON no = r_regionkey OR no = (r_regionkey + 1) % 5
+      JOIN events ON event_type = type)"""
+
+
+@query("q9_batch_collections", f"WITH {_TYPED} SELECT search_id, id FROM wanted")
+def batch_collections(spark, sf_dir):
+    return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), _type_searches(spark, sf_dir).drop("max_items")).select("search_id", "id")
+
+
+@query("q6_batch_pages", f"""
+    WITH {_TYPED} SELECT search_id, id, CAST((row_number() OVER (PARTITION BY search_id ORDER BY id) - 1) // page AS BIGINT) AS page_no FROM wanted""")
+def batch_pages(spark, sf_dir):
+    return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), _type_searches(spark, sf_dir)).select("search_id", "id", "page_no")
+
+
+@query("q9_batch_intersects", f"""
+    WITH {_EVENTS}, s AS (SELECT n_nationkey AS search_id, CAST((n_nationkey * 13) % 300 AS DOUBLE) - 170.25 AS x, CAST((n_nationkey * 7) % 150 AS DOUBLE) - 80.25 AS y FROM nation)
+    SELECT search_id, id FROM s JOIN ev ON minx <= x + 12 AND maxx >= x AND miny <= y + 6 AND maxy >= y""")
+def batch_intersects(spark, sf_dir):
+    k = F.col("n_nationkey")
+    x, y = (k * 13 % 300).cast("double") - F.lit(170.25), (k * 7 % 150).cast("double") - F.lit(80.25)
+    corner = F.format_string("%s %s", x, y), F.format_string("%s %s", x + 12, y), F.format_string("%s %s", x + 12, y + 6), F.format_string("%s %s", x, y + 6), F.format_string("%s %s", x, y)
+    searches = table(spark, sf_dir, "nation").select(k.alias("search_id"), F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *corner), F.lit("))")).alias("intersects"))
+    return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), searches).select("search_id", "id")
 
 
 # -- filters, limits, counts -------------------------------------------------------------------------------------------
@@ -572,19 +650,19 @@ def search_batch(spark, sf_dir):
 @query("f1_filter_complex", f"""
     WITH {_PLACED} SELECT id FROM placed WHERE (o_totalprice > 100000 AND o_orderstatus = 'F') OR (o_orderpriority = '1-URGENT' AND NOT o_totalprice > 200000 AND collection LIKE 'own-%')""")
 def filter_complex(spark, sf_dir):
-    items = _tree_items(spark, sf_dir)
+    items = _tree_items(spark, sf_dir, columns=["o:totalprice", "o:status", "o:urgent", "o:big"], fixed=["id", "collection"])
     return items.where("(`o:totalprice` > 100000 AND `o:status` = 'F') OR (`o:urgent` AND NOT `o:big` AND collection LIKE 'own-%')").select("id")
 
 
 @query("f2_filter_property", f"WITH {_PLACED} SELECT id, collection, o_totalprice AS price FROM placed WHERE o_totalprice > 250000 AND o_orderpriority = '1-URGENT'")
 def filter_property(spark, sf_dir):
-    items = _tree_items(spark, sf_dir)
+    items = _tree_items(spark, sf_dir, columns=["o:totalprice", "o:urgent"], fixed=["id", "collection"])
     return items.where("`o:totalprice` > 250000 AND `o:urgent` IS NOT NULL").select("id", "collection", F.col("`o:totalprice`").alias("price"))
 
 
 @query("f3_filter_struct_field", f"WITH {_PLACED} SELECT id, minx FROM placed WHERE minx > 1")
 def filter_struct_field(spark, sf_dir):
-    return _tree_items(spark, sf_dir, columns=[]).where("bbox.minx > 1").select("id", F.col("bbox.minx").alias("minx"))
+    return _tree_items(spark, sf_dir, columns=[], fixed=["id", "bbox"]).where("bbox.minx > 1").select("id", F.col("bbox.minx").alias("minx"))
 
 
 @query("l1_limit_rows", "SELECT 'ev-' || event_id AS id FROM events ORDER BY event_id LIMIT 50")
@@ -613,13 +691,13 @@ def filtered_offset(spark, sf_dir):
 
 @query("l4_top_k", f"WITH {_PLACED} SELECT id, o_totalprice AS price FROM placed ORDER BY o_totalprice DESC, id LIMIT 20")
 def top_k(spark, sf_dir):
-    items = _tree_items(spark, sf_dir, columns=["o:totalprice"]).select("id", F.col("`o:totalprice`").alias("price"))
+    items = _tree_items(spark, sf_dir, columns=["o:totalprice"], fixed=["id"]).select("id", F.col("`o:totalprice`").alias("price"))
     return items.orderBy(F.desc("price"), "id").limit(20)
 
 
 @query("l5_order_by_id", f"WITH {_PLACED} SELECT id FROM placed WHERE o_orderpriority = '1-URGENT' ORDER BY id")
 def order_by_id(spark, sf_dir):
-    return _tree_items(spark, sf_dir, columns=["o:urgent"]).where("`o:urgent`").select("id").orderBy("id")
+    return _tree_items(spark, sf_dir, columns=["o:urgent"], fixed=["id"]).where("`o:urgent`").select("id").orderBy("id")
 
 
 @query("a1_count_items", f"""
@@ -629,7 +707,8 @@ def count_items(spark, sf_dir):
     def count(items):
         return items.groupBy("catalog").agg(F.count(F.lit(1)).alias("n"), F.count("id").alias("n_ids"))
 
-    return count(_tree_items(spark, sf_dir, columns=[])).unionByName(count(_event_items(spark, sf_dir)))
+    few = {"columns": [], "fixed": ["catalog", "id"]}
+    return count(_tree_items(spark, sf_dir, **few)).unionByName(count(_event_items(spark, sf_dir, **few)))
 
 
 @query("a2_matched_audit", f"""

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.crawl import Closure, attach, features_of
-from skyledger.operators.items import finish_items, pick_columns, shape_features
+from skyledger.operators.items import finish_items, pick_columns, pick_fixed, shape_features
 from skyledger.operators.schema import infer_schema, property_fields
 from skyledger.sources.documents import read_documents
 
 
 def read(
     documents: DataFrame, root_uris, schema: T.StructType | None = None, mode: str = "all", strict: bool = True, columns=None,
-    wkt_digits: int | None = None, on_missing: str = "fail", on_error: str = "fail", keep=(),
+    wkt_digits: int | None = None, on_missing: str = "fail", on_error: str = "fail", keep=(), fixed=None,
 ) -> DataFrame:
     """The item table of the catalog whose root document is ``root_uris``.
 
     Features are parsed before they meet the result of the closure, so the shuffle carries the columns a query asks for and not
-    the documents. Without a ``schema`` the property columns are learnt first (``mode`` as in ``infer_schema``).
+    the documents. Without a ``schema`` the property columns are learnt first (``mode`` as in ``infer_schema``). ``columns`` and ``fixed``
+    choose columns as in ``items``.
     """
     closure = Closure(documents, root_uris, on_missing=on_missing)
     features = features_of(documents)
@@ -27,8 +30,9 @@ def read(
         fields = features.withColumn("fields", property_fields(F.col("feature")))
         schema = infer_schema(attach(fields, closure.targets, on_error), mode)
     schema = pick_columns(schema, columns)
-    shaped = attach(shape_features(features, schema, wkt_digits), closure.targets, on_error)
-    return finish_items(shaped, schema, strict, keep)
+    geometry = "geometry" in pick_fixed(fixed)
+    shaped = attach(shape_features(features, schema, wkt_digits, geometry), closure.targets, on_error)
+    return finish_items(shaped, schema, strict, keep, fixed)
 
 
 def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -40,13 +44,13 @@ def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
         raise ValueError("the address of the root document is empty")
     if not path.lower().endswith((".json", ".geojson")):
         raise ValueError(f"'{path}' is an endpoint, land its responses first")
-    folder, _, name = path.rpartition("/")
-    documents = read_documents(spark, folder or ".")
-    # Spark names files by their full address; of files with this name the root is the one nearest to the folder
-    root = documents.where(F.col("doc_uri").endswith(f"/{name}")).select("doc_uri").orderBy(F.length("doc_uri")).first()
-    if root is None:
+    documents = read_documents(spark, path.rpartition("/")[0] or ".")
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(file).toString()
+    root = re.sub("^file:/+", "file:///", full)
+    if documents.where(F.col("doc_uri") == root).first() is None:
         raise FileNotFoundError(f"no document '{path}'")
-    return read(documents, root["doc_uri"], **options)
+    return read(documents, root, **options)
 
 
 def store_items(items: DataFrame, path: str, n_files: int | None = None) -> None:

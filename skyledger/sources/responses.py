@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import no_strings
 from skyledger.operators.pages import follow_chain
 from skyledger.workspace import Workspace
 
@@ -36,24 +35,24 @@ def response_documents(responses: DataFrame, on_error: str = "fail", latest: boo
 
 
 def request_key(url: Column, method: Column, headers: Column, content_type: Column, body: Column) -> Column:
-    """Two requests with one key are the same request; header order does not matter."""
-    pairs = F.array_sort(F.transform(F.map_entries(headers), lambda e: F.concat(e["key"], F.lit(":"), e["value"])))
+    """Two requests with one key are the same request. Header order and the case of the method do not matter, an absent part is an empty one."""
     blank = F.lit("")
-    return F.concat_ws(
-        "\n", url, F.upper(method), F.coalesce(content_type, blank), F.coalesce(body, blank),
-        F.array_join(F.coalesce(pairs, no_strings()), "\n"),
-    )
+    sent = F.coalesce(F.array_sort(F.map_entries(headers)), F.expr("cast(array() as array<struct<key:string,value:string>>)"))
+    parts = F.struct(url.alias("url"), F.upper(method).alias("method"), F.coalesce(body, blank).alias("body"), F.coalesce(content_type, blank).alias("type"), sent.alias("sent"))
+    # as JSON no part can run into the next one; hashed, a long body is not shuffled
+    return F.sha2(F.to_json(parts), 256)
 
 
 def freshest_response(responses: DataFrame, ttl_seconds: int = 30) -> DataFrame:
-    """Responses that were really fetched: one that comes within the time limit of the last fetched one is a reuse of it.
+    """Responses that were really fetched: one that comes within the time limit of the last fetched one is a reuse of it. Failed
+    responses (a status other than 200) are left out, whatever the limit; without a limit nothing is a reuse.
 
     The first response of a request is kept, then always the next one later than the limit. No request's history is gathered in
     one place: times are cut into buckets as long as the limit, each time finds its successor within two neighbouring buckets,
     and the kept times are the chains of successors, walked by doubling.
     """
     if ttl_seconds <= 0:
-        return responses
+        return responses.where(F.col("status") == 200)
     reusable = F.upper("method").isin("GET", "POST")
     key = request_key(*[F.col(c) for c in ("url", "method", "headers", "content_type", "body_sent")])
     keyed = responses.where(F.col("status") == 200).withColumn("_key", key)

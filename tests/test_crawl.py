@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
@@ -165,3 +167,55 @@ def test_read_documents(spark, tmp_path):
     for bad in ("", "https://host/search?limit=10"):
         with pytest.raises(ValueError):
             sky.read_catalog(spark, bad)
+
+
+def test_repeated_keys_lose_nothing(spark, documents):
+    docs = documents({
+        "mem:/catalog.json": '{"type":"Catalog","id":"c","links":[{"rel":"item","href":"a.json"},{"rel":"item","href":"no.json","href":"b.json"},{"rel":"item","href":"c.json"}]}',
+        **{f"mem:/{n}.json": feature(n) for n in "abc"},
+    })
+    assert sorted(r["doc_uri"] for r in sky.crawl(docs, "mem:/catalog.json").collect()) == [f"mem:/{n}.json" for n in "abc"]
+    bad = {r["doc_uri"]: r["problem"] for r in sky.validate(docs, "report").collect()}
+    assert bad == {"mem:/catalog.json": "repeated key"} and sky.validate(docs).count() == 4
+
+
+def test_a_mesh_is_walked_once(spark, documents):
+    n = 12
+    docs = {f"mem:/c{k}.json": {"type": "Catalog", "id": f"c{k}", "links": [{"rel": "child", "href": f"c{j}.json"} for j in range(n)] + [{"rel": "item", "href": f"i{k}.json"}]} for k in range(n)}
+    docs |= {f"mem:/i{k}.json": feature(f"i{k}") for k in range(n)}
+    found = sky.crawl(documents(docs), "mem:/c0.json").collect()
+    assert sorted((r["catalog"], r["doc_uri"]) for r in found) == sorted((f"c{k}", f"mem:/i{k}.json") for k in range(n))
+
+
+def test_one_document_for_each_address(spark, documents):
+    docs = documents({"mem:/p.json": {"type": "FeatureCollection", "features": [], "links": [{"rel": "next", "href": "p.json"}]}})
+    assert [(r["page_pos"], r["doc_uri"]) for r in sky.follow_pages(docs, "mem:/p.json").collect()] == [(0, "mem:/p.json")]
+    with pytest.raises(ValueError, match="2 documents have the address 'mem:/p.json'"):
+        sky.follow_pages(docs.unionByName(docs), "mem:/p.json")
+    with pytest.raises(ValueError, match="2 documents have the address 'mem:/p.json'"):
+        sky.crawl(docs.unionByName(docs), "mem:/p.json")
+
+
+def test_read_catalog_opens_the_file_it_was_given(spark, tmp_path):
+    folder = tmp_path / "my cat+1"
+    (folder / "sub").mkdir(parents=True)
+    write = lambda path, value: path.write_text(json.dumps(value))
+    write(folder / "catalog.JSON", {"type": "Catalog", "id": "top", "links": [{"rel": "item", "href": "my item.json"}, {"rel": "item", "href": str(folder / "sub" / "b%20c.geojson")}]})
+    write(folder / "my item.json", feature("one"))
+    write(folder / "sub" / "b%20c.geojson", feature("two"))
+    write(folder / "sub" / "catalog.json", {"type": "Catalog", "id": "sub", "links": []})
+    got = sky.read_catalog(spark, str(folder / "catalog.JSON"))
+    assert sorted((r["catalog"], r["id"]) for r in got.collect()) == [("top", "one"), ("top", "two")]
+    with pytest.raises(FileNotFoundError):
+        sky.read_catalog(spark, str(folder / "catalog.json"))
+
+
+def test_no_geometry_where_none_is_asked_for(spark, documents):
+    docs = documents({"mem:/c.json": {"type": "Catalog", "id": "c", "links": [{"rel": "item", "href": "a.json"}]}, "mem:/a.json": feature("a")})
+    schema = sky.infer_schema(sky.crawl(docs, "mem:/c.json"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan(sky.read(docs, "mem:/c.json", schema))
+    few = sky.read(docs, "mem:/c.json", schema, columns=[], fixed=["id", "collection"])
+    assert "regexp_replace" not in plan(few) and few.columns == ["collection", "id"] and few.count() == 1
+    with pytest.raises(ValueError, match="no fixed columns"):
+        sky.read(docs, "mem:/c.json", schema, fixed=["datetime"])

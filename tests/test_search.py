@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 import skyledger as sky
 from skyledger.operators import order
-from skyledger.operators import search as module
 from skyledger.sources.responses import freshest_response
 
 ITEM = "collection string, id string, geometry string, bbox struct<minx:double,miny:double,maxx:double,maxy:double>, datetime string, start_datetime string, end_datetime string"
@@ -112,11 +111,17 @@ def test_search_against_brute_force(spark, placed):
         assert {r["id"] for r in sky.search(items, **s).collect()} == expected(placed, s), s
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_search_batch_against_brute_force(spark, placed, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(module, "SEARCHES_TO_BROADCAST", 0)
-        monkeypatch.setattr(module, "ITEMS_PER_SALT", 3)
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_search_batch_against_brute_force(spark, placed, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        check_batch(spark, placed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def check_batch(spark, placed):
     rows = [(n, s.get("collections"), s.get("ids"), s.get("datetime"), [float(v) for v in s["bbox"]] if "bbox" in s else None, s.get("intersects")) for n, s in enumerate(SEARCHES)]
     searches = spark.createDataFrame(rows, "search_id int, collections array<string>, ids array<string>, datetime string, bbox array<double>, intersects string")
     got = [(r["search_id"], r["id"]) for r in sky.search_batch(make_items(spark, placed), searches).select("search_id", "id").collect()]
@@ -125,8 +130,37 @@ def test_search_batch_against_brute_force(spark, placed, monkeypatch, broadcast)
         assert {i for k, i in got if k == n} == expected(placed, s), s
 
 
+BATCH = "search_id int, collections array<string>, ids array<string>, datetime string, intersects string, max_items int"
+
+
+@pytest.mark.parametrize(("datetime", "wkt", "message"), [
+    ("yesterday", None, "search 7: datetime"), ("a/b/c", None, "search 7: datetime"), ("2024-02-31/2024-03-03", None, "search 7: datetime"), ("..", None, "search 7: datetime"),
+    (None, "POINT (1)", "search 7: not a WKT geometry"),
+])
+def test_batch_raises_for_what_cannot_be_read(spark, placed, datetime, wkt, message):
+    searches = spark.createDataFrame([(1, ["a"], None, None, None, None), (7, None, None, datetime, wkt, None)], BATCH)
+    with pytest.raises(Exception, match=message):
+        sky.search_batch(make_items(spark, placed), searches).collect()
+
+
+def test_batch_pages_and_ways(spark, placed):
+    items = make_items(spark, placed)
+    searches = spark.createDataFrame([(1, ["a"], None, None, None, 7), (2, None, ["i3", "i3", "nowhere"], "", None, 1), (3, None, None, None, None, 5), (4, ["b"], None, None, None, -1)], BATCH)
+    got = [(r["search_id"], r["id"], r["page_no"]) for r in sky.search_batch(items, searches).collect()]
+    for n, s, size in ((1, {"collections": ["a"]}, 7), (2, {"ids": ["i3", "nowhere"]}, 1), (3, {}, None), (4, {"collections": ["b"]}, None)):
+        ids = sorted(expected(placed, s))
+        assert sorted((i, p) for k, i, p in got if k == n) == [(i, k // size if size else None) for k, i in enumerate(ids)]
+    only = sky.search_batch(items, searches.where("search_id = 2").drop("max_items"))
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "_cx" not in plan  # ids are joined on the id
+    assert sky.search_batch(items, searches.limit(0)).collect() == []
+
+
 def test_search_arguments(spark, placed):
     items = make_items(spark, placed)
+    for wrong in ("yesterday", "2024-02-31", "2024-01-01T25:00:00Z", "a/b/c", ".."):
+        with pytest.raises(ValueError, match="datetime"):
+            sky.search(items, datetime=wrong)
     with pytest.raises(ValueError, match="four numbers"):
         sky.search(items, bbox=[1, 2, 3])
     with pytest.raises(ValueError, match="not a WKT geometry"):
@@ -179,7 +213,13 @@ def test_freshest_response_against_a_plain_walk(spark):
     rows += [("a", "GET", {}, None, "", 500, start, "failed"), ("a", "PUT", {}, None, "", 200, start, "put")]
     df = spark.createDataFrame(rows, RESPONSE)
     assert {r["body"] for r in freshest_response(df).collect()} == kept | {"put"}
-    assert freshest_response(df, 0).count() == len(rows)
+    assert freshest_response(df, 0).count() == len(rows) - 1  # a failed response is none
+
+
+def test_different_requests_have_different_keys(spark):
+    at = dt.datetime(2024, 1, 1)
+    rows = [("u", "POST", {"b": "2"}, None, "x\na:1", 200, at, "1"), ("u", "POST", {"a": "1", "b": "2"}, None, "x", 200, at + dt.timedelta(seconds=1), "2"), ("u", "post", {"b": "2", "a": "1"}, "", "x", 200, at + dt.timedelta(seconds=2), "3")]
+    assert sorted(r["body"] for r in freshest_response(spark.createDataFrame(rows, RESPONSE)).collect()) == ["1", "2"]
 
 
 def test_response_documents(spark):
