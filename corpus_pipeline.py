@@ -13,6 +13,7 @@ from skyledger.llm.jaccard import deduplicate
 from skyledger.llm.language import UNKNOWN, identify, learn_profiles
 from skyledger.llm.mixing import mix
 from skyledger.llm.token_files import read_token_files, token_digests, write_token_files
+from skyledger.llm.workers import with_package
 from skyledger.workspace import Workspace
 
 #: a text that is less like every language than this is in none of them
@@ -53,11 +54,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
-    ("language", keep_languages),
-    ("copies", drop_copies),
-    ("benchmarks", drop_benchmarks),
-    ("mix", mix_sources),
-    ("tokens", write_tokens),
+    ("language", with_package(keep_languages)),
+    ("copies", with_package(drop_copies)),
+    ("benchmarks", with_package(drop_benchmarks)),
+    ("mix", with_package(mix_sources)),
+    ("tokens", with_package(write_tokens)),
 ]
 
 

@@ -16,6 +16,7 @@ from skyledger.llm.suffix_tree import op4_suffix_tree
 from skyledger.llm.surrogates import op1_surrogates
 from skyledger.llm.syncmers import op2_syncmers
 from skyledger.llm.token_files import op9_token_files
+from skyledger.llm.workers import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
@@ -29,4 +30,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
 }
+QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
 ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
