@@ -13,7 +13,6 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

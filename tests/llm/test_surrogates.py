@@ -17,7 +17,7 @@ MAKER = S.Maker(b"a key")
     ("+44 20 7946 0958", [("phone", "442079460958")]),
     ("9807915762804490 4111 1111 1111 1111 x9807915762804490 123456789012", [("card", "9807915762804490"), ("card", "4111111111111111")]),
     ("078-05-1120", [("ssn", "078051120")]),
-    ("GB82 WEST 1234 5698 7654 32 and GB83 WEST 1234 5698 7654 32", [("iban", "GB82WEST12345698765432")]),
+    ("GB82 WEST 1234 5698 7654 32 and GB83 WEST 1234 5698 7654 32", [("iban", "GB82WEST12345698765432"), ("card", "12345698765432")]),
     ("Mr. John Smith and Frau Weber. Smith came; the smith did not.", [("given:latin:m", "john"), ("family:latin", "smith"), ("family:latin", "weber"), ("family:latin", "smith")]),
     ("Мария Иванова и г-н Иванов", [("given:cyrillic:f", "мария"), ("family:cyrillic", "иванов"), ("family:cyrillic", "иванов")]),
     ("Version 2.0. of the Apache License in 2019, the token 04dbebab91ab85687d33eeaaf9ac699e1188f962", []),
@@ -52,7 +52,7 @@ def spread(text):
 
 def test_distinct_and_same_everywhere(spark):
     rows = [(i, f"from a{i % 40}@b.example.com to 10.0.0.{i % 90 + 1}, Mr. Name{chr(97 + i % 26)}{chr(97 + i % 23)} called") for i in range(300)]  # few surrogates to choose from
-    rows += [(1000 + i, f"Herr {chr(65 + i % 26)}{'xyz'[i % 3]}berg") for i in range(78)] + [(None, None), (5, ""), (6, "nothing to see"), (6, "nothing to see"), (7, "x " * 50000 + "a3@b.example.com")]
+    rows += [(1000 + i, f"Herr {chr(65 + i % 26)}{'xyz'[i % 3]}berg") for i in range(78)] + [(None, None), (2005, ""), (2006, "nothing to see"), (2006, "nothing to see"), (2007, "x " * 50000 + "a3@b.example.com")]
     docs = spark.createDataFrame([(i, t, "k", "e", "n") for i, t in rows], SCHEMA).repartition(6)
     got = S.surrogate(docs, b"key").collect()
     again = S.surrogate(docs.repartition(2), b"key").collect()
@@ -77,7 +77,7 @@ def test_distinct_and_same_everywhere(spark):
     assert len(by_kind["family:latin"]) > 100 and all(len(v) == len(set(v)) for v in by_kind.values())
 
 
-def test_every_entity_passes_the_test_of_texts(spark):
+def test_names_of_all_scripts_alone(spark):
     texts = ["Mr. Smith", "Mme Dubois", "г-н Иванов", "Μαρία Παππάς", "a@b.co", "10.0.0.1"]
     rows = S.surrogate(spark.createDataFrame([(t,) for t in texts], "text string"), b"key").collect()
     assert all(r["n_entities"] == len(S.find(t)) > 0 for r, t in zip(rows, texts))
