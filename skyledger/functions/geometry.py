@@ -440,9 +440,30 @@ def _inside(polygons: Column, v: Column) -> Column:
     return F.exists(polygons, lambda p: F.size(F.filter(p, crosses)) % 2 == 1)
 
 
+def _near(segments: Column, others: Column) -> Column:
+    """The segments whose box meets the extent of the others: one pass over each side."""
+
+    def bound(pick, either, one, two):
+        return pick(F.transform(others, lambda s: either(s[one], s[two])))
+
+    extent = F.struct(
+        bound(F.array_min, F.least, "x1", "x2").alias("minx"), bound(F.array_min, F.least, "y1", "y2").alias("miny"),
+        bound(F.array_max, F.greatest, "x1", "x2").alias("maxx"), bound(F.array_max, F.greatest, "y1", "y2").alias("maxy"),
+    )
+
+    def within(e):
+        return F.filter(segments, lambda s: (
+            (F.least(s["x1"], s["x2"]) <= e["maxx"]) & (F.greatest(s["x1"], s["x2"]) >= e["minx"])
+            & (F.least(s["y1"], s["y2"]) <= e["maxy"]) & (F.greatest(s["y1"], s["y2"]) >= e["miny"])
+        ))
+
+    return let(extent, within)
+
+
 def geom_intersects(a: Column, b: Column) -> Column:
-    """True when two shapes share a point, boundaries included."""
-    met = F.exists(a["segments"], lambda p: F.exists(b["segments"], lambda q: _segments_meet(p, q)))
+    """True when two shapes share a point, boundaries included. Only segments near the other shape are tested against each other."""
+    near = F.struct(_near(a["segments"], b["segments"]).alias("p"), _near(b["segments"], a["segments"]).alias("q"))
+    met = let(near, lambda n: F.exists(n["p"], lambda p: F.exists(n["q"], lambda q: _segments_meet(p, q))))
     a_in_b = F.exists(a["vertices"], lambda v: _inside(b["polygons"], v))
     b_in_a = F.exists(b["vertices"], lambda v: _inside(a["polygons"], v))
     return met | a_in_b | b_in_a
@@ -456,13 +477,8 @@ def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float
         raise ValueError(f"not a WKT geometry: {row['wkt']}")
     shape = json.loads(row["s"])
 
-    def segment(s):
-        return f"struct({s['x1']!r}D,{s['y1']!r}D,{s['x2']!r}D,{s['y2']!r}D)"
-
-    segments = ",".join(segment(s) for s in shape["segments"])
-    vertices = ",".join(f"struct({v['x']!r}D,{v['y']!r}D)" for v in shape["vertices"])
-    polygons = ",".join("array(" + ",".join(segment(s) for s in p) + ")" for p in shape["polygons"])
-    literal = F.expr(f"cast(struct(array({segments}),array({vertices}),array({polygons})) as {SHAPE})")
+    # one text in the plan, which Spark folds to a value, however many vertices there are
+    literal = F.from_json(F.lit(row["s"]), SHAPE)
     xs = [x for s in shape["segments"] for x in (s["x1"], s["x2"])]
     ys = [y for s in shape["segments"] for y in (s["y1"], s["y2"])]
     return literal, ((min(xs), min(ys), max(xs), max(ys)) if xs else None)

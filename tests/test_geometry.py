@@ -170,3 +170,18 @@ def test_bbox_overlap_across_the_antimeridian(spark):
     box = "struct<minx:double,miny:double,maxx:double,maxy:double>"
     df = spark.createDataFrame(pairs, f"a {box}, b {box}, expected boolean")
     assert df.where(geo.bbox_overlaps(F.col("a"), F.col("b")) != F.col("expected")).collect() == []
+
+
+def test_a_long_coastline_plans_at_once(spark):
+    import math
+    import time
+
+    ring = [(round(40 * math.cos(k / 25000 * math.tau), 6), round(40 * math.sin(k / 25000 * math.tau), 6)) for k in range(25000)]
+    wkt = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + "))"
+    boxes = spark.createDataFrame([("in", "POINT (1 1)"), ("out", "POINT (50 0)"), ("edge", "LINESTRING (39 0, 41 0)")], "id string, wkt string")
+    began = time.time()
+    shape, _ = geo.shape_literal(spark, F.lit(wkt))
+    found = boxes.where(geo.geom_intersects(geo.shape_of_wkt(F.col("wkt")), shape))
+    found._jdf.queryExecution().executedPlan()
+    assert time.time() - began < 20
+    assert sorted(r["id"] for r in found.collect()) == ["edge", "in"]
