@@ -8,7 +8,7 @@ Words are runs without blanks, in lower case. Characters of scripts that are wri
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.columns import once
@@ -85,29 +85,29 @@ def match_anchors(a: Column, b: Column) -> Column:
 def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last quarter is the beginning of the next document.
 
-    Ids are put in order in a narrow table. Texts are shuffled once, with their marks, by id; the beginning and the marks of the next document once more.
+    Ids are put in order in a narrow table. Texts are shuffled once, by id, and used from there twice: a document meets the document before it in the order, to which
+    its beginning and its marks are sent, and then what the next one has sent. Marks are worked out on both sides, as that costs less than to shuffle them with the texts.
     Rows that share an id are in the order of a hash of their text, equal rows are one document, and a null id comes first.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64("text", F.col("doc_id").isNull()))
-    keys = docs.select("id", "tie", F.length("text").cast("bigint").alias("n_chars")).dropDuplicates(["id", "tie"])
+    keys = docs.select("id", "tie", "doc_id", F.length("text").cast("bigint").alias("n_chars")).dropDuplicates(["id", "tie"])
     ordered, seen = Workspace(spark).materialize(number_rows(keys, ["id", "tie"]), "ordered")
     after = (F.col("row_no") + 1) % F.lit(max(1, seen["n_rows"]))
-    quarter = F.floor(F.col("n_chars") / 4)
-    here = ordered.select(F.col("id").alias("to_id"), F.col("tie").alias("to_tie"), quarter.alias("taken"), after.alias("row_no"))
-    turns = here.join(ordered.drop("n_chars"), "row_no").drop("row_no")
-
-    marked = with_anchors(docs, F.col("text"), "anchors")
-    marked = once(marked, marks(F.col("anchors")), "marks").drop("anchors")
-    one = F.row_number().over(Window.partitionBy("id", "tie").orderBy("id", "tie"))
-    nexts = marked.withColumn("_copy", one).where("_copy = 1").join(turns, ["id", "tie"]).select(
-        F.col("to_id").alias("id"), F.col("to_tie").alias("tie"), F.expr("substring(text, 1, cast(taken AS int))").alias("beginning"), F.col("marks").alias("next_marks")
-    )
-    both = marked.join(nexts, ["id", "tie"])
+    here = ordered.select(F.col("id").alias("to_id"), F.col("tie").alias("to_tie"), "doc_id", F.floor(F.col("n_chars") / 4).alias("taken"), after.alias("row_no"))
+    turns = here.join(ordered.drop("n_chars", "doc_id"), "row_no").drop("row_no")
+
+    texts = docs.select("id", "tie", "text")
+    sent = texts.join(turns, ["id", "tie"])
+    sent = once(with_anchors(sent, F.col("text"), "anchors"), marks(F.col("anchors")), "next_marks").drop("anchors")
+    sent = sent.select(F.col("to_id").alias("id"), F.col("to_tie").alias("tie"), "doc_id", F.expr("substring(text, 1, cast(taken AS int))").alias("beginning"), "next_marks")
+    # equal rows send the same
+    sent = sent.groupBy("id", "tie").agg(*[F.first(c).alias(c) for c in ("doc_id", "beginning", "next_marks")])
+    both = texts.join(sent, ["id", "tie"])
+    both = once(with_anchors(both, F.col("text"), "anchors"), marks(F.col("anchors")), "marks").drop("anchors")
     kept = F.expr("substring(text, 1, cast(length(text) - floor(length(text) / 4) AS int))")
     both = once(both, F.concat(kept, "beginning"), "edited")
-    both = with_anchors(both, F.col("edited"), "anchors")
-    both = once(both, marks(F.col("anchors")), "edited_marks")
+    both = once(with_anchors(both, F.col("edited"), "anchors"), marks(F.col("anchors")), "edited_marks")
     return both.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("marks")).alias("fingerprint"),
         fingerprint(F.col("edited_marks")).alias("edited_fingerprint"), likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"), likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
