@@ -5,8 +5,8 @@ few of each, so only those are joined. With some more of them a pair must share
 Length, positional and suffix filters drop pairs, and each pair left is verified once on whole sets.
 
 * Documents with equal sets are one class; the join works on classes.
-* Rarity is estimated over all documents in a count table of fixed size (COUNTERS cells that n-grams share), then by hash. The order decides how
-  many candidates there are, never which links are found.
+* The order is used twice. First, rarity is estimated over all documents in a count table of fixed size (COUNTERS cells that n-grams share); that finds the classes
+  that can have a partner at all. Then rarity is counted exactly among those. So n-grams that no other class has come first, and say how much a class can share at most.
 * A class identity and an n-gram are 64-bit hashes.
 """
 
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.columns import let
 from skyledger.llm.components import connected_components
 from skyledger.llm.words import grams, hashed_words, key_filter, mix, passes, signed, slices
 from skyledger.workspace import Workspace
@@ -30,7 +31,7 @@ COUNTERS = 1 << 22
 #: cells of it that travel as one row
 BLOCK = 1 << 14
 #: one n-gram more in the prefixes, and in common, for each so many of a set
-SPARE = 32
+SPARE = 16
 #: ranges of the n-gram space that the suffix filter compares
 RANGES = 16
 #: classes a task remembers to have sent
@@ -138,35 +139,32 @@ class Join:
                 for part in slices(batch):
                     out = []
                     for own in sets_of(part.column(1), n):
-                        if not len(own):
-                            continue
-                        cls = int(class_of(own).view(np.int64))
-                        if cls in known:  # equal sets of one task; others are dropped after the shuffle
+                        cls = int(class_of(own).view(np.int64)) if len(own) else None
+                        if cls is None or cls in known:  # equal sets of one task; others are dropped after the shuffle
                             continue
                         known.add(cls)
                         if len(known) > REMEMBERED:
                             known.clear()
                         rare = np.lexsort((own, counts.value[(own >> np.uint64(64 - _CELL_BITS)).astype(np.int64)]))
                         first = own[rare[: prefix_size(len(own), threshold)]]
-                        m = len(first)
-                        out.append((signed(first), np.full(m, cls), np.full(m, len(own), np.int32), np.arange(m, dtype=np.int32)))
+                        out.append((signed(first), np.full(len(first), cls), np.full(len(first), len(own), np.int32)))
                     if out:
-                        yield _rows(out, ["gram", "cls", "size", "place"])
+                        yield _rows(out, ["gram", "cls", "size"])
 
         self.docs, _ = self.work.materialize(self.texts.mapInArrow(classes, "doc_id bigint, text_hash bigint, cls bigint, size bigint"), "classes")
-        prefix = self.texts.mapInArrow(prefixes, "gram bigint, cls bigint, size int, place int").repartition("gram")
-        prefix = prefix.groupBy("gram", "cls").agg(F.first("size").alias("size"), F.first("place").alias("place"))
-        by_gram = Window.partitionBy("gram").orderBy("size", "cls")
-        chain = [F.lag(c).over(by_gram).alias(f"{c}_before") for c in ("cls", "size")]
-        pivot = F.first(F.struct("cls", "size")).over(by_gram.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("pivot")
-        after = F.lead("cls").over(by_gram).alias("_after")
-        shared = prefix.select("*", pivot, *chain, after).where("cls_before IS NOT NULL OR _after IS NOT NULL").drop("_after")
-        self.shared, _ = self.work.materialize(shared, "shared")
-
-    def _sets_of(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(cls, grams, ranges) of the classes in pairs, from one more pass over the texts that passes over all others."""
+        prefix = self.texts.mapInArrow(prefixes, "gram bigint, cls bigint, size int").repartition("gram").groupBy("gram", "cls").agg(F.first("size").alias("size"))
+        by_class = Window.partitionBy("gram").orderBy("cls")
+        shared = prefix.select("cls", "size", F.lag("cls").over(by_class).alias("_one"), F.lead("cls").over(by_class).alias("_two")).where("_one IS NOT NULL OR _two IS NOT NULL")
+        p, q = threshold.numerator, threshold.denominator
+        able = shared.groupBy("cls", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= self._common(F.ceil(F.col("size") * F.lit(p) / F.lit(q))))
+        able, _ = self.work.materialize(able.select("cls", F.col("size").cast("bigint").alias("size")), "able")
+        self.sets = self._sets_of(able)
+        self.shared = self._exact_prefixes()
+
+    def _sets_of(self, able: DataFrame) -> DataFrame:
+        """(cls, size, grams, ranges) of these classes, from one more pass over the texts that passes over all others."""
         n = self.n
-        bits = self.spark.sparkContext.broadcast(key_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls"))
+        bits = self.spark.sparkContext.broadcast(key_filter(able, "cls"))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: set[int] = set()
@@ -176,18 +174,38 @@ class Join:
                     if not found:
                         continue
                     kept = passes(bits.value, np.array([c for c, _ in found], np.int64))
-                    found = [x for x, keep in zip(found, kept) if keep and x[0] not in known]
-                    known.update(c for c, _ in found)
+                    own = {c: s for (c, s), keep in zip(found, kept) if keep and c not in known}
+                    known.update(own)
                     if len(known) > REMEMBERED:
                         known.clear()
-                    ranges = [np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for _, s in found]
+                    ranges = [np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in own.values()]
                     yield pa.RecordBatch.from_pydict({
-                        "cls": pa.array([c for c, _ in found], pa.int64()), "grams": pa.array([signed(s) for _, s in found], pa.list_(pa.int64())),
-                        "ranges": pa.array(ranges, pa.list_(pa.int64())),
+                        "cls": pa.array(list(own), pa.int64()), "grams": pa.array([signed(s) for s in own.values()], pa.list_(pa.int64())), "ranges": pa.array(ranges, pa.list_(pa.int64())),
                     })
 
-        several = self.texts.mapInArrow(sets, "cls bigint, grams array<bigint>, ranges array<bigint>").dropDuplicates(["cls"])
-        return self.work.materialize(several, name)[0]
+        several = self.texts.mapInArrow(sets, "cls bigint, grams array<bigint>, ranges array<bigint>").join(able, "cls").dropDuplicates(["cls"])
+        return self.work.materialize(several.select("cls", "size", "grams", "ranges"), "sets")[0]
+
+    def _exact_prefixes(self) -> DataFrame:
+        """(gram, cls, size, able, place) of the prefixes by exact rarity, where another class has the n-gram in its prefix too, with the first class of the n-gram and the one before.
+
+        ``place`` is the n-gram's place in its set, where those that no other class has come first; ``able`` is how many n-grams others have at all. A class that is not
+        able to share as many as its smallest partner would need has no partner. The first class of an n-gram is that with the least place: the one with the fewest rarer n-grams.
+        """
+        p, q = self.threshold.numerator, self.threshold.denominator
+        rows = self.sets.select("cls", "size", F.explode("grams").alias("gram"))
+        often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        mine = Window.partitionBy("cls")
+        rank = F.row_number().over(mine.orderBy("n", "gram"))
+        placed = rows.join(often, "gram").select("gram", "cls", "size", F.count(F.lit(1)).over(mine).alias("able"), rank.alias("_rank"))
+        placed = placed.withColumn("place", F.col("size") - F.col("able") + F.col("_rank") - 1).drop("_rank")
+        least = F.ceil(F.col("size") * F.lit(p) / F.lit(q))
+        placed = placed.where((F.col("able") >= least) & (F.col("place") < F.col("size") - least + self._common(F.col("size"))))
+        by_place = Window.partitionBy("gram").orderBy("place", "size", "cls")
+        before = [F.lag(c).over(by_place).alias(f"{c}_before") for c in ("cls", "size", "able")]
+        pivot = F.first(F.struct("cls", "size", "able")).over(by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("pivot")
+        shared = placed.select("*", pivot, *before, F.lead("cls").over(by_place).alias("_after")).where("cls_before IS NOT NULL OR _after IS NOT NULL").drop("_after")
+        return self.work.materialize(shared, "shared")[0]
 
     def _may_be_alike(self, a: str, b: str):
         """Length filter."""
@@ -199,12 +217,15 @@ class Join:
         p, q = self.threshold.numerator, self.threshold.denominator
         return overlap * q >= (F.col(a) + F.col(b) - overlap) * p
 
+    def _able(self, a: str, b: str, able_a: str, able_b: str):
+        """Whether sets of sizes ``a`` and ``b`` are able to share enough."""
+        p, q = self.threshold.numerator, self.threshold.denominator
+        return F.least(able_a, able_b) * (p + q) >= (F.col(a) + F.col(b)) * p
+
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of the pairs (a, b, size_a, size_b), those that are links, with their overlap. Whole sets; the suffix filter first."""
-        pairs, _ = self.work.materialize(pairs, f"{name}-pairs")
-        sets = self._sets_of(pairs, f"{name}-sets")
-        left = sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a"), F.col("ranges").alias("ranges_a"))
-        right = sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b"), F.col("ranges").alias("ranges_b"))
+        left = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a"), F.col("ranges").alias("ranges_a"))
+        right = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b"), F.col("ranges").alias("ranges_b"))
         both = pairs.join(left, "a").join(right, "b")
         least = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda s, x: s + x)
         both = both.where(self._enough(least, "size_a", "size_b"))
@@ -223,54 +244,69 @@ class Join:
         Those that meet as often as two alike sets must are likely links. This need not find all, the rest comes after.
         """
         rows = []
-        for other in ({c: F.col(f"pivot.{c}") for c in ("cls", "size")}, {c: F.col(f"{c}_before") for c in ("cls", "size")}):
-            one = self.shared.select(other["cls"].alias("x"), other["size"].alias("size_x"), F.col("cls").alias("y"), F.col("size").alias("size_y"))
-            rows.append(one.where("x IS NOT NULL AND x != y"))
-        pairs = rows[0].unionByName(rows[1]).where(self._may_be_alike("size_x", "size_y"))
-        first = F.col("x") < F.col("y")
+        for other in ({c: F.col(f"pivot.{c}") for c in ("cls", "size", "able")}, {c: F.col(f"{c}_before") for c in ("cls", "size", "able")}):
+            x, y = [other[c].alias(f"{c}_x") for c in other], [F.col(c).alias(f"{c}_y") for c in other]
+            rows.append(self.shared.select(*x, *y).where("cls_x IS NOT NULL AND cls_x != cls_y"))
+        pairs = rows[0].unionByName(rows[1]).where(self._may_be_alike("size_x", "size_y") & self._able("size_x", "size_y", "able_x", "able_y"))
+        first = F.col("cls_x") < F.col("cls_y")
         pairs = pairs.select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
+            F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"), F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
             F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
         )
         met = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"))
         return met.where(F.col("n") >= self._common(F.least("size_a", "size_b"))).drop("n")
 
     def candidates(self, labels: DataFrame | None = None) -> DataFrame:
-        """Pairs of classes that share an n-gram of both prefixes and pass the length and positional filters, each once.
+        """Pairs of classes that share enough n-grams of both prefixes and pass the length and positional filters, each once.
 
         ``labels`` (cls, label) leaves out pairs of one label: groups of classes of one label are paired with groups of another, then their members.
         """
-        rows = self.shared.select("gram", "cls", "size", "place")
+        rows = self.shared.select("gram", "cls", "size", "able", "place")
         if labels is None:
             rows = rows.withColumn("label", F.col("cls"))
         else:
             rows = rows.join(labels.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("label", F.coalesce("root", "cls")).drop("root")
         mixed = rows.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("gram")
         rows, _ = self.work.materialize(rows.join(mixed, "gram", "left_semi"), "mixed")
-        groups = rows.groupBy("gram", "label").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+        groups = rows.groupBy("gram", "label").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("able").alias("able"))
         p, q = self.threshold.numerator, self.threshold.denominator
-        one = groups.select("gram", F.col("label").alias("la"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-        two = groups.select("gram", F.col("label").alias("lb"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        meet = one.join(two, "gram").where((F.col("la") < F.col("lb")) & (F.col("high_a") * q >= F.col("low_b") * p) & (F.col("high_b") * q >= F.col("low_a") * p))
-        meet, _ = self.work.materialize(meet.select("gram", "la", "lb", F.least("low_a", "low_b").alias("low")), "meet")
+        one, two = (groups.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "low", "high", "able")]) for side in "ab")
+        meet = one.join(two, "gram").where(
+            (F.col("label_a") < F.col("label_b")) & (F.col("high_a") * q >= F.col("low_b") * p) & (F.col("high_b") * q >= F.col("low_a") * p) & self._able("low_a", "low_b", "able_a", "able_b")
+        )
+        meet, _ = self.work.materialize(meet, "meet")
         # two groups that share too few n-grams have no alike members
-        often = meet.groupBy("la", "lb").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("low")).where(F.col("n") >= self._common(F.col("low"))).select("la", "lb")
-        meet = meet.select("gram", "la", "lb").join(often, ["la", "lb"], "left_semi")
-        left = rows.select("gram", F.col("label").alias("la"), F.col("cls").alias("x"), F.col("size").alias("size_x"), F.col("place").alias("place_x"))
-        right = rows.select("gram", F.col("label").alias("lb"), F.col("cls").alias("y"), F.col("size").alias("size_y"), F.col("place").alias("place_y"))
-        pairs = meet.join(left, ["gram", "la"]).join(right, ["gram", "lb"]).where(self._may_be_alike("size_x", "size_y"))
-        first = F.col("x") < F.col("y")
-        pairs = pairs.select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-            *[F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_a") for c in ("size", "place")],
-            *[F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_b") for c in ("size", "place")],
+        often = meet.groupBy("label_a", "label_b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("low_a", "low_b")).alias("low")).where(F.col("n") >= self._common(F.col("low")))
+        members = rows.groupBy("label", "cls", "size", "able").agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("prefix"))
+        members, _ = self.work.materialize(members.select("label", "cls", "size", "able", "prefix.place", "prefix.gram"), "prefixes")
+        held = members.groupBy("label").agg(F.count(F.lit(1)).alias("held"))
+        sides = often.join(held.withColumnsRenamed({"label": "label_a", "held": "held_a"}), "label_a").join(held.withColumnsRenamed({"label": "label_b", "held": "held_b"}), "label_b")
+        fewer = F.col("held_a") <= F.col("held_b")
+        sides = sides.select(F.when(fewer, F.col("label_a")).otherwise(F.col("label_b")).alias("label_x"), F.when(fewer, F.col("label_b")).otherwise(F.col("label_a")).alias("label_y"))
+        # the members of the smaller group meet those of the larger one; the join itself applies all filters
+        x, y = (members.select(*[F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "xy")
+        pairs = sides.join(x, "label_x").join(y, "label_y").where(self._may_be_alike("size_x", "size_y") & self._able("size_x", "size_y", "able_x", "able_y") & self._prefixes_meet())
+        first = F.col("cls_x") < F.col("cls_y")
+        return pairs.select(
+            F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"), F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
+            F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
         )
-        met = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("n"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
-        # all that is shared up to the last shared n-gram of the prefixes has been counted; beyond it, no more than either has left
-        most = F.col("n") + F.least(F.col("size_a") - F.col("last_a") - 1, F.col("size_b") - F.col("last_b") - 1)
-        met = met.where(F.col("n") >= self._common(F.least("size_a", "size_b")))
-        return met.where(self._enough(most, "size_a", "size_b")).select("a", "b", "size_a", "size_b")
 
+    def _prefixes_meet(self) -> Column:
+        """Whether the prefixes of x and y share enough, and leave enough after what they share: the positional filter.
+
+        All that is shared up to the last shared n-gram of the prefixes is counted; beyond it, no more than either has left.
+        """
+
+        def enough(both):
+            def left(side):
+                place = F.get(F.col(f"place_{side}"), (F.array_position(F.col(f"gram_{side}"), F.element_at(both, -1)) - 1).cast("int"))
+                return F.col(f"size_{side}") - place - 1
+
+            n = F.size(both)
+            return F.when(n >= self._common(F.least("size_x", "size_y")), self._enough(n + F.least(left("x"), left("y")), "size_x", "size_y")).otherwise(False)
+
+        return let(F.array_intersect("gram_x", "gram_y"), enough)
 
     def roots(self) -> DataFrame:
         """(cls, root) of every class: the class itself or the one that stands for all it is linked with.
