@@ -14,12 +14,13 @@ import hmac
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.words import slices
 from skyledger.workspace import Workspace
 
 # Common given and family names by script and gender, titles with their gender, alphabets, address ranges for private use.
@@ -50,8 +51,24 @@ PATTERNS = {
 }
 _TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[ \t]+({_UPPER}{_WORD}(?:[ \t]+{_UPPER}{_WORD}){{0,2}})")
 _NAMED = re.compile(rf"(?<!\w)({'|'.join(n for names in GIVEN.values() for n in names)})[ \t]+({_UPPER}{_WORD})")
-#: a text without these has no entity; the same condition for Spark and for Python
-ANY = r"[0-9@]|(?<![\p{L}\p{N}_])(?:" + "|".join([*TITLES, *[n for names in GIVEN.values() for n in names]]) + r")(?![\p{L}\p{N}_])"
+
+
+@cache
+def _cues() -> ahocorasick.Automaton:
+    """Finds titles and given names, without which a text has no name."""
+    automaton = ahocorasick.Automaton()
+    for cue in [*TITLES, *[n for names in GIVEN.values() for n in names]]:
+        automaton.add_word(cue, len(cue))
+    automaton.make_automaton()
+    return automaton
+
+
+def _may_have_names(text: str) -> bool:
+    for last, size in _cues().iter(text):
+        before, after = text[last - size : last - size + 1] if last >= size else "", text[last + 1 : last + 2]
+        if not before.isalnum() and not after.isalnum():
+            return True
+    return False
 
 
 def _luhn(digits: str) -> int:
@@ -99,6 +116,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             own = [x for x in own if _free(taken, x[0], x[1])]
         found += own
         taken = sorted(taken + [x[:2] for x in own])
+    if not _may_have_names(text):
+        return sorted(found)
     names = []
     for m in _TITLED.finditer(text):
         words = [(m.start(2) + w.start(), m.start(2) + w.end(), w[0]) for w in re.finditer(r"\S+", m[2])]
@@ -264,7 +283,6 @@ def surrogate(docs: DataFrame, key: bytes, text_column: str = "text", into: str
     """
     work, maker = Workspace(docs.sparkSession), Maker(key)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != into]).alias("_doc"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    rows = rows.withColumn("_some", F.coalesce(F.rlike("text", F.lit(ANY)), F.lit(False)))
 
     def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,7 +291,7 @@ def surrogate(docs: DataFrame, key: bytes, text_column: str = "text", into: str
                 r, k, e = zip(*out[at : at + 100_000])
                 yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(k, pa.string()), pa.array(e, pa.string())], ["_row", "kind", "entity"])
 
-    keyed = rows.where("_some").select("text", F.xxhash64("text").alias("_row"))
+    keyed = rows.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("_row"))
     found, _ = work.materialize(keyed.mapInArrow(mentions, "_row bigint, kind string, entity string"), "mentions")
     entities, _ = work.materialize(found.select("kind", "entity").distinct(), "entities")
     # the few entities that had to try again, for the texts that mention them
@@ -285,13 +303,11 @@ def surrogate(docs: DataFrame, key: bytes, text_column: str = "text", into: str
         import pandas as pd
 
         known = ({} if a is None else {(x["kind"], x["entity"]): x["attempt"] for x in a} for a in attempts)
-        return pd.DataFrame([maker.replace(t, k) for t, k in zip(texts, known)], columns=["text", "n"])
+        return pd.DataFrame([(None, 0) if t is None else maker.replace(t, k) for t, k in zip(texts, known)], columns=["text", "n"])
 
-    some = rows.where("_some").withColumn("_row", F.xxhash64("text")).join(again, "_row", "left")
-    some = some.select("_doc", replaced("text", "_again").alias("_new"))
-    none = rows.where("NOT _some").select("_doc", F.struct(F.col("text"), F.lit(0).cast("bigint").alias("n")).alias("_new"))
+    new = rows.withColumn("_row", F.xxhash64("text")).join(again, "_row", "left").select("_doc", replaced("text", "_again").alias("_new"))
     columns = [F.col("_new.text").alias(c) if c == text_column else F.col(f"_doc.`{c}`") for c in docs.columns if c != into]
-    return some.unionByName(none).select(*columns, F.col("_new.n").alias(into))
+    return new.select(*columns, F.col("_new.n").alias(into))
 
 
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
