@@ -158,6 +158,7 @@ class Join:
         p, q = threshold.numerator, threshold.denominator
         able = shared.groupBy("cls", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= self._common(F.ceil(F.col("size") * F.lit(p) / F.lit(q))))
         able, _ = self.work.materialize(able.select("cls", F.col("size").cast("bigint").alias("size")), "able")
+        counts.unpersist()
         self.sets = self._sets_of(able)
         self.shared = self._exact_prefixes()
 
@@ -184,7 +185,9 @@ class Join:
                     })
 
         several = self.texts.mapInArrow(sets, "cls bigint, grams array<bigint>, ranges array<bigint>").join(able, "cls").dropDuplicates(["cls"])
-        return self.work.materialize(several.select("cls", "size", "grams", "ranges"), "sets")[0]
+        written, _ = self.work.materialize(several.select("cls", "size", "grams", "ranges"), "sets")
+        bits.unpersist()
+        return written
 
     def _exact_prefixes(self) -> DataFrame:
         """(gram, cls, size, able, place) of the prefixes by exact rarity, where another class has the n-gram in its prefix too, with the first class of the n-gram and the one before.

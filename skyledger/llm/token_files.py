@@ -30,8 +30,8 @@ from skyledger.workspace import Workspace
 
 #: ids in a frame, 256 KB
 FRAME_IDS = 1 << 16
-#: word pieces whose ids a worker remembers
-REMEMBERED = 400_000
+#: word pieces whose ids a worker remembers, and bytes of text that it encodes at a time
+REMEMBERED, ENCODED = 300_000, 1 << 22
 LEVEL = 3
 
 # Fixed values of the file format.
@@ -66,6 +66,7 @@ class Encoder:
         normal, split = rules["normalizer"] or {}, (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         form = [[x["type"] for x in normal.get("normalizers", [])], split[0].get("pattern", {}).get("Regex")]
         self.wordwise, self.known = form == self.WORDWISE, {}
+        self.numbers = list(range(self.tokenizer.get_vocab_size()))  # one object for each id, however many words have it
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -92,7 +93,7 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, parts, new = self.known, [], {}
-        known[""] = []
+        known[""] = ()
         for word in words:
             head = word.rstrip(self.TAIL)
             if head and head[-1].isalnum():
@@ -106,14 +107,14 @@ class Encoder:
                 new[head] = None
             if tail not in known:
                 new[tail] = None
-        model, others = self.tokenizer.model, []
+        model, numbers, others = self.tokenizer.model, self.numbers, []
         for piece in new:
             if piece.isascii() and piece.isalpha():
-                known[piece] = [x.id for x in model.tokenize(piece)]
+                known[piece] = tuple(numbers[x.id] for x in model.tokenize(piece))
             else:
                 others.append(piece)
         for piece, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            known[piece] = found.ids
+            known[piece] = tuple(numbers[i] for i in found.ids)
         ids, sizes = [], np.empty(len(parts), np.int64)
         for k, (head, tail) in enumerate(parts):
             own = known[head] + known[tail] if tail else known[head]
@@ -229,7 +230,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         writer = sink = shard = None
         n_docs = n_ids = 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=ENCODED):
                 if writer is None:
                     shard = part.column(2)[0].as_py()
                     store.create_dir(base)
@@ -245,6 +246,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             writer.close()
             sink.close()
             store.move(own, f"{base}/tokens-{shard:06d}.zst")
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/tokens-{shard:06d}.zst"], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     return Workspace(docs.sparkSession).materialize(ranged.mapInArrow(write, MANIFEST), "manifest")[0]

@@ -38,13 +38,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with at most SLICE bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most ``limit`` bytes of text, or one row."""
     lengths = batch.column(column).cast(pa.large_binary())
     sizes = np.diff(np.frombuffer(lengths.buffers()[1], np.int64)[lengths.offset : lengths.offset + len(lengths) + 1]) if len(lengths) else []
     start = total = 0
     for row, size in enumerate(sizes):
-        if row > start and total + size > SLICE:
+        if row > start and total + size > limit:
             yield batch.slice(start, row - start)
             start, total = row, 0
         total += size
