@@ -2,11 +2,11 @@
 
 A text is its words in lower case (A-Z), parted by one blank and ended by an end mark, symbol by symbol (UTF-8 bytes). The tree holds contexts of up to
 DEPTH symbols. A context stays only if its next-symbol distribution diverges from that of the context one symbol shorter: the code length that it
-saves over all its occurrences must exceed what its parameters cost and LEAST_GAIN of the corpus. Distributions are smoothed into those of the shorter context
+saves over all its occurrences must exceed what its parameters cost, whatever the size of the corpus. Distributions are smoothed into those of the shorter context
 (Witten-Bell), the shortest into the uniform one. The state that predicts a symbol is the longest context of the tree that the history ends with.
 
-Counts cover the whole training corpus and are summed by Spark; tests of contexts are joins and sums. As code lengths saved at one depth add up to no more than the corpus has,
-DEPTH * ln 256 / LEAST_GAIN contexts is the proven bound of the tree that goes to every task, whatever the size of the corpus.
+Counts cover the whole training corpus and are summed by Spark; tests of contexts are joins and sums. The tree is a written table that grows with the corpus. Its most frequent
+contexts, as many as CELLS has room for, go to every task. Where a walk would go on to a context that is in the table only, the symbol and the DEPTH before it meet the table in joins.
 
 The baseline needs the count of every word. The FREQUENT most frequent words go to every task; documents meet the counts of all others in a join.
 """
@@ -26,8 +26,8 @@ from skyledger.workspace import Workspace
 
 #: symbols in the longest context; a context and its next symbol fit one key of eight bytes
 DEPTH = 5
-#: nats for each symbol of the corpus that a context must save
-LEAST_GAIN = 1e-6
+#: contexts times symbols of the part of the tree that goes to every task, 12 bytes each
+CELLS = 1 << 23
 #: share of the logarithm of its count that a context must save for each of its next symbols
 COST = 0.1
 #: words whose counts go to every task, 16 bytes each
@@ -95,6 +95,22 @@ def _before(run: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
     return np.where(place >= k, run[DEPTH - k : len(run) - k], END)
 
 
+def _keys(run: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Each symbol of a run and the DEPTH symbols before it."""
+    key = run[DEPTH:].astype(np.int64)
+    for k in range(1, DEPTH + 1):
+        key |= _before(run, place, k).astype(np.int64) << (8 * k)
+    return key
+
+
+def _times(text: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, key) and how often each comes."""
+    order = np.lexsort((key, text))
+    text, key = text[order], key[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])))
+    return text[first], key[first], np.diff(np.append(first, len(key)))
+
+
 class _Sums:
     """Counts by key, merged now and then."""
 
@@ -125,10 +141,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, n = np.unique(words, return_counts=True)
             sums[0].add(np.append(signed(own), END_WORD), np.append(n, len(part)))
             for run, place, _, _ in runs(part.column(0)):
-                key = run[DEPTH:].astype(np.int64)
-                for k in range(1, DEPTH + 1):
-                    key |= _before(run, place, k).astype(np.int64) << (8 * k)
-                sums[1].add(*np.unique(key, return_counts=True))
+                sums[1].add(*np.unique(_keys(run, place), return_counts=True))
     for kind, own in enumerate(sums):
         if own.parts:
             keys, n = own.merged()
@@ -138,10 +151,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Tree:
-    """The contexts that stay, as tables for walks from the latest symbol back."""
+    """The contexts that stay, or the most frequent of them, as tables for walks from the latest symbol back."""
 
-    def __init__(self, depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, count: np.ndarray):
-        """A row for each next symbol of each context that stays; all that a context ends with are there too."""
+    def __init__(self, depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, count: np.ndarray, beyond: tuple[np.ndarray, np.ndarray] | None = None):
+        """A row for each next symbol of each context; all that a context ends with are there too. ``beyond``: (depth, context) of those that stay, aren't here, and end with one that is."""
         symbols = np.union1d(symbol, [BLANK, END])
         self.index = np.zeros(256, np.int64)  # 0: never seen
         self.index[symbols] = np.arange(1, len(symbols) + 1)
@@ -150,9 +163,9 @@ class Tree:
         by_depth[0] = np.zeros(1, np.int64)
         begins = np.cumsum([0, *[len(c) for c in by_depth]])
         n = self.size = int(begins[-1])
-        # a second copy of each context stands for a walk that has ended there
-        child = np.repeat(np.tile(np.arange(n, 2 * n, dtype=np.int32), 2)[:, None], width, axis=1)
-        chance = np.empty((n, width), np.float32)
+        # a second copy of each context stands for a walk that has ended there, and one more for walks that lead out
+        child = np.repeat(np.append(np.tile(np.arange(n, 2 * n, dtype=np.int32), 2), np.int32(2 * n))[:, None], width, axis=1)
+        chance = np.ones((n + 1, width), np.float32)
         for d, contexts in enumerate(by_depth):
             own = depth == d
             counts = np.zeros((len(contexts), width), np.float32)
@@ -166,11 +179,19 @@ class Tree:
             kinds = np.count_nonzero(counts, axis=1)[:, None]
             total = np.maximum(counts.sum(axis=1, dtype=np.float64)[:, None] + kinds, 1)
             chance[begins[d] : begins[d + 1]] = np.where(kinds > 0, (counts + kinds * shorter) / total, shorter)
-        self.child, self.log = child.ravel(), np.log10(np.concatenate([chance, chance])).ravel()
+        for d in range(1, DEPTH + 1) if beyond else ():
+            contexts = beyond[1][beyond[0] == d]
+            parent = begins[d - 1] + np.searchsorted(by_depth[d - 1], contexts & ((1 << (8 * (d - 1))) - 1))
+            child[parent, self.index[contexts >> (8 * (d - 1))]] = 2 * n
+        self.child, self.log = child.ravel(), np.log10(chance, out=chance).ravel()
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        """log10 of the probability of each text."""
-        out = np.zeros(len(texts))
+        """log10 of the probability of each text, but for the symbols whose walks lead out."""
+        return self.walk(texts)[0]
+
+    def walk(self, texts: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """log10 of the probability of each text but for the symbols whose walks lead out; and of those (text, key, times), the key being the symbol and the DEPTH before it."""
+        out, led = np.zeros(len(texts)), []
         for run, place, begins, which in runs(texts):
             logs = np.empty(len(place), np.float64)
             for at in range(0, len(place), PIECE):
@@ -179,21 +200,31 @@ class Tree:
                 node = np.zeros(upto - at, np.int64)
                 for k in range(1, DEPTH + 1):
                     node = self.child[node * self.width + self.index[_before(own, near, k)]]
+                away = np.flatnonzero(node == 2 * self.size)
+                if len(away):
+                    text = which[np.searchsorted(begins, at + away, side="right") - 1]
+                    led.append(_times(text, _keys(own, near)[away]))
+                node = np.where(node >= self.size, node - self.size, node)
                 logs[at:upto] = self.log[node * self.width + self.index[own[DEPTH:]]]
             out[which] += np.add.reduceat(logs, begins)
-        return out
+        return out, led
 
 
 class Model:
-    """A tree, and the words' counts as a table: ``words`` (key, n) of all training tokens, ``total`` and ``distinct`` of them."""
+    """The tree's part for every task and all of it as a table, ``contexts`` (depth, context, symbol, n, total, kinds), or None where the part is all; and the words' counts as a table: ``words`` (key, n) of all training tokens, ``total`` and ``distinct`` of them."""
 
-    def __init__(self, tree: Tree, words: DataFrame, total: int, distinct: int, frequent: tuple[np.ndarray, np.ndarray], end: int):
-        self.tree, self.words, self.total, self.distinct, self.frequent, self.end = tree, words, total, distinct, frequent, end
+    def __init__(self, tree: Tree, contexts: DataFrame | None, words: DataFrame, total: int, distinct: int, frequent: tuple[np.ndarray, np.ndarray], end: int):
+        self.tree, self.contexts, self.words, self.total, self.distinct, self.frequent, self.end = tree, contexts, words, total, distinct, frequent, end
 
 
-def learn(docs: DataFrame, taught: Column | None = None, text_column: str = "text", least_gain: float = LEAST_GAIN) -> Model:
+#: what a context ends with, one symbol shorter
+_TAIL = "context & (shiftleft(1L, 8 * (depth - 1)) - 1L)"
+
+
+def learn(docs: DataFrame, taught: Column | None = None, text_column: str = "text", least_gain: float = 0.0) -> Model:
     """Learn from all texts of a table, or from those for which ``taught`` is true. A null text is empty: an end and nothing else.
 
+    ``least_gain`` asks for a smaller tree: contexts that save at least so many nats for each symbol of the corpus.
     Without any text the model is uniform. Equal rows count as often as they come.
     """
     work = Workspace(docs.sparkSession)
@@ -215,19 +246,50 @@ def learn(docs: DataFrame, taught: Column | None = None, text_column: str = "tex
     level, _ = work.materialize(level, "contexts")
     sums = level.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     corpus = sums.where("depth = 0").agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
-    # no symbol of a context saves more than the logarithm of the corpus, so a context seen less often cannot save enough
-    sums = sums.where(F.col("total") * np.log(corpus + 1.0) >= least_gain * corpus)
     known, _ = work.materialize(level.join(sums, ["depth", "context"]), "known")
     shorter = known.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("tail"), "symbol", F.col("n").alias("n_shorter"), F.col("total").alias("total_shorter"))
-    tail = F.expr("context & (shiftleft(1L, 8 * (depth - 1)) - 1L)")
     saved = F.col("n") * F.log(F.col("n") * F.col("total_shorter") / (F.col("total") * F.col("n_shorter")))
-    gains = known.where("depth > 0").withColumn("tail", tail).join(shorter, ["depth", "tail", "symbol"]).groupBy("depth", "context", "total", "kinds").agg(F.sum(saved).alias("gain"))
+    gains = known.where("depth > 0").withColumn("tail", F.expr(_TAIL)).join(shorter, ["depth", "tail", "symbol"]).groupBy("depth", "context", "total", "kinds").agg(F.sum(saved).alias("gain"))
     stay = gains.where((F.col("gain") > COST * F.col("kinds") * F.log(F.col("total") + 1.0)) & (F.col("gain") >= least_gain * corpus))
     parts = stay.select(F.explode(F.sequence(F.lit(1), F.col("depth"))).alias("depth"), "context").withColumn("context", F.expr(f"if(depth = {DEPTH}, context, context & (shiftleft(1L, 8 * depth) - 1L))"))
-    kept = known.where("depth = 0").unionByName(known.join(parts.distinct(), ["depth", "context"], "left_semi"))
-    found = kept.select("depth", "context", "symbol", "n").toArrow()
-    tree = Tree(*[found.column(c).to_numpy() for c in ("depth", "context", "symbol", "n")])
-    return Model(tree, words, int(total[0]), int(total[1]), (keys[order], n[order]), int(total[2] or 0))
+    kept, _ = work.materialize(known.where("depth = 0").unionByName(known.join(parts.distinct(), ["depth", "context"], "left_semi")), "kept")
+    contexts = kept.groupBy("depth", "context").agg(F.max("total").alias("total"))
+    n_contexts, n_symbols = contexts.count(), kept.where("depth = 0").count()
+    room = max(1, CELLS // (n_symbols + 3))
+    sent, beyond = kept, None
+    if n_contexts > room:
+        # what a context ends with comes at least as often and is shorter, so it is sent before it
+        most, _ = work.materialize(contexts.orderBy(F.col("total").desc(), "depth", "context").limit(room).select("depth", "context"), "sent")
+        sent = kept.join(most, ["depth", "context"], "left_semi")
+        ends = most.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("tail"))
+        edge = contexts.where("depth > 0").join(most, ["depth", "context"], "left_anti").withColumn("tail", F.expr(_TAIL)).join(ends, ["depth", "tail"], "left_semi").select("depth", "context").toArrow()
+        beyond = (edge.column("depth").to_numpy(), edge.column("context").to_numpy())
+    found = sent.select("depth", "context", "symbol", "n").toArrow()
+    tree = Tree(*[found.column(c).to_numpy() for c in ("depth", "context", "symbol", "n")], beyond)
+    return Model(tree, None if beyond is None else kept, words, int(total[0]), int(total[1]), (keys[order], n[order]), int(total[2] or 0))
+
+
+def _chances(grams: DataFrame, contexts: DataFrame, work: Workspace) -> DataFrame:
+    """(gram, chance) of distinct symbols with the DEPTH before them, from the table of contexts.
+
+    One depth after the other. A context has at most 256 next symbols and as many that are one longer, so no key of a join has more rows.
+    """
+    levels = [grams.select("gram")]
+    for d in range(DEPTH - 1, -1, -1):
+        cut, _ = work.materialize(levels[0].select(F.col("gram").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("gram")).distinct(), f"grams-{d}")
+        levels.insert(0, cut)
+    made = None
+    for d, level in enumerate(levels):
+        own = contexts.where(F.col("depth") == d)
+        n = own.select(F.shiftleft("context", 8).bitwiseOR(F.col("symbol")).alias("gram"), "n")
+        rows = level.join(n, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(own.select("context", "total", "kinds").distinct(), "context", "left")
+        if made is None:
+            rows = rows.withColumn("shorter", F.lit(1 / 256))
+        else:
+            rows = rows.withColumn("tail", F.col("gram").bitwiseAND(F.lit((1 << (8 * d)) - 1))).join(made.withColumnsRenamed({"gram": "tail", "chance": "shorter"}), "tail")
+        chance = (F.coalesce("n", F.lit(0)) + F.col("kinds") * F.col("shorter")) / (F.col("total") + F.col("kinds"))
+        made, _ = work.materialize(rows.select("gram", F.coalesce(chance, F.col("shorter")).alias("chance")), f"chances-{d}")
+    return made
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -250,27 +312,35 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
                 at = np.minimum(np.searchsorted(keys, words), max(0, len(keys) - 1))
                 here = keys[at] == words if len(keys) else np.zeros(len(words), bool)
                 logs = np.log10(counts[at[here]] + 0.1)
+                scores, led = tree.walk(part.column(0))
                 base = np.bincount(doc[here], logs, m) + np.log10(end + 0.1)
                 known = np.bincount(doc[here], minlength=m) + (end > 0)
                 nothing = pa.nulls(m, pa.int64())
                 yield pa.RecordBatch.from_pydict({
-                    "row": part.column(2), "doc_id": part.column(1), "n_tokens": np.diff(bounds) + 1, "known": known.astype(np.int64), "base": base, "score": tree.score(part.column(0)), "word": nothing, "n": nothing,
+                    "row": part.column(2), "doc_id": part.column(1), "n_tokens": np.diff(bounds) + 1, "known": known.astype(np.int64), "base": base, "score": scores, "word": nothing, "gram": nothing, "n": nothing,
                 })
                 order = np.lexsort((words[~here], doc[~here]))
                 w, d = words[~here][order], doc[~here][order]
                 first = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (d[1:] != d[:-1]))) if len(w) else np.zeros(0, np.int64)
-                ids, r = part.column(2).to_numpy(), len(first)
-                yield pa.RecordBatch.from_pydict({
-                    "row": ids[d[first]], "doc_id": pa.nulls(r, pa.int64()), "n_tokens": pa.nulls(r, pa.int64()), "known": pa.nulls(r, pa.int64()), "base": pa.nulls(r, pa.float64()),
-                    "score": pa.nulls(r, pa.float64()), "word": w[first], "n": np.diff(np.append(first, len(w))),
-                })
-
-    found, _ = work.materialize(rows.mapInArrow(scan, "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, score double, word bigint, n bigint"), "scanned")
+                ids = part.column(2).to_numpy()
+                for kind, which, key, n in [("word", d[first], w[first], np.diff(np.append(first, len(w)))), *[("gram", *x) for x in led]]:
+                    r = len(key)
+                    nothing = pa.nulls(r, pa.int64())
+                    yield pa.RecordBatch.from_pydict({
+                        "row": ids[which], "doc_id": nothing, "n_tokens": nothing, "known": nothing, "base": pa.nulls(r, pa.float64()), "score": pa.nulls(r, pa.float64()),
+                        "word": pa.array(key) if kind == "word" else nothing, "gram": pa.array(key) if kind == "gram" else nothing, "n": n,
+                    })
+
+    found, _ = work.materialize(rows.mapInArrow(scan, "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, score double, word bigint, gram bigint, n bigint"), "scanned")
     rare = found.where("word IS NOT NULL").select("row", F.col("word").alias("key"), F.col("n").alias("times")).join(model.words, "key", "left")
     rare = rare.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("rare_base"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known")
     )
-    whole = found.where("word IS NULL").select("row", "doc_id", "n_tokens", "known", "base", "score").join(rare, "row", "left")
+    whole = found.where("word IS NULL AND gram IS NULL").select("row", "doc_id", "n_tokens", "known", "base", "score").join(rare, "row", "left")
+    if model.contexts is not None:
+        led = found.where("gram IS NOT NULL").select("row", "gram", F.col("n").alias("times"))
+        away = led.join(_chances(led.select("gram").distinct(), model.contexts, work), "gram").groupBy("row").agg(F.sum(F.col("times") * F.log10("chance")).alias("away"))
+        whole = whole.join(away, "row", "left").withColumn("score", F.col("score") + F.coalesce("away", F.lit(0.0)))
     scale = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
     return whole.select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"),

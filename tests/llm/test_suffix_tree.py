@@ -88,6 +88,28 @@ def test_scores(spark, monkeypatch):
         assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-5 and abs(a[5] - b[5]) < 2e-3 + 1e-5 * abs(b[5])
 
 
+def test_contexts_of_the_table_only(spark, monkeypatch):
+    monkeypatch.setattr(T, "CELLS", 1500)
+    all_rows = rows()
+    docs = spark.createDataFrame([(i, t, "r", "w", "k") for i, t in all_rows], SCHEMA).repartition(5)
+    train = [t for i, t in all_rows if i is None or i % 4]
+    model = T.learn(docs, F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True)))
+    tree = plain_tree(train, 0)
+    assert model.tree.size < 100 < model.contexts.select("depth", "context").distinct().count() == len(tree)
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in T.score(docs, model).collect())
+    want = sorted((str(i), len(tokens(t)) + 1, plain_score(tree, t)) for i, t in all_rows)
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 2e-3 + 1e-5 * abs(b[2])
+
+
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    rare = spark.createDataFrame([("xyzzy quux",)] * 3, "text string")
+    docs = rare.unionByName(spark.range(0, 400, 1, 4).select(F.repeat(F.lit("ka to mi re "), 3000).alias("text")))
+    model = T.learn(docs)
+    assert model.tree.size > T.learn(docs, least_gain=1e-6).tree.size
+    assert model.tree.score(pa.array(["xyzzy quux"]))[0] > T.learn(docs, least_gain=1e-6).tree.score(pa.array(["xyzzy quux"]))[0]
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     rng = random.Random(2)
     texts = [" ".join(rng.choice("ab cde f ghi".split()) for _ in range(rng.randrange(200))) + rng.choice(["", " ", "   \n"]) for _ in range(30)] + ["   ", "x" * 100, "y" * 90 + " " * 90, ""]
