@@ -36,6 +36,8 @@ FAMILY = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Madam": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f", "Dr": "", "Prof": "", "г-н": "m", "г-жа": "f", "κ": "m", "κα": "f"}
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω")
+#: tries after which an address gets one more letter, after which a number leaves its private range or first digit, and later rounds without any progress after which no surrogate is left
+WIDER, WIDEST, STUCK = 4, 256, 20
 PRIVATE = (((10,), 1), ((192, 168), 2), ((127,), 1), ((169, 254), 2))
 
 _GENDER = {name.casefold(): g for (_, g), names in GIVEN.items() for name in names}
@@ -189,10 +191,13 @@ class Maker:
             local, _, host = entity.rpartition("@")
             *labels, name, top = host.split(".")
             kept = f"example.{top}" if top in ("com", "net", "org") else f"{self._like(name, self.numbers('host', name, 0))}.example"
-            return self._like(local, numbers) + "@" + "".join(self._like(x, self.numbers("host", x, 0)) + "." for x in labels) + kept
+            more = "".join(ALPHABETS[0][next(numbers) % 26] for _ in range(min(attempt // WIDER, 24)))  # more entities than local parts of that length
+            return self._like(local, numbers) + more + "@" + "".join(self._like(x, self.numbers("host", x, 0)) + "." for x in labels) + kept
         if kind == "ip":
             octets = [int(x) for x in entity.split(".")]
             kept = next((n for start, n in PRIVATE if tuple(octets[:n]) == start), 0)
+            if kept and attempt >= WIDEST:
+                octets, kept = [10, *octets[1:]], 1  # more entities than addresses of that range
             new = octets[:kept] + [next(numbers) % 254 + 1 for _ in octets[kept:]]
             if not kept:
                 new[0] = next(numbers) % 100 + 11  # public unicast, none of the private ranges
@@ -206,7 +211,8 @@ class Maker:
         if kind == "ssn":
             return "9" + "".join(str(next(numbers) % 10) for _ in entity[1:])  # area numbers from 900 are never given out
         if kind == "phone":
-            return entity[:1] + "".join(str(next(numbers) % 10) for _ in entity[1:])
+            first = str(next(numbers) % 9 + 1) if attempt >= WIDEST else entity[:1]
+            return first + "".join(str(next(numbers) % 10) for _ in entity[1:])
         part, script, *gender = kind.split(":")
         names = GIVEN[script, gender[0]] if part == "given" else FAMILY[script]
         new = names[next(numbers) % len(names)]
@@ -256,7 +262,7 @@ def _attempts(entities: DataFrame, maker: Maker, work: Workspace) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([maker.make(*x) for x in zip(kinds, own, tries)], pa.string())], ["kind", "entity", "attempt", "surrogate"])
 
     schema = "kind string, entity string, attempt bigint, surrogate string"
-    settled, open_, round_ = None, entities.withColumn("attempt", F.lit(0).cast("bigint")), 0
+    settled, open_, round_, before, stuck = None, entities.withColumn("attempt", F.lit(0).cast("bigint")), 0, -1, 0
     originals = entities.select(_names(F.col("kind")).alias("_group"), F.col("entity").alias("surrogate")).distinct()
     while True:
         made, _ = work.materialize(open_.select("kind", "entity", "attempt").mapInArrow(make, schema), f"made-{round_}")
@@ -273,6 +279,10 @@ def _attempts(entities: DataFrame, maker: Maker, work: Workspace) -> DataFrame:
         round_ += 1
         if not left["n_rows"]:
             return settled.where("attempt > 0").select("kind", "entity", "attempt")
+        before, stuck = left["n_rows"], stuck + 1 if round_ > WIDEST and left["n_rows"] == before else 0
+        if stuck >= STUCK:
+            kinds = [r["kind"] for r in open_.select("kind").distinct().orderBy("kind").limit(10).collect()]
+            raise ValueError(f"no surrogates are left for {before} entities of the kinds {kinds}")
 
 
 def surrogate(docs: DataFrame, key: bytes, text_column: str = "text", into: str = "n_entities") -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from skyledger.llm import surrogates as S
+from skyledger.workspace import Workspace
 
 SCHEMA = "doc_id bigint, text string, kind string, entity string, n_entities string"
 MAKER = S.Maker(b"a key")
@@ -83,6 +84,35 @@ def test_names_of_all_scripts_alone(spark):
     assert all(r["n_entities"] == len(S.find(t)) > 0 for r, t in zip(rows, texts))
 
 
+def test_more_entities_than_surrogates_of_their_length(spark):
+    texts = [f"write to {'abcdefgh'[k % 8]}@host{k}.com, not _@host{k}.org" for k in range(40)]
+    rows = S.surrogate(spark.createDataFrame([(t,) for t in texts], "text string"), b"key").collect()
+    new = [x for r in rows for x in re.findall(r"\S+@[\w.]+\w", r["text"])]
+    assert len(new) == len(set(new)) == 80 and not set(new) & {x for t in texts for x in re.findall(r"\S+@[\w.]+\w", t)}
+    assert all(x.endswith(("@example.com", "@example.org")) for x in new)
+
+
+def test_wider_spaces_keep_their_format():
+    maker = S.Maker(b"key")
+    tries = [*range(12), *range(S.WIDEST, S.WIDEST + 30)]
+    for k in tries:
+        assert S.find(maker.make("ip", "192.168.3.4", k))[0][2] == "ip" and maker.make("ip", "192.168.3.4", k).startswith("192.168." if k < S.WIDEST else "10.")
+        assert len(maker.make("phone", "4930123", k)) == 7 and S.find(maker.make("email", "a@b.com", k))[0][2] == "email"
+    assert len({maker.make("phone", "4930123", k)[0] for k in tries}) > 2
+
+
+def test_nothing_left_is_an_error(spark, monkeypatch):
+    class Same(S.Maker):
+        def make(self, kind, entity, attempt):
+            return "same"
+
+    monkeypatch.setattr(S, "WIDEST", 0)
+    monkeypatch.setattr(S, "STUCK", 2)
+    entities = spark.createDataFrame([("ssn", "123456789"), ("ssn", "223456789")], "kind string, entity string")
+    with pytest.raises(ValueError, match="ssn"):
+        S._attempts(entities, Same(b"key"), Workspace(spark))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert S.surrogate(docs, b"key").collect() == [] and sorted(S.surrogate(docs, b"key").columns) == sorted(docs.columns)
