@@ -11,6 +11,7 @@ from skyledger.llm.html_text import op10_html_text
 from skyledger.llm.jaccard import op3_jaccard_join
 from skyledger.llm.language import op7_language
 from skyledger.llm.mixing import OP6_SQL, op6_mixing
+from skyledger.llm.periodic_runs import op13_periodic_runs
 from skyledger.llm.secret_scan import op8_secret_scan
 from skyledger.llm.suffix_tree import op4_suffix_tree
 from skyledger.llm.surrogates import op1_surrogates
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
 ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
