@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.conversation_repair import op11_conversation_repair
 from skyledger.llm.decontamination import op5_decontamination
 from skyledger.llm.html_text import op10_html_text
 from skyledger.llm.jaccard import op3_jaccard_join
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
