@@ -18,6 +18,7 @@ from skyledger.llm.suffix_tree import op4_suffix_tree
 from skyledger.llm.surrogates import op1_surrogates
 from skyledger.llm.syncmers import op2_syncmers
 from skyledger.llm.token_files import op9_token_files
+from skyledger.llm.toxicity import op12_toxicity
 from skyledger.llm.workers import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_runs": op13_periodic_runs,
 }
 QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
