@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.language import fold
-from skyledger.llm.words import _LOWER, PIECE, SLICE, SOLID, hashed_words, signed, slices, text_bytes
+from skyledger.llm.words import _LOWER, SOLID, hashed_words, signed, slices, text_bytes
+from skyledger.llm.workers import give_back
 from skyledger.workspace import Workspace
 
 #: symbols in the longest context; a context and its next symbol fit one key of eight bytes
@@ -33,7 +34,9 @@ COST = 0.1
 #: words whose counts go to every task, 16 bytes each
 FREQUENT = 1 << 18
 #: keys that a task sums up before it merges them
-MERGE_AT = 1 << 22
+MERGE_AT = 1 << 21
+#: bytes of text and symbols that are looked at together: each takes some 60 bytes of a worker's memory
+SLICE, PIECE = 1 << 20, 1 << 19
 
 # Fixed symbols: the blank between words, the end of a text (also what comes before it), and the key of the end as a word.
 BLANK, END = 32, 10
@@ -136,7 +139,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words (kind 0) and symbols after DEPTH symbols (kind 1) with their counts in a task."""
     sums = (_Sums(), _Sums())
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             words, _ = hashed_words(part.column(0))
             own, n = np.unique(words, return_counts=True)
             sums[0].add(np.append(signed(own), END_WORD), np.append(n, len(part)))
@@ -148,6 +151,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(keys), 1 << 18):
                 m = len(keys[at : at + (1 << 18)])
                 yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(m, kind, np.int8)), "key": keys[at : at + m], "n": n[at : at + m].astype(np.int64)})
+    del sums
+    give_back()
 
 
 class Tree:
@@ -306,7 +311,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
         """A row for each document with all that the task knows, and one for each of its words that the task doesn't know."""
         tree, keys, counts, end = sent.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 words, bounds = hashed_words(part.column(0))
                 words, doc, m = signed(words), np.repeat(np.arange(len(part)), np.diff(bounds)), len(part)
                 at = np.minimum(np.searchsorted(keys, words), max(0, len(keys) - 1))
@@ -330,6 +335,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
                         "row": ids[which], "doc_id": nothing, "n_tokens": nothing, "known": nothing, "base": pa.nulls(r, pa.float64()), "score": pa.nulls(r, pa.float64()),
                         "word": pa.array(key) if kind == "word" else nothing, "gram": pa.array(key) if kind == "gram" else nothing, "n": n,
                     })
+        give_back()
 
     found, _ = work.materialize(rows.mapInArrow(scan, "row bigint, doc_id bigint, n_tokens bigint, known bigint, base double, score double, word bigint, gram bigint, n bigint"), "scanned")
     rare = found.where("word IS NOT NULL").select("row", F.col("word").alias("key"), F.col("n").alias("times")).join(model.words, "key", "left")

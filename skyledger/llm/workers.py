@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +20,16 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, known]).rstrip(os.pathsep)
 
 
+def give_back() -> None:
+    """Return free memory of a worker, which serves later tasks too, to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass  # another C library than glibc
+
+
 def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A function of a session whose workers find the package."""
 
