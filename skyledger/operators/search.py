@@ -13,6 +13,9 @@ from skyledger.functions.columns import once
 from skyledger.functions.geometry import (
     bbox_overlaps, envelope_wkt, geojson_of_wkt, geom_intersects, parse_envelope, shape_literal, shape_of_wkt,
 )
+from skyledger.operators.meeting import (
+    TIME_SIZES, crowded_nodes, deepest_node, items_by_time, items_in_nodes, meet_in_nodes, meet_in_time, searches_by_time, searches_in_nodes, span_of, time_level,
+)
 from skyledger.operators.order import number_pages, number_rows
 from skyledger.workspace import Workspace
 
@@ -199,6 +202,10 @@ def render_requests(searches: DataFrame) -> DataFrame:
 
 # Cell sizes in degrees, finest first; the last one has one cell for the whole globe.
 CELL_SIZES = [1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0, 512.0]
+#: from this level on a box says less than a time
+WIDE = 7
+#: items above which a cell is split, and searches from which on cells are counted for it; fewer are small enough to be sent to the items
+CROWDED, MANY_SEARCHES = 100_000, 10_000
 
 
 def _level(box: Column) -> Column:
@@ -317,50 +324,91 @@ def _meet_in_cells(spread: DataFrame, q: DataFrame, keys: list[str]) -> DataFram
     )
 
 
-def search_batch(items: DataFrame, searches: DataFrame) -> DataFrame:
+def _as_nodes(rows: DataFrame) -> DataFrame:
+    """Rows of cells as nodes that are not split yet; items with how often a cell of their level may be halved for them."""
+    if "i_eff" in rows.columns:
+        box = F.col("i_eff")
+        rows = rows.withColumn("i_deep", deepest_node(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"]), _size_of(F.col("_level"))))
+    return rows.withColumns({"_depth": F.lit(0), "_nx": F.col("_cx").cast("bigint"), "_ny": F.col("_cy").cast("bigint")}).drop("_cx", "_cy")
+
+
+def search_batch(items: DataFrame, searches: DataFrame, crowded: int | None = None) -> DataFrame:
     """Every search against every item: (search_id, item columns...), one row per match.
 
-    A search goes the way of its most telling criterion. Ids are joined on the id. Without ids both sides are spread over grid cells and
-    joined on the cell, and on the collection where the search names any. A box lives on the grid whose cells are as large as itself, so
-    it touches at most four cells there and on each coarser grid; a pair meets on the coarser of its two grids, in the one cell
-    that holds the lower left corner of the common area, so no pair is found twice and nothing needs to be made distinct.
-    Searches are a written table, so Spark knows what it may broadcast; otherwise it splits crowded cells itself. Their shapes stay
-    behind and meet only the pairs that passed all other tests.
+    A search goes the way of its most telling criterion. Ids are joined on the id. A box (or shape) is joined on grid cells, a time without a box, or with one that
+    spans a large part of the globe, on buckets of time; both also on the collection where the search names any. An extent lives on the level
+    whose cells or buckets are as large as itself, so it touches few there and on each coarser level; a pair meets on the coarser of
+    its two levels, in the one cell or bucket in which the common part begins, so no pair is found twice and nothing needs to be made distinct.
+
+    Searches are a written table, so Spark knows what it may broadcast. Where they are too many for that, cells that hold more than ``crowded``
+    items are split, as often as their items are small enough for; a number given asks for it at any number of searches. It costs one more read of the
+    items' boxes. Long buckets of time are dealt into parts. The searches' shapes stay behind and meet only the pairs that passed all other tests.
 
     With a column ``max_items`` the result has ``page_no``: a search's matches in order of id, so many to a page, for searches with a page
     size above 0 and another criterion, else NULL. A datetime, box or geometry that cannot be read raises and names its search.
     """
     work = Workspace(items.sparkSession)
     has_ids, has_collections = F.coalesce(F.size("q_ids") > 0, F.lit(False)), F.coalesce(F.size("q_collections") > 0, F.lit(False))
-    way = F.when(has_ids, "ids").when(has_collections, "collections").otherwise("cells")
+    by_time = F.col("q_range").isNotNull() & (F.col("q_level") >= WIDE)
+    way = F.when(has_ids, "ids").otherwise(F.concat(F.when(by_time, "times").otherwise("cells"), F.when(has_collections, "_named").otherwise("")))
     criterion = has_ids | has_collections | F.col("q_datetime").isNotNull() | F.col("q_box").isNotNull() | F.col("q_wkt").isNotNull()
-    table = _search_table(searches).withColumns({"q_level": _level(F.col("q_eff")), "q_way": way, "q_no": F.monotonically_increasing_id()})
+    table = _search_table(searches).withColumns({"q_level": _level(F.col("q_eff")), "q_span": F.when(F.col("q_range").isNotNull(), span_of(F.col("q_range")))})
+    table = table.withColumns({"q_tlevel": time_level(F.col("q_span.first"), F.col("q_span.last")), "q_way": way, "q_no": F.monotonically_increasing_id()})
     table = table.withColumn("q_page", F.when((F.col("q_page") > 0) & criterion, F.col("q_page")))
+    n_levels = len(CELL_SIZES)
     table, counts = work.materialize(
-        table, "searches", pages=F.count("q_page"), **{f"way_{w}": F.count_if(F.col("q_way") == w) for w in ("ids", "collections", "cells")},
-        **{f"level_{i}": F.count_if((F.col("q_level") == i) & (F.col("q_way") != "ids")) for i in range(len(CELL_SIZES))},
+        table, "searches", pages=F.count("q_page"), **{f"way_{w}": F.count_if(F.col("q_way") == w) for w in ("ids", "cells", "cells_named", "times", "times_named")},
+        **{f"level_{i}": F.count_if((F.col("q_level") == i) & F.col("q_way").startswith("cells")) for i in range(n_levels)},
+        **{f"tlevel_{i}": F.count_if((F.col("q_tlevel") == i) & F.col("q_way").startswith("times")) for i in range(len(TIME_SIZES))},
     )
-    q = table.select("q_no", "q_way", "q_ids", "q_collections", "q_box", "q_wkt", "q_extent", "q_range", "q_eff", "q_level").withColumn("q_wkt", F.when(F.col("q_wkt").isNotNull(), ""))
-    n_levels = len(CELL_SIZES)
+    q = table.select("q_no", "q_way", "q_ids", "q_collections", "q_box", "q_wkt", "q_extent", "q_range", "q_eff", "q_level", "q_span", "q_tlevel").withColumn("q_wkt", F.when(F.col("q_wkt").isNotNull(), ""))
     # what the test needs of an item is made ready once, before the item meets searches
     first, last = _item_times(items.columns)
     known = items.withColumns({"i_first": first, "i_last": last})
+
+    def each_way(route: str):
+        """Searches of a route without collections, and those with, once for each collection."""
+        if counts[f"way_{route}"]:
+            yield q.where(F.col("q_way") == route), []
+        if counts[f"way_{route}_named"]:
+            yield q.where(F.col("q_way") == f"{route}_named").withColumn("collection", F.explode(F.array_distinct("q_collections"))), ["collection"]
+
     ways = []
     if counts["way_ids"] or not counts["n_rows"]:
         wanted = q.where("q_way = 'ids'").withColumn("id", F.explode(F.array_distinct("q_ids")))
         ways.append(known.join(wanted, "id"))
-    if counts["way_collections"] or counts["way_cells"]:
+    n_cells = counts["way_cells"] + counts["way_cells_named"]
+    if n_cells:
         # An item meets searches of its own grid or a finer one on its own grid, coarser ones on theirs.
         used = F.array(*[F.lit(i) for i in range(n_levels) if counts[f"level_{i}"]])
-        placed = known.withColumn("i_eff", _effective(F.col("bbox")))
-        placed = placed.withColumn("i_level", _level(F.col("i_eff")))
-        spread = _with_cells(placed, "i", F.array_union(F.array("i_level"), F.filter(used, lambda l: l > F.col("i_level"))))
-        cells = _with_cells(q, "q", F.sequence(F.col("q_level"), F.lit(n_levels - 1)))
-        if counts["way_collections"]:
-            named = cells.where("q_way = 'collections'").withColumn("collection", F.explode(F.array_distinct("q_collections")))
-            ways.append(_meet_in_cells(spread, named, ["collection"]))
-        if counts["way_cells"]:
-            ways.append(_meet_in_cells(spread, cells.where("q_way = 'cells'"), []))
+
+        def spread(rows: DataFrame) -> DataFrame:
+            placed = rows.withColumn("i_eff", _effective(F.col("bbox")))
+            placed = placed.withColumn("i_level", _level(F.col("i_eff")))
+            return _with_cells(placed, "i", F.array_union(F.array("i_level"), F.filter(used, lambda l: l > F.col("i_level"))))
+
+        nodes = None
+        if crowded is not None or n_cells > MANY_SEARCHES:
+            narrow = _as_nodes(spread(items.select("bbox"))).select("_level", "_depth", "_nx", "_ny", "i_eff", "i_deep")
+            nodes = crowded_nodes(narrow, "i_eff", "i_deep", _size_of, crowded or CROWDED, work)
+        spreaded = spread(known)
+        if nodes is not None:
+            spreaded = items_in_nodes(_as_nodes(spreaded), nodes, "i_eff", "i_deep", _size_of)
+        for some, keys in each_way("cells"):
+            cells = _with_cells(some, "q", F.sequence(F.col("q_level"), F.lit(n_levels - 1)))
+            if nodes is not None:
+                cells = searches_in_nodes(_as_nodes(cells), nodes, "q_eff", _size_of)
+                ways.append(meet_in_nodes(spreaded, cells, "i", "q", _size_of, keys))
+            else:
+                ways.append(_meet_in_cells(spreaded, cells, keys))
+    used_times = [i for i in range(len(TIME_SIZES)) if counts[f"tlevel_{i}"]]
+    if used_times:
+        timed = known.where(F.col("i_first").isNotNull())
+        timed = timed.withColumn("i_span", span_of(F.struct(F.col("i_first").alias("lo"), F.col("i_last").alias("hi"))))
+        timed = timed.withColumn("i_tlevel", time_level(F.col("i_span.first"), F.col("i_span.last")))
+        timed = items_by_time(timed, "i_span", "i_tlevel", used_times, F.xxhash64("id", "i_first"))
+        for some, keys in each_way("times"):
+            ways.append(meet_in_time(timed, searches_by_time(some, "q_span", "q_tlevel"), "i_span", "q_span", keys))
     found = []
     for pairs in ways:
         for test in _cheap_tests():

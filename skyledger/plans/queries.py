@@ -76,14 +76,15 @@ def _corners(*more):
 
 
 @query("s1_scan_documents", f"""
-    SELECT 'page=' || (event_id // {sets.PAGE}) AS folder, 'FeatureCollection' AS kind, count(*) AS n_features FROM events GROUP BY 1""")
+    SELECT 'name=page-' || (event_id // {sets.PAGE}) AS folder, 'FeatureCollection' AS kind, count(*) AS n_features FROM events GROUP BY 1
+    UNION ALL SELECT 'name=collection', 'Collection', NULL""")
 def scan_documents(spark, sf_dir):
-    pages = landed(spark, sf_dir, "pages").where("doc_uri LIKE '%/page-%'")
+    pages = landed(spark, sf_dir, "pages")
     path = f"{Workspace(spark).root}/files"
-    pages.select("body", F.regexp_extract("doc_uri", r"page-(\d+)", 1).alias("page")).write.partitionBy("page").text(path)
+    pages.select("body", F.regexp_extract("doc_uri", r"([^/]+)\.json$", 1).alias("name")).write.partitionBy("name").text(path)
     files = sky.with_kind(sky.read_documents(spark, path, "*.txt"))
-    features = F.size(F.from_json("body", "features ARRAY<STRING>")["features"]).cast("bigint")
-    return files.select(F.regexp_extract("doc_uri", r"(page=\d+)", 1).alias("folder"), "kind", features.alias("n_features"))
+    features = F.from_json("body", "features ARRAY<STRING>")["features"]
+    return files.select(F.regexp_extract("doc_uri", r"(name=[^/]+)", 1).alias("folder"), "kind", F.when(features.isNotNull(), F.size(features)).cast("bigint").alias("n_features"))
 
 
 def _responses(spark, sf_dir):
@@ -130,6 +131,16 @@ def freshest_response(spark, sf_dir):
     return fresh.select("url", F.from_json("body", "event BIGINT")["event"].alias("event"))
 
 
+@query("s4_hot_request", f"""
+    WITH RECURSIVE r AS (SELECT ts, event_id FROM events WHERE event_id % 17 <> 0),
+    kept AS (SELECT min(ts) AS ts FROM r UNION ALL SELECT min(r.ts) FROM kept k, r WHERE r.ts > k.ts + INTERVAL {sets.RESPONSE_TTL} SECOND HAVING min(r.ts) IS NOT NULL)
+    SELECT event_id AS event FROM r JOIN kept ON r.ts = kept.ts""")
+def hot_request(spark, sf_dir):
+    """All responses belong to one request."""
+    one = landed(spark, sf_dir, "responses").withColumn("url", F.lit("mem:/f/one"))
+    return sky.freshest_response(one, sets.RESPONSE_TTL).select(F.from_json("body", "event BIGINT")["event"].alias("event"))
+
+
 @query("s5_validate_documents", """
     SELECT 'mem:/d/items/' || c_custkey || '.json' AS doc_uri,
       CASE c_custkey % 12 WHEN 9 THEN 'missing ''type'' field' ELSE 'unparsable document' END AS problem
@@ -164,9 +175,11 @@ def dispatch_kind(spark, sf_dir):
     UNION ALL SELECT 'mem:/b/page-' || p || '.json', 1, 'next', './page-' || (p + 1) || '.json', CASE WHEN p % 2 = 0 THEN 'GET' ELSE 'POST' END,
       p % 2 = 1, CAST(p + 1 AS VARCHAR), CAST(p + 1 AS VARCHAR) FROM pg WHERE p < (SELECT max(p) FROM pg)
     UNION ALL SELECT 'mem:/d/items/' || c_custkey || '.json', 0, 'self', 'x', 'GET', false, NULL, NULL FROM customer WHERE c_custkey % 12 <> 10
-    UNION ALL SELECT 'mem:/d/items/' || c_custkey || '.json', 1, 'z', 'y', 'GET', false, NULL, NULL FROM customer WHERE c_custkey % 12 NOT IN (8, 10)""")
+    UNION ALL SELECT 'mem:/d/items/' || c_custkey || '.json', 1, 'z', 'y', 'GET', false, NULL, NULL FROM customer WHERE c_custkey % 12 NOT IN (8, 10)
+    UNION ALL SELECT DISTINCT '{DEFECTS}', c_custkey // {sets.FAN}, 'child', './idx/l1-' || (c_custkey // {sets.FAN}) || '.json', 'GET', false, NULL, NULL FROM customer
+    UNION ALL SELECT 'mem:/d/idx/l1-' || (c_custkey // {sets.FAN}) || '.json', c_custkey % {sets.FAN}, 'item', '../items/' || c_custkey || '.json', 'GET', false, NULL, NULL FROM customer""")
 def explode_links(spark, sf_dir):
-    documents = landed(spark, sf_dir, "pages").unionByName(landed(spark, sf_dir, "defects").where("doc_uri LIKE '%/items/%'"))
+    documents = landed(spark, sf_dir, "pages").unionByName(landed(spark, sf_dir, "defects"))
     return sky.explode_links(documents).select(
         "doc_uri", "pos", "rel", "href", "method", "merge", F.col("headers")["x-page"].alias("page"),
         F.get_json_object("body", "$.token").alias("token"),
@@ -180,9 +193,12 @@ def explode_links(spark, sf_dir):
     UNION ALL SELECT 'mem:/a/r' || n_regionkey || '/catalog.json', 'child', 'mem:/a/r' || n_regionkey || '/n' || n_nationkey || '/collection.json' FROM nation
     UNION ALL SELECT DISTINCT base || '/collection.json', 'parent', 'mem:/a/r' || n_regionkey || '/catalog.json' FROM placed
     UNION ALL SELECT base || '/collection.json', 'child', base || '/idx/l1-' || g || '.json' FROM ix
-    UNION ALL SELECT base || '/idx/l1-' || {_INDEX} || '.json', 'item', base || '/items/' || o_orderkey || '.json' FROM placed""")
+    UNION ALL SELECT base || '/idx/l1-' || {_INDEX} || '.json', 'item', base || '/items/' || o_orderkey || '.json' FROM placed
+    UNION ALL SELECT '{TREE}', rel, '{TREE}' FROM (VALUES ('root'), ('self')) v(rel)
+    UNION ALL SELECT base || '/items/' || o_orderkey || '.json', rel, CASE rel WHEN 'root' THEN '/a/catalog.json' ELSE base || '/items/' || o_orderkey || '.json' END
+      FROM placed, (VALUES ('root'), ('self')) v(rel)""")
 def resolve_hrefs(spark, sf_dir):
-    links = sky.explode_links(landed(spark, sf_dir, "tree")).where("rel IN ('child', 'parent', 'item')")
+    links = sky.explode_links(landed(spark, sf_dir, "tree"))
     return links.select("doc_uri", "rel", resolve_href(F.col("doc_uri"), F.col("href")).alias("target"))
 
 
@@ -483,12 +499,15 @@ def geojson_to_wkt(spark, sf_dir):
 @query("g2_wkt_to_geojson", f"""
     WITH {_PARTS}, j AS (SELECT p_partkey, CAST(ST_AsGeoJSON(ST_GeomFromGeoJSON(g)) AS VARCHAR) AS g FROM gj)
     SELECT p_partkey, json_extract_string(g, '$.type') AS kind,
-      array_to_string(list_transform(regexp_extract_all(g, '-?[0-9]+\\.[0-9]+'), lambda n: CAST(CAST(n AS DECIMAL(18,4)) AS VARCHAR)), ' ') AS numbers FROM j""")
+      array_to_string(list_transform(regexp_extract_all(g, '-?[0-9]+\\.[0-9]+'), lambda n: CAST(CAST(n AS DECIMAL(18,4)) AS VARCHAR)), ' ') AS numbers,
+      regexp_replace(regexp_replace(g, '-?[0-9]+\\.[0-9]+', '#', 'g'), '[^#\\[\\]]', '', 'g') AS nesting FROM j""")
 def wkt_to_geojson(spark, sf_dir):
     wkt = sky.geojson_to_wkt(landed(spark, sf_dir, "geometries"), "geometry")
     back = sky.wkt_to_geojson(wkt, "geometry")
     numbers = F.transform(F.regexp_extract_all("geometry", F.lit(r"(-?\d+\.\d+)"), F.lit(1)), lambda n: n.cast("decimal(18,4)").cast("string"))
-    return back.select("p_partkey", F.get_json_object("geometry", "$.type").alias("kind"), F.array_join(numbers, " ").alias("numbers"))
+    # brackets with # for each number
+    nesting = F.regexp_replace(F.regexp_replace("geometry", r"-?\d+\.\d+", "#"), r"[^#\[\]]", "")
+    return back.select("p_partkey", F.get_json_object("geometry", "$.type").alias("kind"), F.array_join(numbers, " ").alias("numbers"), nesting.alias("nesting"))
 
 
 @query("g3_make_envelope", f"""
@@ -645,6 +664,43 @@ def batch_pages(spark, sf_dir):
     return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), _type_searches(spark, sf_dir)).select("search_id", "id", "page_no")
 
 
+# by time alone: spans of one to fourteen days, and one search in ten with an open end
+@query("q9_batch_times", f"""
+    WITH {_EVENTS}, s AS (SELECT s_suppkey AS search_id, make_timestamp(2024, 1, 1 + s_suppkey % 15, 0, 0, 0) AS lo,
+      CASE WHEN s_suppkey % 10 > 0 THEN make_timestamp(2024, 1, 1 + s_suppkey % 15, 0, 0, 0) + to_days(CAST(1 + s_suppkey % 14 AS INTEGER)) END AS hi,
+      CASE WHEN s_suppkey % 3 = 0 THEN 'view' END AS wanted FROM supplier)
+    SELECT search_id, id FROM s JOIN ev ON ts >= lo AND (hi IS NULL OR ts < hi) AND (wanted IS NULL OR event_type = wanted)""")
+def batch_times(spark, sf_dir):
+    k = F.col("s_suppkey")
+    day = 1 + k % 15
+    text = F.concat(F.format_string("2024-01-%02d/", day), F.when(k % 10 > 0, F.format_string("2024-01-%02d", day + k % 14)).otherwise(".."))
+    named = F.when(k % 3 == 0, F.array(F.lit("view"))).otherwise(F.expr("cast(array() as array<string>)"))
+    searches = table(spark, sf_dir, "supplier").select(k.alias("search_id"), text.alias("datetime"), named.alias("collections"))
+    return sky.search_batch(_event_items(spark, sf_dir, columns=["datetime"]), searches).select("search_id", "id")
+
+
+_CITY = "CASE WHEN event_id % 10 < 3 THEN"
+_CITY_BOX = f"""{_CITY} 11 + (event_id % 256) / 512.0::DOUBLE ELSE minx END AS x, {_CITY} 48 + (event_id // 256 % 128) / 256.0::DOUBLE ELSE miny END AS y,
+    {_CITY} 0.001953125::DOUBLE ELSE 0.5::DOUBLE END AS w, {_CITY} 0.00390625::DOUBLE ELSE 0.25::DOUBLE END AS h"""
+
+
+# three items of ten lie in half a degree; cells are split above 64 items
+@query("q9_batch_crowded", f"""
+    WITH {_EVENTS}, city AS (SELECT id, {_CITY_BOX} FROM ev),
+    s AS (SELECT s_suppkey AS search_id, 10.75 + (s_suppkey % 40) / 32.0::DOUBLE AS qx, 47.75 + (s_suppkey % 30) / 32.0::DOUBLE AS qy, CASE WHEN s_suppkey % 4 = 0 THEN 1.0 ELSE 0.0625 END::DOUBLE AS size FROM supplier)
+    SELECT search_id, id FROM s JOIN city ON x <= qx + size AND x + w >= qx AND y <= qy + size AND y + h >= qy""")
+def batch_crowded(spark, sf_dir):
+    items = _event_items(spark, sf_dir, columns=[]).withColumn("k", F.substring("id", 4, 20).cast("bigint"))
+    k, inside = F.col("k"), F.col("k") % 10 < 3
+    x, y = F.lit(11.0) + (k % 256) / 512.0, F.lit(48.0) + (F.floor(k / 256) % 128) / 256.0
+    box = F.struct(x.alias("minx"), y.alias("miny"), (x + 0.001953125).alias("maxx"), (y + 0.00390625).alias("maxy"))
+    items = items.select("id", "collection", F.when(inside, None).otherwise(F.col("geometry")).alias("geometry"), F.when(inside, box).otherwise(F.col("bbox")).alias("bbox"))
+    s = F.col("s_suppkey")
+    qx, qy, size = F.lit(10.75) + (s % 40) / 32.0, F.lit(47.75) + (s % 30) / 32.0, F.when(s % 4 == 0, 1.0).otherwise(0.0625)
+    searches = table(spark, sf_dir, "supplier").select(s.alias("search_id"), F.array(qx, qy, qx + size, qy + size).alias("bbox"))
+    return sky.search_batch(items, searches, crowded=64).select("search_id", "id")
+
+
 @query("q9_batch_intersects", f"""
     WITH {_EVENTS}, s AS (SELECT n_nationkey AS search_id, CAST((n_nationkey * 13) % 300 AS DOUBLE) - 170.25 AS x, CAST((n_nationkey * 7) % 150 AS DOUBLE) - 80.25 AS y FROM nation)
     SELECT search_id, id FROM s JOIN ev ON minx <= x + 12 AND maxx >= x AND miny <= y + 6 AND maxy >= y""")

@@ -48,8 +48,8 @@ def freshest_response(responses: DataFrame, ttl_seconds: int = 30) -> DataFrame:
     responses (a status other than 200) are left out, whatever the limit; without a limit nothing is a reuse.
 
     The first response of a request is kept, then always the next one later than the limit. No request's history is gathered in
-    one place: times are cut into buckets as long as the limit, each time finds its successor within two neighbouring buckets,
-    and the kept times are the chains of successors, walked by doubling.
+    one place: its times are put in order by ranges, each finds its successor there, and the kept times are the chains of successors,
+    walked by doubling.
     """
     if ttl_seconds <= 0:
         return responses.where(F.col("status") == 200)
@@ -62,56 +62,45 @@ def freshest_response(responses: DataFrame, ttl_seconds: int = 30) -> DataFrame:
     ttl = ttl_seconds * 1_000_000
     work = Workspace(responses.sparkSession)
     times, _ = work.materialize(keyed.where(reusable).select("_key", "_at").distinct(), "times")
-    succ, _ = work.materialize(_successors(times, ttl), "successors")
+    linked, _ = work.materialize(_linked(times, ttl, work), "linked")
 
     name = F.struct("_key", "_at")
-    heads = succ.where("starts").select(name.alias("node"))
+    surely_starts = F.coalesce(F.col("_at") - F.col("before") > ttl, F.lit(True))
+    heads = linked.where(~F.col("probe") & surely_starts).select(name.alias("node"))
     # a time that starts a run on its own is a head already, so chains end before it
-    edges = succ.where("next_at IS NOT NULL AND NOT next_starts").select(
-        name.alias("src"), F.struct("_key", F.col("next_at").alias("_at")).alias("dst")
-    )
+    edges = linked.where(F.col("probe") & (F.col("after") - F.col("before") <= ttl)).select(name.alias("src"), F.struct("_key", F.col("after").alias("_at")).alias("dst"))
     kept = follow_chain(heads, edges, work).select("node._key", "node._at")
     fetched = keyed.where(reusable).join(kept, ["_key", "_at"], "left_semi")
     return fetched.unionByName(keyed.where(~reusable)).drop("_key", "_at")
 
 
-def _successors(times: DataFrame, ttl: int) -> DataFrame:
-    """For each time the first one later than ``ttl`` after it, and whether each of the two surely starts a run."""
-
-    def bucket_of(t: str) -> Column:
-        return F.expr(f"({t} - pmod({t}, {ttl}L)) div {ttl}L")
-
-    edges = times.groupBy("_key", bucket_of("_at").alias("_bucket")).agg(F.min("_at").alias("first"), F.max("_at").alias("last"))
-    by_time = Window.partitionBy("_key").orderBy("_bucket")
-    edges = edges.select(
-        "_key", "_bucket", "first",
-        F.coalesce(F.col("first") - F.lag("last").over(by_time) > ttl, F.lit(True)).alias("first_starts"),
-        F.lead("first").over(by_time).alias("next_first"),
-        F.coalesce(F.lead("first").over(by_time) - F.col("last") > ttl, F.lit(False)).alias("next_first_starts"),
-    )
-    # Events and probes (event + ttl) side by side; backwards in time a running "last event seen" is the successor.
-    event = times.select("_key", F.col("_at").alias("t"), F.lit(0).alias("probe"), F.col("_at").alias("event"), "_at")
-    probe = times.select("_key", (F.col("_at") + ttl).alias("t"), F.lit(1).alias("probe"), F.lit(None).cast("bigint").alias("event"), "_at")
-    both = event.unionByName(probe).withColumn("_bucket", bucket_of("t"))
-    backwards = Window.partitionBy("_key", "_bucket").orderBy(F.desc("t"), F.desc("probe"))
-    found = both.withColumn("same", F.last("event", True).over(backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    found = found.where("probe = 1").select("_key", "_at", F.col("_bucket").alias("probe_bucket"), "same")
-
-    # The probe's bucket holds no later event: the first event of the next bucket that holds any.
-    out = found.withColumn("_bucket", bucket_of("_at")).join(edges, ["_key", "_bucket"]).select(
-        "_key", "_at", "same", "probe_bucket",
-        (F.col("first_starts") & (F.col("_at") == F.col("first"))).alias("starts"), "next_first",
-    )
-    probed = edges.select(
-        "_key", F.col("_bucket").alias("probe_bucket"), F.col("first").alias("p_first"), F.col("first_starts").alias("p_starts"),
-        F.col("next_first").alias("after_first"), F.col("next_first_starts").alias("after_starts"),
-    )
-    out = out.join(probed, ["_key", "probe_bucket"], "left")
-    has_bucket = F.col("p_first").isNotNull()
-    next_at = F.coalesce("same", F.when(has_bucket, F.col("after_first")).otherwise(F.col("next_first")))
-    next_starts = (
-        F.when(F.col("same").isNotNull(), F.col("p_starts") & (F.col("same") == F.col("p_first")))
-        .when(has_bucket, F.col("after_starts"))
-        .otherwise(F.lit(True))
-    )
-    return out.select("_key", "_at", "starts", next_at.alias("next_at"), F.coalesce(next_starts, F.lit(False)).alias("next_starts"))
+def _linked(times: DataFrame, ttl: int, work: Workspace) -> DataFrame:
+    """Each time twice, as an event and as a probe ``ttl`` later: the last event of its request before it, and for a probe the first one after it.
+
+    Events and probes are put in order by ranges of request and time, so a request with a third of all responses is cut into many. Neighbours are
+    looked for inside a range; only the first and the last event of a range are carried over to its neighbours.
+    """
+    event = times.select("_key", F.col("_at").alias("t"), F.lit(False).alias("probe"), "_at")
+    # an event at the very time of a probe comes before it: it is within the limit
+    probe = times.select("_key", (F.col("_at") + ttl).alias("t"), F.lit(True).alias("probe"), "_at")
+    order = ["_key", "t", "probe"]
+    ranged = event.unionByName(probe).repartitionByRange(*order)
+    ranged, _ = work.materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+
+    happened = F.when(~F.col("probe"), F.struct("_key", "_at"))
+    ends = ranged.groupBy("_range").agg(F.min(happened).alias("first"), F.max(happened).alias("last"))
+    # one row per range
+    along = Window.orderBy("_range")
+    carried, _ = work.materialize(ends.select(
+        "_range", F.last("last", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("carried_before"),
+        F.last("first", True).over(Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("carried_after"),
+    ), "carried")
+    forwards, backwards = Window.partitionBy("_range").orderBy(*order), Window.partitionBy("_range").orderBy(*[F.desc(c) for c in order])
+    inside = ranged.withColumn("before", F.last(happened, True).over(forwards.rowsBetween(Window.unboundedPreceding, -1)))
+    inside = inside.withColumn("after", F.last(happened, True).over(backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = inside.join(carried, "_range").withColumns({"before": F.coalesce("before", "carried_before"), "after": F.coalesce("after", "carried_after")})
+
+    def of_request(name: str) -> Column:
+        return F.when(F.col(f"{name}._key") == F.col("_key"), F.col(f"{name}._at")).alias(name)
+
+    return found.select("_key", "_at", "probe", of_request("before"), of_request("after"))

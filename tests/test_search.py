@@ -130,6 +130,74 @@ def check_batch(spark, placed):
         assert {i for k, i in got if k == n} == expected(placed, s), s
 
 
+def test_times_without_boxes_meet_in_buckets(spark):
+    """Instants and spans of all lengths against searches of all lengths, open ends among them; the plan joins on buckets of time."""
+    rng = random.Random(8)
+    start = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+
+    def span(longest):
+        a = start + dt.timedelta(minutes=rng.randint(0, 3_000_000))
+        return a, a + dt.timedelta(minutes=rng.choice([0, rng.randint(0, 30), rng.randint(0, longest)]))
+
+    text = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    rows, items = [], {}
+    for i in range(500):
+        a, b = span(500_000)
+        items[f"i{i}"] = (rng.choice("ab"), a, b)
+        rows.append((items[f"i{i}"][0], f"i{i}", None, None, text(a) if a == b else None, None if a == b else text(a), None if a == b else text(b)))
+    rows.append(("a", "never", None, None, None, None, None))
+    searches, asked = [], []
+    for n in range(60):
+        a, b = span(2_000_000)
+        a, b = (None, b) if n % 9 == 0 else (a, None) if n % 9 == 1 else (a, b)
+        named = ["a"] if n % 3 == 0 else []
+        searches.append((n, named, None, f"{text(a) if a else '..'}/{text(b) if b else '..'}", None, None))
+        asked.append((n, named, a, b))
+    # a wide box and a time: by time as well
+    found = sky.search_batch(make_items(spark, rows), spark.createDataFrame(searches, BATCH).drop("max_items"))
+    got = [(r["search_id"], r["id"]) for r in found.collect()]
+    wanted = {(n, i) for n, named, a, b in asked for i, (c, first, last) in items.items() if (not named or c in named) and (b is None or first <= b) and (a is None or last >= a)}
+    assert len(got) == len(set(got)) and set(got) == wanted
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan and "_cx" not in plan
+
+
+def test_crowded_cells_are_split(spark):
+    """Three items of ten lie in a town; its cell is split, no node keeps more small items than allowed, and no pair is lost or found twice."""
+    rng = random.Random(9)
+    boxes = {}
+    for i in range(900):
+        if i % 10 < 3:
+            x, y, size = 11 + rng.random() / 4, 48 + rng.random() / 4, rng.choice([0.0, 0.001, 0.01])
+        else:
+            x, y, size = rng.uniform(-180, 170), rng.uniform(-90, 80), rng.choice([0.0, 0.3, 1.0, 9.0])
+        boxes[f"i{i}"] = (x, y, x + size, y + size)
+    boxes |= {f"big{i}": (10.5 + i / 100, 47.5, 12.0, 49.0) for i in range(5)} | {"edge": (179.9, 89.9, 180.0, 90.0)}
+    asked = {n: (x, y, x + s, y + s) for n, (x, y, s) in enumerate([(rng.uniform(10.5, 11.5), rng.uniform(47.5, 48.5), rng.choice([0.0, 0.01, 0.1, 1.0, 5.0])) for _ in range(60)])}
+    asked[100], asked[101] = (-180.0, -90.0, 180.0, 90.0), (170.0, 80.0, 190.0, 95.0)
+    items = make_items(spark, [("a", k, None, b, None, None, None) for k, b in boxes.items()])
+    searches = spark.createDataFrame([(n, list(b)) for n, b in asked.items()], "search_id int, bbox array<double>")
+    wanted = {(n, k) for n, q in asked.items() for k, b in boxes.items() if b[0] <= q[2] and b[2] >= q[0] and b[1] <= q[3] and b[3] >= q[1]}
+    for crowded in (8, None):
+        got = [(r["search_id"], r["id"]) for r in sky.search_batch(items, searches, crowded=crowded).collect()]
+        assert len(got) == len(set(got)) and set(got) == wanted, crowded
+
+
+def test_nodes_hold_few_items(spark):
+    from skyledger.operators import meeting, search
+    from skyledger.workspace import Workspace
+
+    rng = random.Random(10)
+    points = [(0, 0, 191, 138, (11 + rng.random() / 50, 48 + rng.random() / 50), 20) for _ in range(600)]
+    rows = [(level, depth, nx, ny, (x, y, x, y), deep) for level, depth, nx, ny, (x, y), deep in points]
+    placed = spark.createDataFrame(rows, "_level int, _depth int, _nx bigint, _ny bigint, box struct<minx:double,miny:double,maxx:double,maxy:double>, deep int")
+    nodes = meeting.crowded_nodes(placed, "box", "deep", search._size_of, 20, Workspace(spark))
+    assert nodes.agg(F.max("_depth")).first()[0] > 6  # down to a hundredth of a degree
+    ended = meeting.items_in_nodes(placed, nodes, "box", "deep", search._size_of)
+    counts = [r["count"] for r in ended.groupBy(*meeting.NODE).count().collect()]
+    assert sum(counts) >= 600 and max(counts) <= 20
+
+
 BATCH = "search_id int, collections array<string>, ids array<string>, datetime string, intersects string, max_items int"
 
 
