@@ -87,6 +87,38 @@ def scan_documents(spark, sf_dir):
     return files.select(F.regexp_extract("doc_uri", r"(name=[^/]+)", 1).alias("folder"), "kind", F.when(features.isNotNull(), F.size(features)).cast("bigint").alias("n_features"))
 
 
+@query("s1_read_catalog", """
+    SELECT 'repeats' AS catalog, 'n' || c_nationkey AS collection, 'g-' || c_custkey AS id, c_mktsegment AS segment FROM customer""")
+def read_catalog(spark, sf_dir):
+    """Set G as files: the root in a folder of its own, its collections in the one beside it, where a file that nothing links to isn't JSON."""
+    root = f"{Workspace(spark).root}/catalogs"
+    folder = root if "://" in root else f"file://{root}"
+    documents = landed(spark, sf_dir, "repeats")
+    top = F.col("doc_uri") == REPEATS
+    moved = documents.select(
+        F.when(top, "start/catalog.json").otherwise(F.substring("doc_uri", len("mem:/") + 1, 1000)).alias("name"),
+        F.when(top, F.replace("body", F.lit('"href":"n'), F.lit('"href":"../g/n'))).otherwise(F.col("body")).alias("body"),
+    ).unionByName(spark.createDataFrame([("g/unlinked.json", "no JSON")], "name string, body string"))
+
+    def write(rows):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        made = set()
+        for row in rows:
+            path = f"{base}/{row['name']}"
+            above = path.rpartition("/")[0]
+            if above not in made:
+                store.create_dir(above)
+                made.add(above)
+            with store.open_output_stream(path) as out:
+                out.write(row["body"].encode())
+
+    moved.foreachPartition(write)
+    items = sky.read_catalog(spark, f"{folder}/start/catalog.json", schema=T.StructType([T.StructField("g:plain", T.StringType())]), fixed=["catalog", "collection", "id"])
+    return items.select("catalog", "collection", "id", F.col("`g:plain`").alias("segment"))
+
+
 def _responses(spark, sf_dir):
     path, _ = Workspace(spark).write(sets.responses(spark, sf_dir), "responses")
     return sky.read_responses(spark, path)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from skyledger.operators.crawl import Closure, attach, features_of
 from skyledger.operators.items import finish_items, pick_columns, pick_fixed, shape_features
 from skyledger.operators.schema import infer_schema, property_fields
-from skyledger.sources.documents import read_documents
+from skyledger.sources.linked import linked_documents
 
 
 def read(
@@ -36,7 +36,7 @@ def read(
 
 
 def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
-    """The item table of the catalog whose root document is the JSON file ``path``; its documents lie in the folder below.
+    """The item table of the catalog whose root document is the JSON file ``path``. Only files that links lead to are read, whatever their folder.
 
     An address that is no JSON file is an endpoint: land its responses and pass ``response_documents`` to ``read``.
     """
@@ -44,10 +44,10 @@ def read_catalog(spark: SparkSession, path: str, **options) -> DataFrame:
         raise ValueError("the address of the root document is empty")
     if not path.lower().endswith((".json", ".geojson")):
         raise ValueError(f"'{path}' is an endpoint, land its responses first")
-    documents = read_documents(spark, path.rpartition("/")[0] or ".")
     file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     full = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(file).toString()
     root = re.sub("^file:/+", "file:///", full)
+    documents = linked_documents(spark, root)
     if documents.where(F.col("doc_uri") == root).first() is None:
         raise FileNotFoundError(f"no document '{path}'")
     return read(documents, root, **options)

@@ -210,6 +210,34 @@ def test_read_catalog_opens_the_file_it_was_given(spark, tmp_path):
         sky.read_catalog(spark, str(folder / "catalog.json"))
 
 
+def test_only_linked_files_are_read(spark, tmp_path):
+    """Links lead out of the root's folder and in circles; a file that nothing links to isn't opened; missing files are reported by the closure."""
+    from skyledger.sources.linked import linked_documents
+
+    def put(name, value):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(value if isinstance(value, str) else json.dumps(value))
+
+    up = {"rel": "parent", "href": "../a/catalog.json"}
+    put("a/catalog.json", {"type": "Catalog", "id": "a", "links": [{"rel": "child", "href": "../b/c.json"}, {"rel": "child", "href": "https://h/x.json"}, {"rel": "self", "href": "other.json"}]})
+    put("a/other.json", "no JSON")
+    put("b/c.json", {"type": "Collection", "id": "c", "links": [up, {"rel": "child", "href": "../a/catalog.json"}, {"rel": "item", "href": "x [1]/{i}.json"}, {"rel": "item", "href": "../d/j.json"}, {"rel": "items", "href": "p0.json"}]})
+    put("b/x [1]/{i}.json", feature("i"))
+    put("b/p0.json", {"type": "FeatureCollection", "features": [feature("k")], "links": [{"rel": "next", "href": "p1.json"}]})
+    put("b/p1.json", {"type": "FeatureCollection", "features": [feature("l")], "links": []})
+    root = f"file://{tmp_path}/a/catalog.json"
+    for at_once in (1, 100):
+        got = linked_documents(spark, root, at_once)
+        assert sorted(r["doc_uri"].removeprefix(f"file://{tmp_path}/") for r in got.collect()) == ["a/catalog.json", "b/c.json", "b/p0.json", "b/p1.json", "b/x [1]/{i}.json"]
+    with pytest.raises(FileNotFoundError, match="d/j.json"):
+        sky.read_catalog(spark, root, on_missing="fail")
+    put("d/j.json", feature("j"))
+    put("a/catalog.json", {"type": "Catalog", "id": "a", "links": [{"rel": "child", "href": "../b/c.json"}]})
+    items = sky.read_catalog(spark, root)
+    assert sorted((r["catalog"], r["collection"], r["id"]) for r in items.collect()) == [("a", "c", i) for i in "ijkl"]
+
+
 def test_no_geometry_where_none_is_asked_for(spark, documents):
     docs = documents({"mem:/c.json": {"type": "Catalog", "id": "c", "links": [{"rel": "item", "href": "a.json"}]}, "mem:/a.json": feature("a")})
     schema = sky.infer_schema(sky.crawl(docs, "mem:/c.json"))
