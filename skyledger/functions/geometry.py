@@ -8,6 +8,7 @@ deepen the matcher's stack.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
@@ -429,15 +430,16 @@ def _segments_meet(p: Column, q: Column) -> Column:
     return boxes & (p_ends <= 0) & (q_ends <= 0)
 
 
-def _inside(polygons: Column, v: Column) -> Column:
-    """Even-odd test against each polygon, holes included. Points on a boundary are met by the segment test."""
+def _crosses(e: Column, v: Column) -> Column:
+    """Whether the ray from a point to the right crosses an edge."""
+    spans = (e["y1"] > v["y"]) != (e["y2"] > v["y"])
+    at = (e["x2"] - e["x1"]) * F.try_divide(v["y"] - e["y1"], e["y2"] - e["y1"]) + e["x1"]
+    return spans & (v["x"] < at)
 
-    def crosses(e):
-        spans = (e["y1"] > v["y"]) != (e["y2"] > v["y"])
-        at = (e["x2"] - e["x1"]) * F.try_divide(v["y"] - e["y1"], e["y2"] - e["y1"]) + e["x1"]
-        return spans & (v["x"] < at)
 
-    return F.exists(polygons, lambda p: F.size(F.filter(p, crosses)) % 2 == 1)
+def _inside(polygons: Column, v: Column) -> Column:
+    """Even-odd test against each polygon, holes included. Points on a boundary are met by the segment test."""
+    return F.exists(polygons, lambda p: F.size(F.filter(p, lambda e: _crosses(e, v))) % 2 == 1)
 
 
 def _near(segments: Column, others: Column) -> Column:
@@ -469,19 +471,95 @@ def geom_intersects(a: Column, b: Column) -> Column:
     return met | a_in_b | b_in_a
 
 
-def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float, float, float, float] | None]:
-    """A search geometry parsed once, as a literal shape and its extent. Raises ValueError for text that is no geometry."""
+def _parsed(spark: SparkSession, wkt: Column) -> tuple[str, dict, tuple[float, float, float, float] | None]:
+    """A search geometry parsed once: its shape as JSON text and as objects, and its extent. Raises ValueError for text that is no geometry."""
     given = spark.range(1).select(wkt.alias("wkt"))
     row = given.select("wkt", geojson_of_wkt(F.col("wkt")).isNotNull().alias("ok"), F.to_json(shape_of_wkt(F.col("wkt"))).alias("s")).first()
     if not row["ok"]:
         raise ValueError(f"not a WKT geometry: {row['wkt']}")
     shape = json.loads(row["s"])
-
-    # one text in the plan, which Spark folds to a value, however many vertices there are
-    literal = F.from_json(F.lit(row["s"]), SHAPE)
     xs = [x for s in shape["segments"] for x in (s["x1"], s["x2"])]
     ys = [y for s in shape["segments"] for y in (s["y1"], s["y2"])]
-    return literal, ((min(xs), min(ys), max(xs), max(ys)) if xs else None)
+    return row["s"], shape, ((min(xs), min(ys), max(xs), max(ys)) if xs else None)
+
+
+def shape_literal(spark: SparkSession, wkt: Column) -> tuple[Column, tuple[float, float, float, float] | None]:
+    """A search geometry as a literal shape and its extent. Raises ValueError for text that is no geometry."""
+    text, _, extent = _parsed(spark, wkt)
+    # one text in the plan, which Spark folds to a value, however many vertices there are
+    return F.from_json(F.lit(text), SHAPE), extent
+
+
+# -- a search geometry of many edges -------------------------------------------------------------------------------------
+
+#: edges from which on a search geometry is cut into bands; edges in a band on average, and entries in all bands for each edge at most
+MANY_EDGES, IN_BAND, ENTRIES = 64, 8, 4
+BANDS = "struct<bands:array<array<struct<x1:double,y1:double,x2:double,y2:double,polygon:int>>>,parts:array<array<struct<x:double,y:double>>>>"
+
+
+def _cut_bands(shape: dict, low: float, high: float) -> tuple[float, int, dict]:
+    """Height and number of bands of equal height, and the edges and first vertices of parts in each. An edge is in all bands that it touches; where long ones would
+    come too often, bands are fewer."""
+    edges = [(e, k) for k, polygon in enumerate(shape["polygons"]) for e in polygon]
+    edges += [(e, -1) for e in shape["segments"][: len(shape["segments"]) - len(edges)]]
+    n = max(1, len(edges) // IN_BAND) if high > low else 1
+    while True:
+        height = (high - low) / n if high > low else 1.0
+
+        def band(y: float) -> int:
+            return min(max(math.floor((y - low) / height), 0), n - 1)
+
+        spans = [(band(min(e["y1"], e["y2"])), band(max(e["y1"], e["y2"]))) for e, _ in edges]
+        if n == 1 or sum(b - a + 1 for a, b in spans) <= ENTRIES * len(edges):
+            break
+        n //= 2
+    bands: list[list] = [[] for _ in range(n)]
+    for (first, last), (e, polygon) in zip(spans, edges):
+        for k in range(first, last + 1):
+            bands[k].append(e | {"polygon": polygon})
+    parts: list[list] = [[] for _ in range(n)]
+    for v in shape["vertices"]:
+        parts[band(v["y"])].append(v)
+    return height, n, {"bands": bands, "parts": parts}
+
+
+def shape_test(spark: SparkSession, wkt: Column) -> tuple[Callable[[Column], Column], tuple[float, float, float, float] | None]:
+    """The test of shapes against a search geometry, and its extent. Raises ValueError for text that is no geometry.
+
+    A geometry of many edges is cut into bands once; a vertex of a shape then looks at the edges of its band only, and an edge at those of the bands
+    that it touches.
+    """
+    text, shape, extent = _parsed(spark, wkt)
+    if len(shape["segments"]) < MANY_EDGES:
+        return lambda given: geom_intersects(given, F.from_json(F.lit(text), SHAPE)), extent
+    low = extent[1]
+    height, n, cut = _cut_bands(shape, low, extent[3])
+    literal = F.from_json(F.lit(json.dumps(cut)), BANDS)
+
+    def band(y: Column) -> Column:
+        return F.least(F.greatest(F.floor((y - F.lit(low)) / F.lit(height)), F.lit(0)), F.lit(n - 1)).cast("int")
+
+    def between(rows: Column, first: Column, last: Column) -> Column:
+        return F.slice(rows, band(first) + 1, band(last) - band(first) + 1)
+
+    def meets(given: Column) -> Column:
+        def edge_meets(p: Column) -> Column:
+            near = between(literal["bands"], F.least(p["y1"], p["y2"]), F.greatest(p["y1"], p["y2"]))
+            return F.exists(near, lambda edges: F.exists(edges, lambda q: _segments_meet(p, q)))
+
+        def vertex_inside(v: Column) -> Column:
+            crossed = F.filter(F.get(literal["bands"], band(v["y"])), lambda e: (e["polygon"] >= 0) & _crosses(e, v))
+            return let(F.transform(crossed, lambda e: e["polygon"]), lambda ids: F.exists(ids, lambda k: F.size(F.filter(ids, lambda i: i == k)) % 2 == 1))
+
+        def part_inside(polygon: Column) -> Column:
+            ys = F.transform(polygon, lambda e: e["y1"])
+            near = F.flatten(between(literal["parts"], F.array_min(ys), F.array_max(ys)))
+            return F.exists(near, lambda v: F.size(F.filter(polygon, lambda e: _crosses(e, v))) % 2 == 1)
+
+        polygons = F.filter(given["polygons"], lambda p: F.size(p) > 0)
+        return F.exists(given["segments"], edge_meets) | F.exists(given["vertices"], vertex_inside) | F.exists(polygons, part_inside)
+
+    return meets, extent
 
 
 def parse_envelope(bbox) -> tuple[float, float, float, float]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.columns import once
 from skyledger.functions.geometry import (
-    bbox_overlaps, envelope_wkt, geojson_of_wkt, geom_intersects, parse_envelope, shape_literal, shape_of_wkt,
+    bbox_overlaps, envelope_wkt, geojson_of_wkt, geom_intersects, parse_envelope, shape_of_wkt, shape_test,
 )
 from skyledger.operators.meeting import (
     TIME_SIZES, crowded_nodes, deepest_node, items_by_time, items_in_nodes, meet_in_nodes, meet_in_time, searches_by_time, searches_in_nodes, span_of, time_level,
@@ -118,17 +119,17 @@ def _box_prefilter(box: tuple[float, float, float, float], names: list[str]) ->
     return (inside | F.col("crosses_antimeridian")) & exact if "crosses_antimeridian" in names else exact
 
 
-def _footprint_meets(shape: Column) -> Column:
+def _footprint_meets(test: Callable[[Column], Column]) -> Column:
     # an item without a footprint is judged by its box alone
-    return F.when(F.col("geometry").isNull(), True).otherwise(geom_intersects(shape_of_wkt(F.col("geometry")), shape))
+    return F.when(F.col("geometry").isNull(), True).otherwise(test(shape_of_wkt(F.col("geometry"))))
 
 
 def _geometry_conditions(items: DataFrame, wkt: Column) -> tuple[Column, Column]:
     """(box test, footprint test) for a search geometry."""
-    shape, extent = shape_literal(items.sparkSession, wkt)
+    test, extent = shape_test(items.sparkSession, wkt)
     if extent is None:
         return F.lit(False), F.lit(False)
-    return _box_prefilter(extent, items.columns), _footprint_meets(shape)
+    return _box_prefilter(extent, items.columns), _footprint_meets(test)
 
 
 # -- one search --------------------------------------------------------------------------------------------------------

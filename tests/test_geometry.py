@@ -172,6 +172,46 @@ def test_bbox_overlap_across_the_antimeridian(spark):
     assert df.where(geo.bbox_overlaps(F.col("a"), F.col("b")) != F.col("expected")).collect() == []
 
 
+def star(rng, x, y, size, n, jagged=0.4):
+    """A ring of n points around a place, jagged."""
+    import math
+
+    far = [size * rng.uniform(1 - jagged, 1) for _ in range(n)]
+    ring = [(round(x + r * math.cos(k / n * math.tau), 4), round(y + r * math.sin(k / n * math.tau), 4)) for k, r in enumerate(far)]
+    return "(" + ", ".join(f"{a} {b}" for a, b in [*ring, ring[0]]) + ")"
+
+
+def test_bands_agree_with_all_edges(spark):
+    """Geometries of many edges, with holes, parts, overlapping polygons, lines and points, against the plain test of shapes."""
+    rng = random.Random(6)
+    comb = "(" + ", ".join(f"{k / 10} {(k % 2) * 20}" for k in range(200)) + ", 20 -1, 0 -1, 0 0)"
+    large = [
+        f"POLYGON ({star(rng, 0, 0, 20, 400)}, {star(rng, 0, 0, 6, 90)})",
+        f"MULTIPOLYGON (({star(rng, 0, 0, 10, 100)}), ({star(rng, 5, 5, 10, 80)}), ({star(rng, -12, 8, 1, 30)}))",
+        f"GEOMETRYCOLLECTION (LINESTRING {star(rng, 2, 2, 9, 300)}, POINT (15 15), POLYGON ({star(rng, -9, -9, 3, 20)}))",
+        f"POLYGON ({comb})", "LINESTRING (" + ", ".join(f"{k / 7} 3" for k in range(-99, 99)) + ")",
+        "MULTIPOINT (" + ", ".join(f"{k % 13} {k % 7}" for k in range(100)) + ")",
+    ]
+    small = [f"POINT ({rng.randint(-44, 44) / 2} {rng.randint(-44, 44) / 2})" for _ in range(80)] + [f"POINT ({k % 13} {k % 7})" for k in range(5)]
+    small += [f"POLYGON ({star(rng, rng.uniform(-25, 25), rng.uniform(-25, 25), rng.choice([0.1, 1, 5, 40]), 5)})" for _ in range(80)]
+    small += ["LINESTRING (-50 0, 50 0)", "POLYGON ((-90 -90, 90 -90, 90 90, -90 90, -90 -90))", "POINT EMPTY", "MULTIPOLYGON (((14 14, 16 14, 16 16, 14 16, 14 14)))"]
+    df = spark.createDataFrame([(w,) for w in small], "w string").select("w", geo.shape_of_wkt(F.col("w")).alias("s")).cache()
+    for wkt in large:
+        test, extent = geo.shape_test(spark, F.lit(wkt))
+        plain, same = geo.shape_literal(spark, F.lit(wkt))
+        rows = df.select("w", test(F.col("s")).alias("got"), geo.geom_intersects(F.col("s"), plain).alias("expected")).collect()
+        assert extent == same and [r["w"] for r in rows if r["got"] != r["expected"]] == [], wkt[:40]
+        assert len({r["expected"] for r in rows}) == 2
+
+
+def test_bands_hold_few_edges(spark):
+    for n in (500, 50_000):
+        _, shape, extent = geo._parsed(spark, F.lit(f"POLYGON ({star(random.Random(7), 0, 0, 50, n, 1 / n)})"))
+        _, bands, cut = geo._cut_bands(shape, extent[1], extent[3])
+        # what a point looks at does not grow with the number of edges
+        assert sum(len(b) for b in cut["bands"]) <= geo.ENTRIES * n and sum(len(b) for b in cut["bands"]) / bands < 150
+
+
 def test_a_long_coastline_plans_at_once(spark):
     import math
     import time
