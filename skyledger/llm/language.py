@@ -19,13 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import slices
+from skyledger.llm.workers import give_back
 
 #: n-grams in a profile
 PROFILE = 400
 #: bound of the model that goes to every task: languages times PROFILE n-grams. More languages are an error.
 MOST_LANGUAGES = 1000
 #: code points counted at a time
-PIECE = 1 << 19
+PIECE = 1 << 18
+#: bytes of text counted together; a byte takes up to 40 bytes of a worker's memory
+SLICE = 1 << 20
 BLANK = 32
 UNKNOWN = "und"
 
@@ -125,7 +128,7 @@ def learn_profiles(docs: DataFrame, learn: Column | None = None, text_column: st
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 texts, languages = part.column(0).to_pylist(), part.column(1).to_pylist()
                 by_language: dict[str, list[np.ndarray]] = {}
                 for text, language in zip(texts, languages):
@@ -135,6 +138,7 @@ def learn_profiles(docs: DataFrame, learn: Column | None = None, text_column: st
                     found[language] = _merge([found[language], counted]) if language in found else counted
         for language, (keys, counts) in found.items():
             yield pa.RecordBatch.from_pydict({"lang": pa.array([language] * len(keys), pa.string()), "gram": keys.view(np.int64), "n": counts.astype(np.int64)})
+        give_back()
 
     counted = rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
@@ -164,6 +168,35 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_column: str =
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], predict(F.col(f"`{text_column}`").cast("string")).alias(into))
 
 
+#: share of a language's own texts of some length whose scores are below the mark, and the part of that mark that a text must exceed
+LOW_SHARE, MARGIN = 0.01, 0.5
+
+
+def text_size(text: Column) -> Column:
+    """Length class of a text: texts of one class are at most twice as long as each other."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def score_floors(found: DataFrame, lang_column: str = "lang", text_column: str = "text", into: str = "language") -> DataFrame:
+    """(language, size, floor) of documents with the result of ``identify``: what a text must exceed to be in a language.
+
+    How well a text fits its own language depends on its length and on how many characters the script has, so it is measured on all documents whose given
+    language is the one found: MARGIN of the score that LOW_SHARE of them don't reach. At most 32 rows for each of MOST_LANGUAGES languages.
+    """
+    own = found.where(F.col(f"`{lang_column}`").cast("string") == F.col(f"`{into}`.language"))
+    rows = own.groupBy(F.col(f"`{into}`.language").alias("language"), text_size(F.col(f"`{text_column}`").cast("string")).alias("size"))
+    return rows.agg((F.percentile_approx(F.col(f"`{into}`.score"), LOW_SHARE, 1000) * MARGIN).alias("floor"))
+
+
+def in_a_language(found: DataFrame, floors: DataFrame, text_column: str = "text", into: str = "language") -> DataFrame:
+    """The documents that are in the language found: their score is above the floor of language and length, or above 0 where no such text has taught one. Texts of no language go."""
+    marks = floors.withColumnsRenamed({"language": "_floor_of", "size": "_floor_size", "floor": "_floor"})
+    size = text_size(F.col(f"`{text_column}`").cast("string"))
+    held = found.join(F.broadcast(marks), (F.col(f"`{into}`.language") == F.col("_floor_of")) & (size == F.col("_floor_size")), "left")
+    kept = held.where((F.col(f"`{into}`.language") != UNKNOWN) & (F.col(f"`{into}`.score") > F.coalesce("_floor", F.lit(0.0))))
+    return kept.drop("_floor_of", "_floor_size", "_floor")
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """CRC-32 of an id as text, modulo n; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % n, F.lit(0).cast("bigint"))
