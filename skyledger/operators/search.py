@@ -7,6 +7,7 @@ import re
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +133,23 @@ def _geometry_conditions(items: DataFrame, wkt: Column) -> tuple[Column, Column]
     return _box_prefilter(extent, items.columns), _footprint_meets(test)
 
 
+# -- lists ---------------------------------------------------------------------------------------------------------------
+
+#: values of a list that a plan spells out; a longer list is written and joined
+LONG_LIST = 1000
+
+
+def _listed(items: DataFrame, name: str, values: list[str]) -> DataFrame:
+    """Items whose column is in a long list. Its ends reach the scan of a stored table; the rest is a semi join with a written table, for which Spark may
+    send the list to the items, or a Bloom filter of it."""
+    known = [v for v in values if v is not None]
+    table = items.sparkSession.createDataFrame(pa.table({"_wanted": pa.array(known, pa.string())}))
+    wanted, _ = Workspace(items.sparkSession).materialize(table, "list")
+    # byte order of UTF-8 is code point order
+    ends = F.col(name).between(F.lit(min(known, default="")), F.lit(max(known, default="")))
+    return items.where(ends).join(wanted, F.col(name) == F.col("_wanted"), "left_semi")
+
+
 # -- one search --------------------------------------------------------------------------------------------------------
 
 
@@ -148,8 +166,11 @@ def search(
     conditions = []
     result = items
     for name, values in (("collection", collections), ("id", ids)):
-        if values:
-            conditions.append(F.col(name).isin(list(dict.fromkeys(values))))
+        wanted = list(dict.fromkeys(values or []))
+        if len(wanted) > LONG_LIST:
+            result = _listed(result, name, wanted)
+        elif wanted:
+            conditions.append(F.col(name).isin(wanted))
     if datetime:
         conditions.append(_datetime_condition(items.columns, datetime))
     exact = []

@@ -50,6 +50,12 @@ def quoted(c: Column) -> Column:
     return text('"', c, '"')
 
 
+def json_text(c: Column) -> Column:
+    """A string as JSON with its escapes."""
+    listed = F.to_json(F.array(c))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+
 def position(k: Column) -> tuple[Column, Column]:
     lon = (k % 359).cast("double") - F.lit(179.5)
     lat = (F.floor(k / 7) % 169).cast("double") - F.lit(84.75)
@@ -351,7 +357,9 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A root catalog with a collection for each nation and an item for each customer; links, properties, nested values and assets repeat keys, of which the last counts."""
     customer = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    properties = text('"g:twice":"first","g:twice":', num(k), ',"g:nested":{"k":1,"k":', num(k), '},"g:plain":', quoted(F.col("c_mktsegment")))
+    # quotes, a backslash, blanks, a line end and letters outside ASCII
+    plain = F.concat(F.lit(' "'), F.col("c_mktsegment"), F.lit('" \\ ü\n'), num(k % 7), F.lit(" 漢"))
+    properties = text('"g:twice":"first","g:twice":', num(k), ',"g:nested":{"k":1,"k":', num(k), '},"g:plain":', json_text(plain))
     assets = text('{"a":{"href":"old"},"a":{"href":"x","href":"a-', num(k), '"},"b":{"href":"b"}}')
     links = F.lit('[{"rel":"self","rel":"self","href":"x"}]')
     items = customer.select(

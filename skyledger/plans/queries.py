@@ -46,6 +46,10 @@ _PLACED = f"""placed AS (
 _EVENTS = f"""ev AS (SELECT e.*, 'ev-' || event_id AS id, event_id // {sets.PAGE} AS p, {_BOX.format(k="event_id")} FROM events e)"""
 
 
+# a string of set G that needs escapes in JSON
+_PLAIN = "' \"' || c_mktsegment || '\" \\ ü' || chr(10) || (c_custkey % 7) || ' 漢'"
+
+
 def query(name: str, oracle: str | None):
     def register(build):
         QUERIES[name] = build
@@ -87,8 +91,8 @@ def scan_documents(spark, sf_dir):
     return files.select(F.regexp_extract("doc_uri", r"(name=[^/]+)", 1).alias("folder"), "kind", F.when(features.isNotNull(), F.size(features)).cast("bigint").alias("n_features"))
 
 
-@query("s1_read_catalog", """
-    SELECT 'repeats' AS catalog, 'n' || c_nationkey AS collection, 'g-' || c_custkey AS id, c_mktsegment AS segment FROM customer""")
+@query("s1_read_catalog", f"""
+    SELECT 'repeats' AS catalog, 'n' || c_nationkey AS collection, 'g-' || c_custkey AS id, {_PLAIN} AS segment FROM customer""")
 def read_catalog(spark, sf_dir):
     """Set G as files: the root in a folder of its own, its collections in the one beside it, where a file that nothing links to isn't JSON."""
     root = f"{Workspace(spark).root}/catalogs"
@@ -337,8 +341,8 @@ def repeated_property_keys(spark, sf_dir):
     return sky.property_types(sky.crawl(landed(spark, sf_dir, "repeats"), REPEATS))
 
 
-@query("p6_repeated_keys", """
-    SELECT 'g-' || c_custkey AS id, c_custkey AS twice, CAST(c_custkey AS VARCHAR) AS nested, c_mktsegment AS plain, 'a-' || c_custkey AS a, 'b' AS b, 2 AS n FROM customer""")
+@query("p6_repeated_keys", f"""
+    SELECT 'g-' || c_custkey AS id, c_custkey AS twice, CAST(c_custkey AS VARCHAR) AS nested, {_PLAIN} AS plain, 'a-' || c_custkey AS a, 'b' AS b, 2 AS n FROM customer""")
 def repeated_asset_keys(spark, sf_dir):
     items = sky.read(landed(spark, sf_dir, "repeats"), REPEATS)
     return items.select(
@@ -585,6 +589,14 @@ def search_ids(spark, sf_dir):
     return found.select("id", F.col("`user:id`").alias("user_id"))
 
 
+# more ids than a plan should spell out
+@query("q2_search_many_ids", f"WITH {_EVENTS} SELECT id, user_id FROM ev WHERE event_id % 3 = 0")
+def search_many_ids(spark, sf_dir):
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    wanted = [f"ev-{k}" for k in range(0, last + 1, 3)] + [f"none-{k}" for k in range(2000)]
+    return sky.search(_event_items(spark, sf_dir), ids=wanted).select("id", F.col("`user:id`").alias("user_id"))
+
+
 @query("q3_search_datetime", f"WITH {_EVENTS} SELECT id FROM ev WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'")
 def search_datetime(spark, sf_dir):
     return sky.search(_event_items(spark, sf_dir), datetime="2024-01-05/2024-01-11").select("id")

@@ -45,11 +45,11 @@ def test_catalog_collection_item(documents):
     docs = documents({
         "/c/catalog.json": {"type": "Catalog", "id": "examples", "links": links(("root", "./catalog.json"), ("child", "./collection.json"), ("self", "./catalog.json"))},
         "/c/collection.json": {"type": "Collection", "id": "other", "links": links(("parent", "./catalog.json"), ("item", "./item.json"), ("license", "https://x/y.pdf"))},
-        "/c/item.json": feature("proj-example", "landsat-8-l1", properties={"proj:code": "EPSG:32614"}, bbox=[148.13933, 59.51584, 152.52758, 60.63437]),
+        "/c/item.json": feature("parcel-17", "harvest-9", properties={"proj:code": "EPSG:25832"}, bbox=[11.25, 46.5, 11.75, 47.125]),
     })
     rows = sky.read(docs, "/c/catalog.json").select("catalog", "collection", "id", "bbox", "`proj:code`").collect()
     assert [(r[0], r[1], r[2], tuple(r[3]), r[4]) for r in rows] == [
-        ("examples", "landsat-8-l1", "proj-example", (148.13933, 59.51584, 152.52758, 60.63437), "EPSG:32614")]
+        ("examples", "harvest-9", "parcel-17", (11.25, 46.5, 11.75, 47.125), "EPSG:25832")]
 
 
 def test_ids_order_pages_and_shared_documents(documents):

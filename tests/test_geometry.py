@@ -47,7 +47,7 @@ def test_invalid_geojson(spark):
 
 
 def test_six_digits_like_a_default_stream(spark):
-    numbers = [-3.0002344509650487, 123456.7891, 0.0000123456789, 99999.96, 1e-7, 0, -0.00012345678, 2500000.0, 42.356331534440834]
+    numbers = [-7.1250345678912345, 123456.7891, 0.0000123456789, 99999.96, 1e-7, 0, -0.00012345678, 2500000.0, 51.234567891234567]
     rows = column(spark, ['{"type":"Point","coordinates":[%r,0]}' % n for n in numbers])
     got = [r["g"] for r in geojson_to_wkt(rows, "g", digits=6).orderBy("i").collect()]
     assert got == [f"POINT ({n:.6g} 0)" for n in numbers]

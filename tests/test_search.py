@@ -242,6 +242,22 @@ def test_search_arguments(spark, placed):
     assert found.count() == 200 and found.columns == items.columns
 
 
+def test_a_million_ids(spark, placed, tmp_path):
+    """A long list is planned at once; its ends reach the scan, the list itself is a join."""
+    import time
+
+    sky.store_items(make_items(spark, placed), str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    ids = [f"i{k}" for k in range(0, 2_000_000, 2)]
+    began = time.time()
+    found = sky.search(items, ids=ids)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - began < 20  # some 2 s on an idle machine
+    assert "GreaterThanOrEqual(id,i0)" in plan and "LeftSemi" in plan and len(plan) < 20_000
+    assert found.columns == items.columns
+    assert {r["id"] for r in found.collect()} == {f"i{k}" for k in range(0, 400, 2)}
+
+
 def test_pages_and_offsets_with_ties(spark):
     rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "same").otherwise(F.format_string("k%04d", "id")).alias("id"))
     paged = order.number_pages(rows, 100).groupBy("page_no").count().orderBy("page_no").collect()
