@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.functions.columns import once
+from skyledger.functions.columns import let, once
 from skyledger.functions.geometry import GEOJSON_PARTS, wkt_of_parts
 from skyledger.functions.json import assets_from_variants, bbox_struct, lenient, links_from_variants, strings_from_variants, text_of
 from skyledger.operators.crawl import inherited
@@ -86,10 +86,13 @@ def require_fields(items_raw: DataFrame, strict: bool = True) -> DataFrame:
     return _raise(parsed.withColumn("_fault", F.when(F.size("missing") > 0, fault))).select(*items_raw.columns)
 
 
-def _raise(rows: DataFrame) -> DataFrame:
+def _error(fault: str) -> Column:
     # the page number comes from the closure: the test stays above its join and spares documents that are not reached
-    text = F.format_string("%s in the feature '%s' of page %s", "_fault", "doc_uri", F.col("page_pos").cast("string"))
-    return rows.where(F.when(F.col("_fault").isNull(), True).otherwise(F.raise_error(text).cast("boolean")))
+    return F.raise_error(F.format_string("%s in the feature '%s' of page %s", fault, "doc_uri", F.col("page_pos").cast("string")))
+
+
+def _raise(rows: DataFrame) -> DataFrame:
+    return rows.where(F.when(F.col("_fault").isNull(), True).otherwise(_error("_fault").cast("boolean")))
 
 
 def promote(schema: T.StructType) -> list[Column]:
@@ -103,21 +106,22 @@ def promote(schema: T.StructType) -> list[Column]:
 
 def shape_features(rows: DataFrame, schema: T.StructType, wkt_digits: int | None = None, geometry: bool = True) -> DataFrame:
     """Add the columns of the item table to features, under neutral names and without raising: ``_own`` (collection), ``_c<name>``
-    for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item.
+    for the fixed columns, ``_p<number>`` for the properties and ``_fault``, why the feature is no valid item. ``_cgeometry`` is a struct of wkt and what is wrong with the geometry.
 
     Without ``geometry`` the footprint is not converted: it must be there, but is NULL in the result and may be invalid."""
     parsed = parse_features(rows, schema)
     wkt = wkt_of_parts(F.col("_f.geometry"), wkt_digits) if geometry else F.lit(None).cast("string")
-    parsed = once(parsed, F.struct(wkt.alias("wkt"), bbox_struct(F.col("_f.bbox")).alias("bbox")), "_g")
+    parsed = once(parsed, bbox_struct(F.col("_f.bbox")), "_b")
     fault = F.concat(F.lit("member '"), F.coalesce(*_missing_names()), F.lit("' is missing"))
-    if geometry:
-        fault = F.coalesce(fault, F.when(F.col("_g.wkt").isNull(), F.concat(F.lit("not a GeoJSON geometry "), F.to_json("_f.geometry"))))
+    # the footprint is a plain column, so that it goes where nothing reads it; what is wrong with it is said where it is read
+    not_one = F.concat(F.lit("not a GeoJSON geometry "), F.to_json("_f.geometry"))
+    footprint = let(wkt, lambda w: F.struct(w.alias("wkt"), F.when(w.isNull() & F.col("feature").isNotNull() & F.lit(geometry), not_one).alias("wrong")))
     return parsed.select(
         *rows.columns,
         text_of(F.col("_f.collection")).alias("_own"),
         text_of(F.col("_f.id")).alias("_cid"),
-        F.col("_g.wkt").alias("_cgeometry"),
-        F.col("_g.bbox").alias("_cbbox"),
+        footprint.alias("_cgeometry"),
+        F.col("_b").alias("_cbbox"),
         strings_from_variants(F.col("_f.stac_extensions")).alias("_cstac_extensions"),
         links_from_variants(F.col("_f.links")).alias("_clinks"),
         assets_from_variants(F.col("_f.assets")).alias("_cassets"),
@@ -141,6 +145,9 @@ def finish_items(shaped: DataFrame, schema: T.StructType, strict: bool = True, k
     columns = dict(inherited(F.col("_own")))
     for name in FIXED_COLUMNS[2:]:
         columns[name] = F.col(f"_c{name}")
+    columns["geometry"] = F.col("_cgeometry.wkt")
+    if strict:
+        columns["geometry"] = F.coalesce(columns["geometry"], F.when(F.col("_cgeometry.wrong").isNotNull(), _error("_cgeometry.wrong").cast("string")))
     if not strict:
         for name, element in (("stac_extensions", "string"), ("links", LINK.simpleString())):
             columns[name] = F.coalesce(columns[name], F.expr(f"cast(array() as array<{element}>)"))
@@ -167,7 +174,7 @@ def items(
     ``columns`` names the property columns to parse, ``fixed`` the fixed columns to give (all by default); ``keep`` names columns of
     ``items_raw`` to carry along. Where ``fixed`` leaves out the geometry, footprints are not converted and not checked beyond their presence.
     A property that is not in the schema is dropped, one that a feature lacks is NULL. ``strict`` raises for features that lack
-    a required member or whose geometry is invalid; otherwise what is absent becomes NULL or an empty list.
+    a required member, and where the geometry is read for those whose geometry is invalid; otherwise what is absent becomes NULL or an empty list.
     """
     schema = pick_columns(schema, columns)
     geometry = "geometry" in pick_fixed(fixed)

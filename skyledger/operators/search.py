@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.columns import once
+from skyledger.functions.columns import let, once
 from skyledger.functions.geometry import (
     bbox_overlaps, envelope_wkt, geojson_of_wkt, geom_intersects, parse_envelope, shape_of_wkt, shape_test,
 )
@@ -122,7 +122,7 @@ def _box_prefilter(box: tuple[float, float, float, float], names: list[str]) ->
 
 def _footprint_meets(test: Callable[[Column], Column]) -> Column:
     # an item without a footprint is judged by its box alone
-    return F.when(F.col("geometry").isNull(), True).otherwise(test(shape_of_wkt(F.col("geometry"))))
+    return let(F.col("geometry"), lambda wkt: F.when(wkt.isNull(), True).otherwise(test(shape_of_wkt(wkt))))
 
 
 def _geometry_conditions(items: DataFrame, wkt: Column) -> tuple[Column, Column]:

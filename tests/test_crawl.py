@@ -245,5 +245,7 @@ def test_no_geometry_where_none_is_asked_for(spark, documents):
     assert "regexp_replace" in plan(sky.read(docs, "mem:/c.json", schema))
     few = sky.read(docs, "mem:/c.json", schema, columns=[], fixed=["id", "collection"])
     assert "regexp_replace" not in plan(few) and few.columns == ["collection", "id"] and few.count() == 1
+    # without being told, too
+    assert "regexp_replace" not in plan(sky.read(docs, "mem:/c.json", schema).select("id", "bbox"))
     with pytest.raises(ValueError, match="no fixed columns"):
         sky.read(docs, "mem:/c.json", schema, fixed=["datetime"])
