@@ -1,7 +1,8 @@
 """Visible text of web pages, laid out as a browser would (operator 10).
 
 A page becomes a tree (implied and forgotten tags, as the HTML standard has them), the tree a sequence of lines: blocks begin on lines of their own with a blank line
-where browsers have a margin, list items are marked, indented and numbered, table cells are aligned in columns. What a browser does not show is left out.
+where browsers have a margin, list items are marked, indented and numbered, table cells are aligned in columns. What a browser does not show on a wide screen is left out; of the page's own style sheets
+rules with selectors of one element count. Of a drawing its text elements are shown, and all of a formula but annotations.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 DECODED = frozenset(("textarea", "title"))
-HIDDEN = frozenset("head script style template title meta link base noscript iframe noembed noframes datalist param source track area audio video canvas object svg math".split())
+HIDDEN = frozenset("head script style template title meta link base noscript iframe noembed noframes datalist param source track area audio video canvas object annotation annotation-xml".split())
+#: what of a drawing is shown as text
+DRAWN = frozenset("text foreignobject".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul xmp caption".split()
 )
@@ -43,9 +46,11 @@ _MARKUP = re.compile(r"<(?=[a-zA-Z!?/])")
 _COMMENT = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?/][^>]*(?:>|\Z)", re.S)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"[.#]?[\w-]+\Z")
+_DECLARED = re.compile(r"(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+_BRACE = re.compile(r"[{};]")
+#: a selector of one element: its name, then ids and classes
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+_UNSEEN = {"display": {"none"}, "visibility": {"hidden", "collapse"}}
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -258,10 +263,81 @@ def _number(value: str | None, default: int) -> int:
     return int(value) if value and re.fullmatch(r"[+-]?\d{1,9}", value.strip()) else default
 
 
-def _unseen(sheets: list[str]) -> set[str]:
-    """Simple selectors that a page's own style sheets hide."""
-    rules = (m for sheet in sheets for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)))
-    return {s.strip() for m in rules if _UNSEEN.search(m[2]) for s in m[1].split(",") if _SIMPLE.match(s.strip())}
+def _on_screen(at_rule: str) -> bool:
+    """Whether a wide screen takes the rules inside an at-rule: media queries for it (of conditions, only least widths), layers and supported features."""
+    name, _, rest = at_rule.strip().lower().partition(" ")
+    if name != "@media":
+        return name in ("@supports", "@layer", "@container", "@scope")
+    for query in rest.split(","):
+        parts = [p.strip() for p in re.split(r"\band\b", query)]
+        if all(p in ("", "all", "screen", "only screen", "only all") or p.startswith("(min-width") for p in parts):
+            return True
+    return False
+
+
+def _sheet_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of a style sheet that count on a screen, in order; blocks may be nested, and what is not ended ends with the sheet."""
+    sheet = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", "", sheet, flags=re.S)
+    above: list[tuple[str, bool]] = []  # the open blocks, and whether rules inside count
+    at, counts = 0, True
+    for brace in [*_BRACE.finditer(sheet), None]:
+        text = sheet[at : brace.start() if brace else len(sheet)]
+        at = brace.end() if brace else len(sheet)
+        if brace is not None and brace[0] == "{":
+            head = text.strip()
+            above.append((head, counts))
+            counts = counts and (not head.startswith("@") or _on_screen(head))
+            continue
+        if counts and above and not above[-1][0].startswith("@") and text.strip():
+            yield above[-1][0], text
+        if brace is not None and brace[0] == "}" and above:
+            counts = above.pop()[1]
+
+
+class Styles:
+    """What a page's own style sheets say of display and visibility, by the cascade: importance, then how telling a selector is, then order. Selectors of one element count (name, ids, classes)."""
+
+    def __init__(self, sheets: list[str]):
+        self.by_key: dict[str, list[tuple]] = {}
+        order = 0
+        for sheet in sheets:
+            for selectors, declared in _sheet_rules(sheet):
+                values = [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _DECLARED.finditer(declared)]
+                for selector in selectors.split(",") if values else ():
+                    found = _COMPOUND.match(selector.strip())
+                    if not found or not selector.strip():
+                        continue
+                    name, marks = (found[1] or "*").lower(), re.findall(r"[.#][\w-]+", found[2])
+                    weight = sum(100 if m[0] == "#" else 10 for m in marks) + (name != "*")
+                    # filed under one of its parts, so that an element looks at few rules
+                    key = marks[-1] if marks else name
+                    for value in values:
+                        order += 1
+                        self.by_key.setdefault(key, []).append((name, frozenset(marks), weight, order, *value))
+
+    def unseen(self, node: Node) -> bool:
+        own = {"#" + node.attrs["id"]} if "id" in node.attrs else set()
+        own |= {"." + c for c in node.attrs.get("class", "").split()}
+        best: dict[str, tuple] = {}
+        for key in (*own, node.tag, "*") if self.by_key else ():
+            for name, marks, weight, order, what, value, important in self.by_key.get(key, ()):
+                if name in ("*", node.tag) and marks <= own:
+                    best[what] = max(best.get(what, (False, -1, -1, "")), (important, weight, order, value))
+        for m in _DECLARED.finditer(node.attrs.get("style", "")):
+            best[m[1].lower()] = max(best.get(m[1].lower(), (False, -1, -1, "")), (bool(m[3]), 1 << 30, m.start(), m[2].lower()))
+        return any(value[3] in _UNSEEN[what] for what, value in best.items())
+
+
+def _drawn(node: Node) -> list[Node]:
+    """The text elements of a drawing, in order."""
+    out, todo = [], [c for c in reversed(node.children) if isinstance(c, Node)]
+    while todo:
+        child = todo.pop()
+        if child.tag in DRAWN:
+            out.append(child)
+        elif child.tag not in ("defs", "symbol", "mask", "clippath"):
+            todo += [c for c in reversed(child.children) if isinstance(c, Node)]
+    return out
 
 
 def render(page: str) -> str:
@@ -273,15 +349,13 @@ def render(page: str) -> str:
         if node.tag == "style":
             sheets += [c for c in node.children if isinstance(c, str)]
         todo += [c for c in node.children if isinstance(c, Node)]
-    unseen = _unseen(sheets)
+    styles = Styles(sheets[::-1])
 
     def hidden(node: Node) -> bool:
         a = node.attrs
         if node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input" and a.get("type", "").lower() == "hidden"):
             return True
-        if _UNSEEN.search(a.get("style", "")):
-            return True
-        return bool(unseen) and (node.tag in unseen or "#" + a.get("id", "") in unseen or any("." + c in unseen for c in a.get("class", "").split()))
+        return styles.unseen(node)
 
     out, kept = Lines(), 0
     outs, tables, counters = [], [], []
@@ -296,7 +370,7 @@ def render(page: str) -> str:
             tag, a = node.tag, node.attrs
             if hidden(node):
                 continue
-            children = node.children
+            children = _drawn(node) if tag == "svg" else node.children
             if tag == "details" and "open" not in a:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             if tag == "select" and "multiple" not in a:  # shows its chosen option, else the first
