@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import ALNUM, grams, hashed_words, key_filter, passes, signed, slices
+from skyledger.llm.workers import tidy
 from skyledger.workspace import Workspace
 
 #: words in a seed
@@ -99,7 +100,7 @@ def find_contamination(
     texts = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     texts = texts.withColumn("doc_key", F.xxhash64("doc_id", "text"))
     items, _ = work.materialize(_items(benchmark, item_id_column, item_text_column).withColumn("item", F.xxhash64("item_id", "text")), "items")
-    own_grams = items.select("item", "text").mapInArrow(_item_grams, "item_id bigint, seed bigint, place bigint, n_words bigint, words array<bigint>").withColumnRenamed("item_id", "item")
+    own_grams = items.select("item", "text").mapInArrow(tidy(_item_grams), "item_id bigint, seed bigint, place bigint, n_words bigint, words array<bigint>").withColumnRenamed("item_id", "item")
     own_grams, _ = work.materialize(own_grams, "grams")
     seed_bits = spark.sparkContext.broadcast(key_filter(own_grams, "seed"))
     vocabulary = own_grams.select(F.explode("words").alias("word")).distinct()
@@ -124,7 +125,7 @@ def find_contamination(
         yield pa.RecordBatch.from_arrays([pa.nulls(len(counts), pa.int64()), pa.array(np.array(list(counts), np.uint64).view(np.int64)), pa.array(list(counts.values()), pa.int64())], ["doc_key", "hash", "n"])
         yield pa.RecordBatch.from_arrays([pa.nulls(2, pa.int64()), pa.nulls(2, pa.int64()), pa.array([n_words, -n_docs], pa.int64())], ["doc_key", "hash", "n"])
 
-    scanned, _ = work.materialize(texts.select("text", "doc_key").mapInArrow(scan, "doc_key bigint, hash bigint, n bigint"), "scanned")
+    scanned, _ = work.materialize(texts.select("text", "doc_key").mapInArrow(tidy(scan), "doc_key bigint, hash bigint, n bigint"), "scanned")
     totals = scanned.where("doc_key IS NULL AND hash IS NULL").agg(F.sum(F.expr("if(n > 0, n, 0)")).alias("words"), F.sum(F.expr("if(n < 0, -n, 0)")).alias("docs"))
     frequency = scanned.where("doc_key IS NULL AND hash IS NOT NULL").groupBy(F.col("hash").alias("word")).agg(F.sum("n").alias("n"))
     share = F.log(F.coalesce("n", F.lit(0)) + 0.5) - F.log(F.col("words") + 1.0)
@@ -147,8 +148,8 @@ def find_contamination(
                 words, bounds = _words(part.column(0))
                 yield pa.RecordBatch.from_pydict({"doc_key": part.column(1), "doc_id": part.column(2), "doc_words": pa.array([signed(words[bounds[k] : bounds[k + 1]]) for k in range(len(part))], pa.list_(pa.int64()))})
 
-    held = texts.select("text", "doc_key", "doc_id").mapInArrow(doc_words, "doc_key bigint, doc_id bigint, doc_words array<bigint>").dropDuplicates(["doc_key"])
-    item_words = items.select("item", "text").mapInArrow(_item_words, "item_id bigint, item_words array<bigint>").withColumnRenamed("item_id", "item")
+    held = texts.select("text", "doc_key", "doc_id").mapInArrow(tidy(doc_words), "doc_key bigint, doc_id bigint, doc_words array<bigint>").dropDuplicates(["doc_key"])
+    item_words = items.select("item", "text").mapInArrow(tidy(_item_words), "item_id bigint, item_words array<bigint>").withColumnRenamed("item_id", "item")
     least = threshold
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +177,7 @@ def find_contamination(
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "doc_key", "item", "score", "start_word", "end_word"])
 
     joined = pairs.join(held, "doc_key").join(item_words, "item").select("doc_id", "doc_key", "doc_words", "begins", "item_words", "item")
-    found = joined.mapInArrow(score, "doc_id bigint, doc_key bigint, item bigint, score double, start_word bigint, end_word bigint")
+    found = joined.mapInArrow(tidy(score), "doc_id bigint, doc_key bigint, item bigint, score double, start_word bigint, end_word bigint")
     return found.join(items.select("item", "item_id"), "item").select("doc_id", "doc_key", "item_id", "score", "start_word", "end_word")
 
 

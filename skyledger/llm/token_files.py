@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import slices
+from skyledger.llm.workers import give_back
 from skyledger.workspace import Workspace
 
 #: ids in a frame, 256 KB
@@ -246,7 +247,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             writer.close()
             sink.close()
             store.move(own, f"{base}/tokens-{shard:06d}.zst")
-            pa.default_memory_pool().release_unused()
+            give_back()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/tokens-{shard:06d}.zst"], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     return Workspace(docs.sparkSession).materialize(ranged.mapInArrow(write, MANIFEST), "manifest")[0]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: bytes of text hashed at a time, and of rows handed on as one slice
-PIECE, SLICE = 1 << 21, 1 << 23
+PIECE, SLICE = 1 << 20, 1 << 21
 _BASE = np.uint64(0x100000001B3)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

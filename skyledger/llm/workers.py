@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
@@ -30,6 +30,16 @@ def give_back() -> None:
         pass  # another C library than glibc
 
 
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task on Arrow batches that gives back its memory when it is done."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A function of a session whose workers find the package."""
 
