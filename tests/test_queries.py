@@ -26,7 +26,7 @@ def ordered(columns, rows):
 
 
 @pytest.mark.parametrize("name", [
-    "s4_freshest_response", "t5_page_order", "i4_merge_schema", "p7_promote_properties", "g1_geojson_to_wkt", "q8_render_requests", "q9_search_batch",
+    "s4_freshest_response", "s4_hot_request", "s1_read_catalog", "t5_page_order", "i4_merge_schema", "p7_promote_properties", "g1_geojson_to_wkt", "q8_render_requests", "q9_search_batch", "q9_batch_times", "q9_batch_crowded",
 ])
 def test_query_agrees_with_sql(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)
