@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import slices
-from skyledger.llm.workers import give_back
+from skyledger.llm.workers import drop_caches, tidy
 
 #: n-grams in a profile
 PROFILE = 400
@@ -138,9 +138,8 @@ def learn_profiles(docs: DataFrame, learn: Column | None = None, text_column: st
                     found[language] = _merge([found[language], counted]) if language in found else counted
         for language, (keys, counts) in found.items():
             yield pa.RecordBatch.from_pydict({"lang": pa.array([language] * len(keys), pa.string()), "gram": keys.view(np.int64), "n": counts.astype(np.int64)})
-        give_back()
 
-    counted = rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(count), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
     top = counted.withColumn("rank", rank).where(F.col("rank") <= PROFILE).limit(MOST_LANGUAGES * PROFILE + 1).collect()
     profiles: dict[str, list[int]] = {}
@@ -163,6 +162,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_column: str =
     def predict(texts):
         import pandas as pd
 
+        drop_caches()
         return pd.DataFrame([model.predict(t) for t in texts], columns=["language", "score"])
 
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], predict(F.col(f"`{text_column}`").cast("string")).alias(into))

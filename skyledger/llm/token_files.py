@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import slices
-from skyledger.llm.workers import give_back
+from skyledger.llm.workers import give_back, keeps
 from skyledger.workspace import Workspace
 
 #: ids in a frame, 256 KB
@@ -124,6 +124,9 @@ class Encoder:
         return np.array(ids, np.uint32), sizes
 
 
+keeps(Encoder._loaded.clear)
+
+
 # --- one file --------------------------------------------------------------------------------------------------------------
 
 

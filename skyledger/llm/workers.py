@@ -30,10 +30,26 @@ def give_back() -> None:
         pass  # another C library than glibc
 
 
+#: what drops the caches that operators keep in a worker
+_CACHES: list[Callable[[], object]] = []
+
+
+def keeps(drop: Callable[[], object]) -> None:
+    """An operator's module keeps a cache in its workers; ``drop`` empties it."""
+    _CACHES.append(drop)
+
+
+def drop_caches() -> None:
+    """Empty the caches that tasks of other operators have left in this worker."""
+    for drop in _CACHES:
+        drop()
+
+
 def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A task on Arrow batches that gives back its memory when it is done."""
+    """A task on Arrow batches that begins without the caches of others and gives back its memory when it is done."""
 
     def run(batches: Iterator) -> Iterator:
+        drop_caches()
         yield from task(batches)
         give_back()
 
