@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.columns import let
 from skyledger.llm.components import connected_components
 from skyledger.llm.words import grams, hashed_words, key_filter, mix, passes, signed, slices
+from skyledger.llm.workers import tidy
 from skyledger.workspace import Workspace
 
 #: cells of the rarity table: 16 MB however large the corpus is
@@ -99,7 +100,7 @@ def rarity(texts: DataFrame, n: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"block": [block], "cells": pa.array([np.minimum(cells, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
 
     schema = "block bigint, cells binary"
-    rows = texts.mapInArrow(count, schema).repartition(F.col("block")).mapInArrow(add, schema).collect()
+    rows = texts.mapInArrow(tidy(count), schema).repartition(F.col("block")).mapInArrow(tidy(add), schema).collect()
     out = np.zeros((COUNTERS // BLOCK, BLOCK), np.uint32)
     for row in rows:
         out[row["block"]] = np.frombuffer(bytes(row["cells"]), "<u4")
@@ -151,8 +152,8 @@ class Join:
                     if out:
                         yield _rows(out, ["gram", "cls", "size"])
 
-        self.docs, _ = self.work.materialize(self.texts.mapInArrow(classes, "doc_id bigint, text_hash bigint, cls bigint, size bigint"), "classes")
-        prefix = self.texts.mapInArrow(prefixes, "gram bigint, cls bigint, size int").repartition("gram").groupBy("gram", "cls").agg(F.first("size").alias("size"))
+        self.docs, _ = self.work.materialize(self.texts.mapInArrow(tidy(classes), "doc_id bigint, text_hash bigint, cls bigint, size bigint"), "classes")
+        prefix = self.texts.mapInArrow(tidy(prefixes), "gram bigint, cls bigint, size int").repartition("gram").groupBy("gram", "cls").agg(F.first("size").alias("size"))
         by_class = Window.partitionBy("gram").orderBy("cls")
         shared = prefix.select("cls", "size", F.lag("cls").over(by_class).alias("_one"), F.lead("cls").over(by_class).alias("_two")).where("_one IS NOT NULL OR _two IS NOT NULL")
         p, q = threshold.numerator, threshold.denominator
@@ -184,7 +185,7 @@ class Join:
                         "cls": pa.array(list(own), pa.int64()), "grams": pa.array([signed(s) for s in own.values()], pa.list_(pa.int64())), "ranges": pa.array(ranges, pa.list_(pa.int64())),
                     })
 
-        several = self.texts.mapInArrow(sets, "cls bigint, grams array<bigint>, ranges array<bigint>").join(able, "cls").dropDuplicates(["cls"])
+        several = self.texts.mapInArrow(tidy(sets), "cls bigint, grams array<bigint>, ranges array<bigint>").join(able, "cls").dropDuplicates(["cls"])
         written, _ = self.work.materialize(several.select("cls", "size", "grams", "ranges"), "sets")
         bits.unpersist()
         return written
@@ -364,14 +365,25 @@ def deduplicate(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_column:
     kept = members.groupBy("root").agg(F.min(order).alias("_kept"))
     members = members.join(kept, "root").withColumn("stays", order == F.col("_kept"))
     gone, _ = join.work.materialize(members.where("NOT stays OR copies > 1").select("doc_id", "text_hash", "stays"), "gone")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_row_key(id_column, text_column))
+    # rows whose key is surely not among those that go are not shuffled with their texts
+    key = F.xxhash64("doc_id", "text_hash")
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(gone.select(key.alias("key")), "key"))
+
+    @F.pandas_udf("boolean")
+    def may_go(keys):
+        import pandas as pd
+
+        return pd.Series(passes(bits.value, keys.to_numpy()))
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_row_key(id_column, text_column)).withColumn("_may_go", may_go(key))
+    doubtful = rows.where("_may_go")
 
     def same(keys: DataFrame) -> Column:
-        return rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_hash"] == keys["text_hash"])
+        return doubtful["doc_id"].eqNullSafe(keys["doc_id"]) & (doubtful["text_hash"] == keys["text_hash"])
 
     repeated = gone.where("stays")
-    once = rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    return rows.join(gone, same(gone), "left_anti").unionByName(once).select("_doc.*")
+    once = doubtful.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return rows.where("NOT _may_go").unionByName(doubtful.join(gone, same(gone), "left_anti")).unionByName(once).select("_doc.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
