@@ -25,8 +25,10 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null texts, empty ones and those without a letter go; a null language teaches nothing. Repeated ids and rows are judged each; other columns are kept as they are.
     """
-    found, _ = Workspace(spark).materialize(identify(docs, learn_profiles(docs), into="_language"), "found")
-    kept = in_a_language(found, score_floors(found, into="_language"), into="_language")
+    found = identify(docs, learn_profiles(docs), into="_language")
+    # a few numbers for each language; texts are looked at again rather than written once more
+    floors, _ = Workspace(spark).materialize(score_floors(found.where("lang IS NOT NULL"), into="_language"), "floors")
+    kept = in_a_language(found, floors, into="_language")
     return kept.select(*[F.col("_language.language").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
