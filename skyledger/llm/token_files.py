@@ -25,14 +25,14 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.words import slices
+from skyledger.llm.words import ALNUM, slices, text_bytes
 from skyledger.llm.workers import give_back, keeps
 from skyledger.workspace import Workspace
 
 #: ids in a frame, 256 KB
 FRAME_IDS = 1 << 16
-#: word pieces whose ids a worker remembers, and bytes of text that it encodes at a time
-REMEMBERED, ENCODED = 300_000, 1 << 22
+#: pieces of words whose ids a worker remembers, and bytes of text that it encodes at a time
+REMEMBERED, ENCODED = 300_000, 1 << 21
 LEVEL = 3
 
 # Fixed values of the file format.
@@ -46,7 +46,7 @@ READ = "doc_id bigint, start bigint, ids binary"
 
 
 class Encoder:
-    """Ids of texts. A tokenizer that drops white space and lower-cases gives a text's ids word by word, so each distinct word of a slice is encoded once.
+    """Ids of texts. A tokenizer that drops white space and lower-cases gives a text's ids word by word, so each distinct piece of a word is encoded once.
 
     The ids are those of the tokenizer on the whole text: nothing in its normalizer or its splitting looks across white space, and letters
     are split from the punctuation after them. Any other tokenizer gets whole texts.
@@ -56,6 +56,8 @@ class Encoder:
     WORDWISE = [["NFC", "Replace", "Lowercase"], "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"]
     #: punctuation that ends a word; no apostrophe, and nothing that special tokens consist of
     TAIL = ".,;:!?%$#&*\"()[]"
+    #: what special tokens begin with; they are matched before the tokenizer lower-cases
+    SPECIAL = "<"
     _loaded: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
@@ -66,8 +68,9 @@ class Encoder:
         rules = json.loads(self.tokenizer.to_str())
         normal, split = rules["normalizer"] or {}, (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         form = [[x["type"] for x in normal.get("normalizers", [])], split[0].get("pattern", {}).get("Regex")]
-        self.wordwise, self.known = form == self.WORDWISE, {}
-        self.numbers = list(range(self.tokenizer.get_vocab_size()))  # one object for each id, however many words have it
+        special = [x["content"] for x in rules["added_tokens"]]
+        self.wordwise = form == self.WORDWISE and all(x.startswith(self.SPECIAL) and not set(x) & set(self.TAIL + " \t\n\v\f\r") for x in special)
+        self._forget()
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -82,46 +85,74 @@ class Encoder:
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         bounds, places = words.offsets.to_numpy() - words.offsets[0].as_py(), words.flatten().dictionary_encode()
-        ids, sizes = self._words(places.dictionary.to_pylist())
+        del words
+        ids, sizes = self._words(places.dictionary)
         which = places.indices.to_numpy()
         taken = sizes[which]
-        ends = np.cumsum(taken)
-        starts = np.cumsum(sizes) - sizes
-        flat = ids[np.arange(taken.sum()) + np.repeat(starts[which] - ends + taken, taken)]
-        return flat, np.diff(np.append(0, ends)[bounds])
-
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, parts, new = self.known, [], {}
-        known[""] = ()
-        for word in words:
-            head = word.rstrip(self.TAIL)
-            if head and head[-1].isalnum():
-                tail = word[len(head) :]
-            else:
-                head, tail = word, ""
-            if head.isascii():
-                head = head.lower()
-            parts.append((head, tail))
-            if head not in known:
-                new[head] = None
-            if tail not in known:
-                new[tail] = None
-        model, numbers, others = self.tokenizer.model, self.numbers, []
-        for piece in new:
-            if piece.isascii() and piece.isalpha():
-                known[piece] = tuple(numbers[x.id] for x in model.tokenize(piece))
-            else:
-                others.append(piece)
-        for piece, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            known[piece] = tuple(numbers[i] for i in found.ids)
-        ids, sizes = [], np.empty(len(parts), np.int64)
-        for k, (head, tail) in enumerate(parts):
-            own = known[head] + known[tail] if tail else known[head]
-            sizes[k] = len(own)
+        flat = _gather(ids, (np.cumsum(sizes) - sizes)[which], taken)
+        return flat, np.diff(np.append(0, np.cumsum(taken))[bounds])
+
+    def _forget(self) -> None:
+        """Known pieces, the ids of all of them in order, and where those of each begin and how many they are."""
+        self.pieces, self.ids = pa.array([""], pa.large_string()), np.zeros(0, np.uint32)
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.pieces) > REMEMBERED:
+            self._forget()
+        parts = self._parts(words).dictionary_encode()
+        at = pc.index_in(parts.dictionary, value_set=self.pieces)
+        new, at = at.is_null(), at.fill_null(-1).to_numpy().copy()
+        at[at < 0] = self._learn(parts.dictionary.filter(new))
+        which = at[parts.indices.to_numpy()]
+        sizes = self.sizes[which]
+        return _gather(self.ids, self.starts[which], sizes), sizes.reshape(-1, 2).sum(axis=1)
+
+    def _parts(self, words: pa.Array) -> pa.Array:
+        """Head and tail of each word in turn; both are ranges of the words' own bytes, with A-Z as a-z where that comes to the same."""
+        data, bounds = text_bytes(words)
+        begins, ends = bounds[:-1], bounds[1:]
+        heads = pc.ascii_rtrim(words, characters=self.TAIL)
+        cuts = begins + pc.binary_length(heads).to_numpy()
+        last = np.append(data, np.uint8(0))[cuts - 1]  # of an empty head some other byte, looked at by none
+        apart = (begins < cuts) & (cuts < ends)
+        far = np.flatnonzero(apart & (last > 127))
+        apart &= ALNUM[last]
+        apart[far] = [head[-1].isalnum() for head in heads.take(pa.array(far)).to_pylist()]
+        odd = np.append(0, np.cumsum((data > 127) | (data == ord(self.SPECIAL))))[bounds]
+        upper = (data >= 65) & (data <= 90) & np.repeat(np.diff(odd) == 0, np.diff(bounds))
+        inner = np.empty(2 * len(words) + 1, np.int64)
+        inner[::2], inner[1::2] = bounds, np.where(apart, cuts, ends)
+        return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(inner), pa.py_buffer(data + 32 * upper.astype(np.uint8)))
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Have the tokenizer encode pieces, and return their places among the known ones. Lower-case letters are one word to it, which its model splits."""
+        letters = pc.and_(pc.string_is_ascii(new), pc.ascii_is_alpha(new))
+        words, others = new.filter(letters), new.filter(pc.invert(letters))
+        model, ids, sizes = self.tokenizer.model, [], []
+        for word in words.to_numpy(zero_copy_only=False):
+            own = [x.id for x in model.tokenize(word)]
             ids += own
-        return np.array(ids, np.uint32), sizes
+            sizes.append(len(own))
+        for found in self.tokenizer.encode_batch_fast(others.to_numpy(zero_copy_only=False).tolist(), add_special_tokens=False):
+            own = found.ids
+            ids += own
+            sizes.append(len(own))
+        sizes = np.array(sizes, np.int64)
+        places = np.empty(len(new), np.int64)
+        places[np.argsort(~letters.to_numpy(zero_copy_only=False), kind="stable")] = len(self.pieces) + np.arange(len(new))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.pieces, self.ids = pa.concat_arrays([self.pieces, words, others]), np.append(self.ids, np.array(ids, np.uint32))
+        return places
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of ``values`` one after the other."""
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - ends + sizes, sizes)
+    places += np.arange(len(places))
+    return values[places]
 
 
 keeps(Encoder._loaded.clear)

@@ -36,6 +36,24 @@ def test_ids_are_those_of_whole_texts():
             assert own.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_in_other_case_are_plain_text():
+    """Special tokens are matched before letters are lower-cased."""
+    texts, plain = ["<|ENDOFTEXT|>", "a<|EndOfText|>b. <|endoftext|>", "X<|STARTOFTEXT|>, A<B <B>"], Tokenizer.from_file(WORDS)
+    ids, sizes = T.Encoder.load(WORDS).encode(pa.array(texts))
+    assert [own.tolist() for own in np.split(ids, np.cumsum(sizes)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_piece_is_encoded_once():
+    """Words of one piece and different ends, and in later slices, cost the tokenizer nothing more, also after others have been forgotten."""
+    encoder, learned = T.Encoder(WORDS), []
+    learn = encoder._learn
+    encoder._learn = lambda new: learned.extend(new.to_pylist()) or learn(new)
+    texts = ["Alpha, alpha. (beta) ALPHA", "alpha! été, été", "", None, "beta; alpha"]
+    for _ in range(3):
+        encoder.encode(pa.array(texts).fill_null(""))
+    assert sorted(learned) == sorted({"alpha", ",", ".", "(beta)", "!", "été", "beta", ";"} - {"(beta)"} | {"(beta"} | {")"})
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     texts, plain, encoder = texts_of_all_sorts()[:60], Tokenizer.from_file(path), T.Encoder.load(path)
