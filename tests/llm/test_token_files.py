@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -54,6 +55,19 @@ def test_a_piece_is_encoded_once():
     assert sorted(learned) == sorted({"alpha", ",", ".", "(beta)", "!", "été", "beta", ";"} - {"(beta)"} | {"(beta"} | {")"})
 
 
+def test_remembered_pieces_take_little_memory():
+    """An encoder holds columns of bytes and numbers, no object for each piece: some 30 bytes, where a str, a tuple and their place in a dict took over 200."""
+    encoder, before = T.Encoder(WORDS), pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for k in range(10):
+            encoder.encode(pa.array([" ".join(f"q{10_000 * k + i}" for i in range(10_000))]))
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert held < 100_000 * 100
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     texts, plain, encoder = texts_of_all_sorts()[:60], Tokenizer.from_file(path), T.Encoder.load(path)
