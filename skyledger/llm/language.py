@@ -158,6 +158,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_column: str =
     """
     model = Model(profiles)
 
+    # a filter on the result must not be moved below and predict again, in a second worker of the task
     @F.pandas_udf("struct<language: string, score: double>")
     def predict(texts):
         import pandas as pd
@@ -165,7 +166,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_column: str =
         drop_caches()
         return pd.DataFrame([model.predict(t) for t in texts], columns=["language", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], predict(F.col(f"`{text_column}`").cast("string")).alias(into))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], predict.asNondeterministic()(F.col(f"`{text_column}`").cast("string")).alias(into))
 
 
 #: share of a language's own texts of some length whose scores are below the mark, and the part of that mark that a text must exceed

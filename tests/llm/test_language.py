@@ -81,3 +81,13 @@ def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = L.op7_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").select(F.col("lang") == F.col("lang_pred")).collect()
     assert sum(r[0] for r in rows) >= 0.98 * len(rows) > 0
+
+
+def test_a_filter_on_the_result_predicts_once(spark):
+    """A filter below the prediction would predict again, and each prediction of a task has a worker of its own."""
+    docs = spark.createDataFrame([(1, "abc abd", "aa"), (2, "xyz xyy", "bb"), (3, None, None)], "doc_id bigint, text string, lang string")
+    found = L.identify(docs, L.learn_profiles(docs))
+    floors = spark.createDataFrame([("aa", 2, 0.1)], "language string, size int, floor double")
+    for plan in (L.in_a_language(found, floors, into="language"), L.score_floors(found.where("lang IS NOT NULL"))):
+        assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r["doc_id"], r["language"]["language"]) for r in L.in_a_language(found, floors).collect()) == [(1, "aa"), (2, "bb")]
