@@ -13,7 +13,7 @@ from skyledger.llm.jaccard import deduplicate
 from skyledger.llm.language import identify, in_a_language, learn_profiles, score_floors
 from skyledger.llm.mixing import mix
 from skyledger.llm.token_files import read_token_files, token_digests, write_token_files
-from skyledger.llm.workers import with_package
+from skyledger.llm.workers import with_bounded_batches, with_package
 from skyledger.workspace import Workspace
 
 #: id after each document in the token files
@@ -60,11 +60,8 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
-    ("language", with_package(keep_languages)),
-    ("copies", with_package(drop_copies)),
-    ("benchmarks", with_package(drop_benchmarks)),
-    ("mix", with_package(mix_sources)),
-    ("tokens", with_package(write_tokens)),
+    (name, with_bounded_batches(with_package(stage)))
+    for name, stage in [("language", keep_languages), ("copies", drop_copies), ("benchmarks", drop_benchmarks), ("mix", mix_sources), ("tokens", write_tokens)]
 ]
 
 

@@ -26,13 +26,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import ALNUM, slices, text_bytes
-from skyledger.llm.workers import give_back, keeps
+from skyledger.llm.workers import give_back, give_back_pages, keeps
 from skyledger.workspace import Workspace
 
 #: ids in a frame, 256 KB
 FRAME_IDS = 1 << 16
 #: pieces of words whose ids a worker remembers, and bytes of text that it encodes at a time
 REMEMBERED, ENCODED = 300_000, 1 << 21
+#: pieces whose encodings, objects of some hundred bytes, are held at once
+LEARNED = 1 << 12
 LEVEL = 3
 
 # Fixed values of the file format.
@@ -134,10 +136,11 @@ class Encoder:
             own = [x.id for x in model.tokenize(word)]
             ids += own
             sizes.append(len(own))
-        for found in self.tokenizer.encode_batch_fast(others.to_numpy(zero_copy_only=False).tolist(), add_special_tokens=False):
-            own = found.ids
-            ids += own
-            sizes.append(len(own))
+        for at in range(0, len(others), LEARNED):
+            for found in self.tokenizer.encode_batch_fast(others.slice(at, LEARNED).to_numpy(zero_copy_only=False).tolist(), add_special_tokens=False):
+                own = found.ids
+                ids += own
+                sizes.append(len(own))
         sizes = np.array(sizes, np.int64)
         places = np.empty(len(new), np.int64)
         places[np.argsort(~letters.to_numpy(zero_copy_only=False), kind="stable")] = len(self.pieces) + np.arange(len(new))
@@ -277,6 +280,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                     own_ids = np.concatenate([own_ids, end])
                     writer.add(doc, own_ids)
                     n_docs, n_ids = n_docs + 1, n_ids + len(own_ids)
+                give_back_pages()
         if writer is not None:
             writer.close()
             sink.close()

@@ -20,9 +20,18 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, known]).rstrip(os.pathsep)
 
 
-def give_back() -> None:
-    """Return free memory of a worker, which serves later tasks too, to the machine."""
-    gc.collect()
+#: bytes of an Arrow batch; Spark holds one some four times over outside its heap, its worker up to twice
+BATCH, _BATCH_SETTING = 1 << 21, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on this session's tasks get Arrow batches of at most BATCH bytes, or one row, where 10,000 rows are as large as their texts. A bound that the session names itself stays."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH))
+
+
+def give_back_pages() -> None:
+    """Return what allocators keep of freed memory to the machine. Without it a worker grows by what its slices have taken, not only by what one of them takes."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -30,6 +39,12 @@ def give_back() -> None:
         pass  # another C library than glibc
 
 
+def give_back() -> None:
+    """Return free memory of a worker, which serves later tasks too, to the machine."""
+    gc.collect()
+    give_back_pages()
+
+
 #: what drops the caches that operators keep in a worker
 _CACHES: list[Callable[[], object]] = []
 
@@ -56,6 +71,17 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     return run
 
 
+def with_bounded_batches(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function of a session whose tasks get Arrow batches of bounded size, also where its result is read later."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        bound_batches(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A function of a session whose workers find the package."""
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -109,6 +110,26 @@ def test_empty_and_null_documents(spark, tmp_path):
             assert out.count() == (0 if name in ("language", "mix") else len(rows)), name
 
 
+def test_tasks_get_batches_of_bounded_size(spark, tmp_path):
+    """A batch is bounded by the bytes of its texts, not by 10,000 rows; a session's own bound stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 600, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 4000) AS text", "'aa' AS lang", "'s' AS source", "20000L AS n_chars")
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [batch.nbytes]}) for batch in batches)
+
+    spark.conf.unset(key)
+    try:
+        dict(corpus_pipeline.STAGES)["mix"](spark, docs, str(tmp_path))
+        seen = [r["n"] for r in docs.mapInArrow(sizes, "n bigint").collect()]
+        assert sum(seen) > 600 * 20_000 and max(seen) < 3 << 20
+        spark.conf.set(key, "65536")
+        dict(corpus_pipeline.STAGES)["mix"](spark, docs, str(tmp_path))
+        assert spark.conf.get(key) == "65536"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_registration():
     names = [q for q in entry.queries() if q.startswith("op")]
     assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
