@@ -225,3 +225,34 @@ def test_a_long_coastline_plans_at_once(spark):
     found._jdf.queryExecution().executedPlan()
     assert time.time() - began < 20
     assert sorted(r["id"] for r in found.collect()) == ["edge", "in"]
+
+
+def test_a_shape_is_worked_out_once(spark):
+    """The plan of the test reads the text of each shape in one place; shapes apart are told by their extents."""
+    df = spark.createDataFrame([("POINT (2 2)", False), ("POLYGON ((0 5, 5 0, 9 9, 0 5))", True), ("POINT (99 99)", False), (None, None)], "w string, expected boolean")
+    frame, _ = geo.shape_literal(spark, F.lit(FRAME))
+    got = df.select("w", "expected", geo.geom_intersects(geo.shape_of_wkt(F.col("w")), frame).alias("got"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") == 1
+    assert [(r["w"], r["got"]) for r in got.collect()] == [(r["w"], r["expected"]) for r in got.collect()]
+
+
+@pytest.mark.parametrize("wkt", [
+    "POINT (1.5 -2)", "LINESTRING (0 0, 1e2 1)", "LINESTRING (3 4)", "POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))", "MULTILINESTRING ((0 0, 1 1), (2 2, 3 3))",
+    "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0)), ((8 8, 9 8, 9 9, 8 8), (8.5 8.5, 8.6 8.5, 8.6 8.6, 8.5 8.5)))",
+])
+def test_plain_text_has_the_shape_of_any_other(spark, wkt):
+    """The short way for text as this library writes it and the way for any text agree."""
+    df = spark.createDataFrame([(wkt, wkt.lower().replace("(", " ( ").replace(",", " , "))], "plain string, other string")
+    row = df.select(F.col("plain").rlike(geo._PLAIN_WKT).alias("p"), F.col("other").rlike(geo._PLAIN_WKT).alias("o"), geo.shape_of_wkt(F.col("plain")).alias("a"), geo.shape_of_wkt(F.col("other")).alias("b")).first()
+    assert row["p"] and not row["o"] and row["a"] == row["b"] and row["a"]["segments"]
+
+
+@pytest.mark.parametrize("geometry", [
+    '{"type":"Polygon","coordinates":[[[0,0],[4.50,0],[4,4.0],[0,0]],[[1,1],[2,1],[2,2],[1,1]]]}', '{"type":"MultiPolygon","coordinates":[[[[0,0],[4,0],[4,4],[0,0]]],[[[8,8],[9,8],[9,9],[8,8]],[[8.5,8.5],[8.6,8.5],[8.6,8.6],[8.5,8.5]]]]}',
+    '{"type":"MultiPolygon","coordinates":[[[0,0],[4,0],[4,4],[0,0]]]}', '{"type":"Polygon","coordinates":[[0,0],[4,0]]}', '{"type":"Polygon","coordinates":[[[0,0,7],[4,0,7],[0,0,7]]]}',
+])
+def test_plain_areas_have_the_wkt_of_any_other(spark, geometry):
+    df = spark.createDataFrame([(geometry,)], "g string").select(F.from_json("g", geo.GEOJSON_PARTS).alias("p"))
+    row = df.select(geo._simple_wkt(F.col("p.type"), F.col("p.coordinates"), None).alias("a"), geo._any_wkt(F.col("p.type"), F.col("p.coordinates"), None).alias("b")).first()
+    assert row["a"] == row["b"] and (row["a"] is None) == ("MultiPolygon" in geometry and "[[[[" not in geometry or "[[[" not in geometry)
