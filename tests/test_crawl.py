@@ -238,6 +238,25 @@ def test_only_linked_files_are_read(spark, tmp_path):
     assert sorted((r["catalog"], r["collection"], r["id"]) for r in items.collect()) == [("a", "c", i) for i in "ijkl"]
 
 
+def test_local_files_are_opened_by_tasks(spark, tmp_path, monkeypatch):
+    """A level of local files is one read, without Spark's list of them; empty, hidden and missing ones have no row; bytes come as they are."""
+    from skyledger.sources import linked
+
+    names = [f"i{n}.json" for n in range(300)]
+    hrefs = [*names, "empty.json", "_hidden.json", ".dot.json", "gone.json", "folder.json", "bytes.json", f"file:{tmp_path}/one.json", f"file://{tmp_path}//two.json"]
+    (tmp_path / "catalog.json").write_text(json.dumps({"type": "Catalog", "id": "c", "links": [{"rel": "item", "href": h} for h in hrefs]}))
+    for name in [*names, "_hidden.json", ".dot.json", "one.json", "two.json"]:
+        (tmp_path / name).write_text(json.dumps(feature(name)))
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "folder.json").mkdir()
+    (tmp_path / "bytes.json").write_bytes(b"\xff{")
+    monkeypatch.setattr(linked, "HELD", 5_000)
+    monkeypatch.setattr(linked, "_files", lambda *_: pytest.fail("a list of files was made"))
+    got = {r["doc_uri"].removeprefix(f"file://{tmp_path}/"): r["b"] for r in linked.linked_documents(spark, f"file://{tmp_path}/catalog.json").select("doc_uri", F.col("body").cast("binary").alias("b")).collect()}
+    assert got.keys() == {"catalog.json", *names, "bytes.json", "one.json", "two.json"} and got["bytes.json"] == b"\xff{"
+    assert json.loads(got["i7.json"])["id"] == "i7.json"
+
+
 def test_no_geometry_where_none_is_asked_for(spark, documents):
     docs = documents({"mem:/c.json": {"type": "Catalog", "id": "c", "links": [{"rel": "item", "href": "a.json"}]}, "mem:/a.json": feature("a")})
     schema = sky.infer_schema(sky.crawl(docs, "mem:/c.json"))
