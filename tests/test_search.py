@@ -130,6 +130,26 @@ def check_batch(spark, placed):
         assert {i for k, i in got if k == n} == expected(placed, s), s
 
 
+def test_footprints_are_worked_out_once(spark):
+    """Triangles, rectangles and a path along three corners against boxes and shapes: as one search finds them. Items are read once for searches with and without collections,
+    their footprint before they meet searches, and not at all where no search has a shape."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(90):
+        x, y, w, h = rng.randint(-40, 40) / 2, rng.randint(-40, 40) / 2, rng.randint(1, 12) / 2, rng.randint(1, 12) / 2
+        wkt = [rectangle((x, y, x + w, y + h)), f"POLYGON (({x} {y}, {x + w} {y}, {x} {y + h}, {x} {y}))", f"LINESTRING ({x} {y}, {x + w} {y}, {x + w} {y + h}, {x + w} {y}, {x} {y})"][i % 3]
+        rows.append((rng.choice("ab"), f"i{i}", wkt, (x, y, x + w, y + h), "2024-01-05T00:00:00Z", None, None))
+    items = make_items(spark, rows).cache()
+    asked = [{"bbox": [float(x), float(y), x + rng.choice([0.0, 1.0, 9.0]), y + 3.0], "collections": ["a"] if n % 2 else None} for n, (x, y) in enumerate((rng.randint(-20, 20), rng.randint(-20, 20)) for _ in range(16))]
+    table = spark.createDataFrame([(n, s["bbox"], s["collections"]) for n, s in enumerate(asked)], "search_id int, bbox array<double>, collections array<string>")
+    found = sky.search_batch(items, table).select("search_id", "id")
+    assert sorted(tuple(r) for r in found.collect()) == sorted((n, r["id"]) for n, s in enumerate(asked) for r in sky.search(items, **s).select("id").collect())
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(found).count("InMemoryRelation") == 1 and plan(found).count("upper(") == 1
+    days = spark.createDataFrame([(1, "2024-01-05", ["a"]), (2, "2024-01-05", None)], "search_id int, datetime string, collections array<string>")
+    assert "geometry" not in plan(sky.search_batch(items, days).select("search_id", "id")).split("InMemoryRelation")[0]
+
+
 def test_times_without_boxes_meet_in_buckets(spark):
     """Instants and spans of all lengths against searches of all lengths, open ends among them; the plan joins on buckets of time."""
     rng = random.Random(8)
