@@ -203,6 +203,15 @@ def test_crowded_cells_are_split(spark):
         assert len(got) == len(set(got)) and set(got) == wanted, crowded
 
 
+def test_searches_of_crowded_cells_are_dealt_out(spark):
+    """The table of searches is a small file; where cells are split its rows are dealt over tasks by number, and a search meets each item once."""
+    items = make_items(spark, [("a", f"i{k}", None, (11 + k / 64, 48.0, 11 + k / 64, 48.0), None, None, None) for k in range(16)])
+    searches = spark.createDataFrame([(n, [11.0, 47.5, 11 + n / 64, 48.5]) for n in range(5)], "search_id int, bbox array<double>")
+    found = sky.search_batch(items, searches, crowded=2).select("search_id", "id")
+    assert "RepartitionByExpression [q_no" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == sorted((n, f"i{k}") for n in range(5) for k in range(n + 1))
+
+
 def test_nodes_hold_few_items(spark):
     from skyledger.operators import meeting, search
     from skyledger.workspace import Workspace
