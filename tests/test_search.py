@@ -182,6 +182,17 @@ def test_times_without_boxes_meet_in_buckets(spark):
     assert "_bucket" in plan and "_cx" not in plan
 
 
+def test_times_alone_are_one_join(spark):
+    """Where no search has a shape, pairs meet in their bucket of time and nothing else is joined to them, with collections and without."""
+    rows = [("ab"[k % 2], f"i{k}", None, None, f"2024-01-{1 + k:02d}T00:00:00Z", None, None) for k in range(20)]
+    searches = spark.createDataFrame([(n, f"2024-01-05/2024-01-{5 + n:02d}", ["a"] if n % 2 else None) for n in range(6)], "search_id int, datetime string, collections array<string>")
+    found = sky.search_batch(make_items(spark, rows), searches).select("search_id", "id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+    wanted = [(n, f"i{k}") for n in range(6) for k in range(4, 5 + n) if n % 2 == 0 or k % 2 == 0]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+
+
 def test_crowded_cells_are_split(spark):
     """Three items of ten lie in a town; its cell is split, no node keeps more small items than allowed, and no pair is lost or found twice."""
     rng = random.Random(9)
